@@ -53,7 +53,7 @@ def source_targets(sizes: DataFrame, most: int = 3, cycle: tuple[int, ...] = CYC
     return s.withColumn("target", target).select("source", "source_size", "n_docs", "mean_weight", "target")
 
 
-def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", weight: Column | None = None, most: int = 3, cycle: tuple[int, ...] = CYCLE, seed: str = "mix", slice_rows: int = 65536, carry: bool = False) -> DataFrame:
+def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", weight: Column | None = None, most: int = 3, cycle: tuple[int, ...] = CYCLE, seed: str = "mix", slice_rows: int = 1024, carry: bool = False) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, n_epochs, sample_key.
 
     With carry, a struct `row` of the document's own columns comes along, so
