@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from planweave.llm import mixing
+from planweave.llm import langid, mixing, pieces, pii
 
-QUERIES = {"op8_mix_sources": mixing.op8_mix_sources}
+QUERIES = {
+    "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op5_pii": pii.op5_pii,
+    "op6_language": langid.op6_language,
+    "op8_mix_sources": mixing.op8_mix_sources,
+}
 ORACLE = {"op8_mix_sources": mixing.OP8_SQL}
