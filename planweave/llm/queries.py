@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from planweave.llm import langid, mixing, neardup, pieces, pii, quality
+from planweave.llm import langid, mixing, neardup, pieces, pii, quality, substrings
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_quality": quality.op3_quality,
     "op5_pii": pii.op5_pii,
     "op6_language": langid.op6_language,
     "op7_near_duplicates": neardup.op7_near_duplicates,
     "op8_mix_sources": mixing.op8_mix_sources,
 }
-ORACLE = {"op7_near_duplicates": neardup.OP7_SQL, "op8_mix_sources": mixing.OP8_SQL}
+ORACLE = {"op2_substring_dedup": substrings.OP2_SQL, "op7_near_duplicates": neardup.OP7_SQL, "op8_mix_sources": mixing.OP8_SQL}
