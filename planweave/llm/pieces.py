@@ -23,6 +23,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,7 +117,7 @@ class Pieces:
 class Encoder:
     """Streaming encoder of one task; remembers up to `remembered` parts."""
 
-    def __init__(self, model: Pieces, remembered: int = 300_000):
+    def __init__(self, model: Pieces, remembered: int = 200_000):
         self.m = model
         self.most = remembered
         self.seen: dict[str, bytes] = {}
@@ -143,7 +144,7 @@ class Encoder:
                 limit, left, tie = ra, split[left][1], False
             else:
                 limit, right, tie = rb, split[right][0], True
-        if len(self.apart) > 2_000_000:
+        if len(self.apart) > 200_000:
             self.apart.clear()
         self.apart[(a, b)] = ok
         return ok
@@ -263,26 +264,42 @@ def load(path: str = MODEL, kind: int | None = None) -> Pieces:
         return Pieces(f.read(), kind)
 
 
-def encode(docs: DataFrame, model: Pieces, text: str = "text") -> DataFrame:
-    """The columns of docs in a struct `row`, then ids (array<int>) and n_ids.
+def _slices(texts: pa.Array, most: int = 4 << 20):
+    """(first, slice) of a string array, each of about `most` bytes, one text at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).cumsum()
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
+        yield at, texts.slice(at, to - at)
+        at = to
 
-    A null text has null ids and n_ids; an empty one no ids.  Repeated rows get
+
+def encode(docs: DataFrame, model: Pieces, text: str = "text", checked: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """The columns of docs (or those in keep) in a struct `row`, then ids (array<int>), n_ids and, if checked, round_trip.
+
+    round_trip says whether decoding the ids gives the text back.  A null text
+    has null ids, n_ids and round_trip; an empty one no ids.  Repeated rows get
     the same ids; names of docs' columns can't clash as they stay in the struct.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(text).alias("text"))
 
     def run(batches):
-        encoder = Encoder(model)
+        encoder, decoder = Encoder(model), Decoder(model)
         for batch in batches:
-            got = [encoder.packed(s) if s is not None else None for s in batch.column(1).to_pylist()]
-            n = np.array([len(b) // 4 if b else 0 for b in got], np.int64)
-            none = np.array([b is None for b in got], bool)
-            offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-            values = pa.Array.from_buffers(pa.int32(), int(n.sum()), [None, pa.py_buffer(b"".join(b for b in got if b))])
-            ids = pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(none, False)), values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(n, mask=none)], names=["row", "ids", "n_ids"])
-
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>, n_ids bigint")
+            for at, slice_ in _slices(batch.column(1)):
+                texts = slice_.to_pylist()
+                got = [encoder.packed(s) if s is not None else None for s in texts]
+                n = np.array([len(b) // 4 if b else 0 for b in got], np.int64)
+                none = np.array([b is None for b in got], bool)
+                offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                values = pa.Array.from_buffers(pa.int32(), int(n.sum()), [None, pa.py_buffer(b"".join(b for b in got if b))])
+                ids = pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(none, False)), values)
+                out = [batch.column(0).slice(at, len(texts)), ids, pa.array(n, mask=none)]
+                if checked:
+                    out.append(pa.array([None if s is None else decoder.text(np.frombuffer(b, np.int32).tolist()) == s for s, b in zip(texts, got)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(out, names=["row", "ids", "n_ids", "round_trip"][: len(out)])
+
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>, n_ids bigint" + ", round_trip boolean" * checked)
 
 
 def decode(encoded: DataFrame, model: Pieces, ids: str = "ids") -> DataFrame:
@@ -293,9 +310,8 @@ def decode(encoded: DataFrame, model: Pieces, ids: str = "ids") -> DataFrame:
         decoder = Decoder(model)
         for batch in batches:
             lists = batch.column(1)
-            offsets = lists.offsets.to_pylist()
-            flat = lists.values.to_pylist() if len(lists) else []
-            texts = [decoder.text(flat[a:b]) if ok else None for a, b, ok in zip(offsets, offsets[1:], lists.is_valid().to_pylist())]
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            texts = [decoder.text(values[a:b].tolist()) if ok else None for a, b, ok in zip(offsets, offsets[1:], lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string")
@@ -303,7 +319,5 @@ def decode(encoded: DataFrame, model: Pieces, ids: str = "ids") -> DataFrame:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, and whether decoding them gives the text back."""
-    model = load()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    back = decode(encode(docs, model), model)
-    return back.select(F.col("row.row.doc_id").alias("doc_id"), F.col("row.n_ids").alias("n_ids"), F.col("row.ids").alias("ids"), F.col("row.row.text").eqNullSafe(F.col("text")).alias("round_trip"))
+    return encode(docs, load(), checked=True, keep=["doc_id"]).select(F.col("row.doc_id").alias("doc_id"), "n_ids", "ids", "round_trip")
