@@ -166,14 +166,14 @@ def _has_letter(s: str | None) -> bool:
     return bool(s) and (bool(_LETTERS.search(s)) or any(c.isalpha() for c in s))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The columns of docs in a struct `row`, then lang_pred, score and lang_set.
+def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns of docs (or those in keep) in a struct `row`, then lang_pred, score and lang_set.
 
     A null text, or one without a letter, is `und` with score 0, as is every
     text where nothing was learned.  A text whose letters are all outside the
     learned languages gets the least unlikely one.  Repeated rows get the same answer.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(text).alias("text"))
     most = max(1 << 18, (16 << 20) // max(1, len(model.langs)) // 4)
 
     def run(batches):
@@ -197,5 +197,5 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     rest = F.crc32(F.col("doc_id").cast("string")) % 3
     model = learn(docs.where(rest != 1))
-    found = identify(docs.select("doc_id", "text"), model)
+    found = identify(docs, model, keep=["doc_id"])
     return found.select("row.doc_id", F.coalesce(F.crc32(F.col("row.doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "lang_set")

@@ -252,15 +252,15 @@ def _joined(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def find_pii(docs: DataFrame, text: str = "text", threshold: float = 0.9, model: SpanModel | None = None) -> DataFrame:
-    """The columns of docs in a struct `row`, then base_spans, spans (strings), counts by kind and redacted text.
+def find_pii(docs: DataFrame, text: str = "text", threshold: float = 0.9, model: SpanModel | None = None, keep: list[str] | None = None) -> DataFrame:
+    """The columns of docs (or those in keep) in a struct `row`, then base_spans, spans (strings), counts by kind and redacted text.
 
     A null text counts as empty and has no spans; its redacted text stays null.
     Repeated rows get the same answer each; an empty table gives no rows and
     fits an empty model, which adds nothing.
     """
     model = model or fit(docs, text)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(text).alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -284,5 +284,5 @@ def sha256(s: str) -> str:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = fit(docs)
-    found = find_pii(docs.select("doc_id", "text"), model=model)
+    found = find_pii(docs, model=model, keep=["doc_id"])
     return found.select(F.col("row.doc_id").alias("doc_id"), *(f"n_{k}" for k in KINDS), F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_added")
