@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from planweave.llm import langid, mixing, neardup, pieces, pii, quality, substrings
+from planweave.llm import katz, langid, mixing, neardup, pieces, pii, quality, substrings
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -12,5 +12,6 @@ QUERIES = {
     "op6_language": langid.op6_language,
     "op7_near_duplicates": neardup.op7_near_duplicates,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_katz": katz.op9_katz,
 }
 ORACLE = {"op2_substring_dedup": substrings.OP2_SQL, "op7_near_duplicates": neardup.OP7_SQL, "op8_mix_sources": mixing.OP8_SQL}
