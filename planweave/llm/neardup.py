@@ -4,16 +4,20 @@ Documents with equal shingle sets are one node from the start.  Every node has
 `samples` MinHash values in bands; nodes that agree in a band share a bucket.
 The MinHash values are also folded into a parity bitmap (odd sketch): the
 population count of two bitmaps' XOR estimates how many values differ, precisely
-where similarity is high, and rules out pairs far below the threshold.
+where similarity is high, and rules out pairs far below the threshold.  A second
+bitmap holds the parities of the whole set; its XOR's population count is never
+above the number of shingles in which two sets differ, so what it rules out is
+ruled out for certain.
 
 Links are looked for in two steps, and no bucket is ever expanded into all of
-its pairs.  First every member is held against the least node of its bucket.
-Then, in buckets whose members are still in different components, the members
-outside the bucket's largest component go through the others from the most
-similar sketch on, a window of ranks at a time; a pair already in one component
-is not tested.  The rounds end when no bucket has a candidate left, so no link
-between components is missed that shares a band and passes the sketch.  Links
-are confirmed on the full sets of both documents.
+its pairs.  First every member is held against the bucket's lead, the node that
+meets the most others over all bands.  Then, in buckets whose members are still
+in different components, the members outside the bucket's largest component
+seek links among the others: the most similar sketches first, and once those
+are joined, all others that are still in another component.  A pair is looked
+at in the first band that it shares only.  Links are confirmed on the full sets
+of both documents, so none is missed between components that shares a band and
+passes the sketch.
 
 At similarity 0.8 a pair shares none of 32 bands of 4 rows with probability
 5e-8, and the sketch's margin rules it out with less than 1e-8.
@@ -25,12 +29,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planweave.llm import _blobs, _words
 from planweave.operators.components import connected_components
-from planweave.session import discard, release, stored
+from planweave.session import release, stored
 
 SAMPLES, ROWS, BITS = 128, 4, 512
 MARGIN = 0.22
@@ -93,6 +97,41 @@ def estimate(apart: np.ndarray) -> np.ndarray:
     return 1 + BITS / (4 * SAMPLES) * np.log(np.maximum(1 - 2 * np.asarray(apart, float) / BITS, 1e-9))
 
 
+def parities(shingle: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """The parity bitmap of each whole set: a power of two of bits, 512 at least, twice the set's size or more."""
+    out = []
+    for a, b in zip(first, first[1:]):
+        bits = 512
+        while bits < 2 * (b - a):
+            bits *= 2
+        odd = np.bincount((shingle[a:b] % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        out.append(np.packbits(odd.astype(np.uint8)).tobytes())
+    return out
+
+
+def _folded(blob: bytes, size: int) -> np.ndarray:
+    """A parity bitmap in fewer bytes: its halves XORed, again and again."""
+    x = np.frombuffer(blob, np.uint8)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.view(np.uint64)
+
+
+def differ(x: np.ndarray, y: np.ndarray, blobs: list[bytes]) -> np.ndarray:
+    """At least so many shingles differ between the sets x[i] and y[i]."""
+    sizes = np.array([len(b) for b in blobs])
+    least = np.minimum(sizes[x], sizes[y])
+    out = np.zeros(len(x), np.int64)
+    for size in np.unique(least).tolist():
+        at = np.flatnonzero(least == size)
+        rows, inverse = np.unique(np.concatenate([x[at], y[at]]), return_inverse=True)
+        bits = np.stack([_folded(blobs[i], size) for i in rows.tolist()])
+        for k in range(0, len(at), 1 << 16):
+            a, b = inverse[k : min(k + (1 << 16), len(at))], inverse[len(at) + k : len(at) + k + (1 << 16)]
+            out[at[k : k + (1 << 16)]] = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1)
+    return out
+
+
 def _fixed(a: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1) * a.shape[1], pa.int32()), pa.array(a.ravel().view(np.int64)))
 
@@ -114,9 +153,9 @@ def _sketch_rows(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(k1.view(np.int64), mask=~has), pa.array(k2.view(np.int64), mask=~has),
-                        _fixed(keys, pa.int64()).take(pick), _fixed(odd, pa.int64()).take(pick),
+                        _fixed(keys, pa.int64()).take(pick), _fixed(odd, pa.int64()).take(pick), pa.array(parities(shingle, first), pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "k1", "k2", "bands", "odd"],
+                    names=["doc_id", "n_shingles", "k1", "k2", "bands", "odd", "parity"],
                 )
 
     return run
@@ -157,63 +196,64 @@ def _apart(x: str, y: str):
     return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
 
 
-def _ranked(most: int, low: int, high: int):
-    """Of each block of a bucket: its seekers' partners whose rank by sketch distance is in [low, high)."""
+def _sought(most: int, percent: int, low: int, high: int | None):
+    """Of each block of a bucket: its seekers' partners in other components that may be linked, ranked in [low, high) by sketch distance."""
 
-    def of_block(ids, seeks, member, odd, percent_sizes):
-        out = []
-        m = np.flatnonzero(member)
-        s = np.flatnonzero(seeks)
+    def of_block(t: dict, a: int, b: int):
+        ids, member, comp, size = t["id"][a:b], t["member"][a:b], t["component"][a:b], t["n_shingles"][a:b]
+        odd, bands, key = t["odd"][a:b], t["bands"][a:b], t["k"][a]
+        m, s = np.flatnonzero(member), np.flatnonzero(t["seeks"][a:b])
         if not len(m) or not len(s):
-            return out
-        step = max(1, (1 << 20) // len(m))
-        for k in range(0, len(s), step):
+            return
+        take = len(m) if high is None else min(high, len(m))
+        for k in range(0, len(s), step := max(1, (1 << 20) // len(m))):
             rows = s[k : k + step]
             z = np.bitwise_count(odd[rows][:, None, :] ^ odd[m][None, :, :]).sum(axis=2, dtype=np.int32)
             z[ids[rows][:, None] == ids[m][None, :]] = BITS + 1
-            z[z > most] = BITS + 1
-            take = min(high, len(m))
-            if take <= low:
-                continue
             order = np.argsort(z, axis=1, kind="stable")[:, low:take]
-            near = np.take_along_axis(z, order, axis=1)
-            r, c = np.nonzero(near <= most)
-            out.append((ids[rows[r]], ids[m[order[r, c]]]))
-        return out
+            r, c = np.nonzero(np.take_along_axis(z, order, axis=1) <= most)
+            x, y = rows[r], m[order[r, c]]
+            ok = (comp[x] != comp[y]) & (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+            x, y = x[ok], y[ok]
+            for i in range(0, len(x), 1 << 16):
+                p, q = x[i : i + (1 << 16)], y[i : i + (1 << 16)]
+                first = (bands[p] == bands[q]).argmax(axis=1)
+                ok = bands[p, first] == key
+                p, q = p[ok], q[ok]
+                ok = differ(p, q, t["parity"][a:b]) * (100 + percent) <= (size[p] + size[q]) * (100 - percent) if len(p) else ok[:0]
+                yield ids[p[ok]], ids[q[ok]]
 
     def run(batches):
-        carry = None
-
         def flush(t: pa.Table):
-            k, mb, eb = (t.column(c).to_numpy() for c in ("k", "mb", "eb"))
-            ids = t.column("id").to_numpy()
-            seeks, member = (t.column(c).to_numpy() for c in ("seeks", "member"))
-            odd = t.column("odd").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)
+            t = t.combine_chunks()
+            cols = {c: t.column(c).to_numpy() for c in ("k", "mb", "eb", "id", "member", "seeks", "component", "n_shingles")}
+            for c, n in (("odd", BITS // 64), ("bands", SAMPLES // ROWS)):
+                cols[c] = t.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, n)
+            cols["k"] = cols["k"].view(np.uint64)
+            cols["parity"] = t.column("parity").to_pylist()
+            k, mb, eb = cols["k"], cols["mb"], cols["eb"]
             cut = np.flatnonzero((k[1:] != k[:-1]) | (mb[1:] != mb[:-1]) | (eb[1:] != eb[:-1])) + 1
-            found = []
-            for a, b in zip(np.append(0, cut), np.append(cut, len(k))):
-                if b - a > 1:
-                    order = np.argsort(ids[a:b], kind="stable")
-                    found += of_block(ids[a:b][order], seeks[a:b][order], member[a:b][order], odd[a:b][order], None)
+            found = [f for a, b in zip(np.append(0, cut), np.append(cut, len(k))) if b - a > 1 for f in of_block(cols, a, b)]
             x = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
             y = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
+        carry = None
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            if carry is not None:
-                t = pa.concat_tables([carry, t]).combine_chunks()
-            last = len(t) - 1
-            if last < 0:
+            if carry is not None and len(carry):
+                t = pa.concat_tables([carry, t])
+            if not len(t):
                 continue
             k, mb, eb = (t.column(c).to_numpy() for c in ("k", "mb", "eb"))
-            same = np.flatnonzero((k != k[last]) | (mb != mb[last]) | (eb != eb[last]))
-            cut = same[-1] + 1 if len(same) else 0
+            other = np.flatnonzero((k != k[-1]) | (mb != mb[-1]) | (eb != eb[-1]))
+            cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield flush(t.slice(0, cut).combine_chunks())
+                yield flush(t.slice(0, cut))
             carry = t.slice(cut)
         if carry is not None and len(carry):
-            yield flush(carry.combine_chunks())
+            yield flush(carry)
 
     return run
 
@@ -229,14 +269,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    base = stored(plain.mapInArrow(_sketch_rows(words), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, odd array<bigint>"), "neardup")
+    base = stored(plain.mapInArrow(_sketch_rows(words), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, odd array<bigint>, parity binary"), "neardup")
     whole = base.where("doc_id is not null and k1 is not null")
     least = whole.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
-    nodes = stored(whole.join(least, (whole.doc_id == least.node) & (whole.k1 == least.k1) & (whole.k2 == least.k2), "left_semi").dropDuplicates(["doc_id", "k1", "k2"]).select("doc_id", "n_shingles", "bands", "odd"), "neardup")
+    nodes = stored(whole.join(least, (whole.doc_id == least.node) & (whole.k1 == least.k1) & (whole.k2 == least.k2), "left_semi").dropDuplicates(["doc_id", "k1", "k2"]).select("doc_id", "n_shingles", "bands", "odd", "parity"), "neardup")
 
     banded = nodes.select(F.col("doc_id").alias("id"), F.explode("bands").alias("k"))
-    leads = banded.groupBy("k").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    buckets = stored(banded.join(leads, "k").select("k", "id", "lead", "n"), "neardup")
+    shared = banded.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = stored(banded.join(shared, "k").select("k", "id", "n"), "neardup")
+    met = buckets.groupBy("id").agg(F.sum("n").alias("met"))
+    leads = buckets.join(met, "id").groupBy("k").agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("lead"))
     most = most_apart(percent / 100)
     sizes = nodes.select(F.col("doc_id").alias("id"), "n_shingles", "odd")
 
@@ -246,15 +288,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     release(spark)
 
     def confirmed(pairs: DataFrame, sketched: bool) -> DataFrame:
-        of = lambda s: sizes.select(F.col("id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("odd").alias(f"odd_{s}"))
-        p = pairs.join(of("a"), "a").join(of("b"), "b").where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+        p = pairs
         if not sketched:
-            p = p.where(_apart("odd_a", "odd_b") <= most)
-        p = p.select("a", "b")
+            of = lambda s: sizes.select(F.col("id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("odd").alias(f"odd_{s}"))
+            p = p.join(of("a"), "a").join(of("b"), "b").where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+            p = p.where(_apart("odd_a", "odd_b") <= most).select("a", "b")
         of = lambda s, x: sets.select(F.col("node").alias(s), F.col("shingles").alias(x))
         return p.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a bigint, b bigint")
 
-    edges = stored(confirmed(buckets.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), False).distinct(), "neardup")
+    edges = stored(confirmed(buckets.join(leads, "k").where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), False), "neardup")
     labels = stored(connected_components(edges), "neardup")
 
     def labelled(t: DataFrame, labels: DataFrame) -> DataFrame:
@@ -270,27 +312,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     by_size = first.groupBy("k", "component").agg(F.count("*").alias("m"))
     largest = by_size.groupBy("k").agg(F.max_by("component", F.struct("m", -F.col("component"))).alias("main"), F.sum("m").alias("n"), (F.sum("m") - F.max("m")).alias("n_seek"))
     seekers = first.join(largest, "k").withColumn("seeks", F.col("component") != F.col("main"))
-    open_ = stored(seekers.select("k", "id", "seeks", "n", "n_seek").join(sizes.select("id", "odd"), "id"), "neardup")
-    low, width = 0, 4
-    while True:
-        blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
-        of = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
-        now = unresolved(open_, labels).drop("component")
-        members = now.withColumn("mb", of("n")).withColumn("eb", F.explode(F.sequence(F.lit(0), blocks("n_seek") - 1))).withColumn("member", F.lit(True)).withColumn("seeks", F.col("seeks") & (F.lit(BLOCK) >= F.col("n")))
-        apart = now.where("seeks").where(F.col("n") > BLOCK).withColumn("eb", of("n_seek")).withColumn("mb", F.explode(F.sequence(F.lit(0), blocks("n") - 1))).withColumn("member", F.lit(False))
-        cols = ["k", "mb", "eb", "id", "seeks", "member", "odd"]
-        rows = members.select(cols).unionByName(apart.select(cols))
-        spread = rows.repartition("k", "mb", "eb").sortWithinPartitions("k", "mb", "eb")
-        found = stored(spread.mapInArrow(_ranked(most, low, low + width), "a bigint, b bigint").distinct(), "neardup")
-        if found.isEmpty():
-            break
-        left = labelled(found.withColumnRenamed("a", "id"), labels).select(F.col("id").alias("a"), F.col("component").alias("ca"), F.col("b").alias("id"))
-        left = labelled(left, labels).where("ca <> component").select("a", F.col("id").alias("b"))
-        more = stored(confirmed(left, True), "neardup")
+    open_ = stored(seekers.select("k", "id", "seeks", "n", "n_seek").join(nodes.withColumnRenamed("doc_id", "id"), "id"), "neardup")
+    blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
+    block = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
+    cols = ["k", "mb", "eb", "id", "seeks", "member", "component", "n_shingles", "odd", "bands", "parity"]
+    for low, high in ((0, 8), (8, None)):
+        now = unresolved(open_, labels)
+        small = now.where(F.col("n") <= BLOCK).withColumn("mb", F.lit(0)).withColumn("eb", F.lit(0)).withColumn("member", F.lit(True))
+        large = now.where(F.col("n") > BLOCK)
+        members = large.withColumn("mb", block("n")).withColumn("eb", F.explode(F.sequence(F.lit(0), blocks("n_seek") - 1))).withColumn("member", F.lit(True)).withColumn("seeks", F.lit(False))
+        asking = large.where("seeks").withColumn("eb", block("n_seek")).withColumn("mb", F.explode(F.sequence(F.lit(0), blocks("n") - 1))).withColumn("member", F.lit(False))
+        rows = small.select(cols).unionByName(members.select(cols)).unionByName(asking.select(cols))
+        spread = rows.repartition("k", "mb", "eb").sortWithinPartitions("k", "mb", "eb", "id")
+        found = stored(spread.mapInArrow(_sought(most, percent, low, high), "a bigint, b bigint").distinct(), "neardup")
+        more = stored(confirmed(found, True), "neardup")
         if not more.isEmpty():
             edges = edges.unionByName(more)
             labels = stored(connected_components(edges), "neardup")
-        low, width = low + width, width * 4
 
     release(spark)
     of_key = least.join(labels, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
