@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planweave.llm import _words
+from planweave.session import stored
 
 TEXT_FEATURES = (
     "letters", "digits", "marks", "capitals", "spaces", "high_bytes", "word_length", "long_words",
@@ -199,9 +200,15 @@ def fit(feats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "q
     """Fit on bounded samples by least hash; labels that are null or disagree for one document are left out."""
     votes = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).cast("bigint").alias("doc_id")).agg(F.min(label).alias("y"), F.max(label).alias("y2"))
     marked = feats.join(votes, "doc_id", "left").withColumn("h", F.xxhash64("doc_id", "view_text", "view_meta"))
-    pick = lambda d, n: d.orderBy("h", "doc_id").limit(n).toPandas()
-    known = pick(marked.where("y = y2"), max_labelled)
-    pool = pick(marked.where("y is null"), max_pool)
+    n_known, n_pool = marked.agg(F.count_if(F.expr("y = y2")), F.count_if(F.col("y").isNull())).first()
+
+    def pick(rows: DataFrame, there: int, most: int):
+        # About twice as many by a bound on the hash first, so that tasks don't send `most` rows each.
+        bound = (1 << 64) * min(1.0, 2 * (most + 100) / max(there, 1)) - (1 << 63)
+        return rows.where(F.col("h") <= F.lit(min(int(bound), (1 << 63) - 1))).orderBy("h", "doc_id").limit(most).toPandas()
+
+    known = pick(marked.where("y = y2"), n_known, max_labelled)
+    pool = pick(marked.where("y is null"), n_pool, max_pool)
     block = lambda p, c, width: np.array(p[c].tolist(), float).reshape(len(p), width)
     n = len(TEXT_FEATURES)
     return CoTraining(block(known, "view_text", n), block(known, "view_meta", 3), known["y"].to_numpy(float), block(pool, "view_text", n), block(pool, "view_meta", 3))
@@ -230,8 +237,9 @@ def classify(docs: DataFrame, labels: DataFrame, carry: bool = False, threshold:
     Repeated rows score alike.  With no labels, or labels of one kind, every
     document scores the smoothed share of good ones and, at 0.5 or more, stays.
     """
-    model = fit(features(docs), labels, **limits)
-    return score(features(docs, carry=carry), model).withColumn("kept", F.col("score") >= threshold)
+    feats = stored(features(docs), "quality")
+    model = fit(feats, labels, **limits)
+    return score(features(docs, carry=True) if carry else feats, model).withColumn("kept", F.col("score") >= threshold)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
