@@ -76,7 +76,7 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def pieces(texts: pa.Array, most: int = 4 << 20):
+def pieces(texts: pa.Array, most: int = 2 << 20):
     """Slices of a string array of about `most` bytes each, one document at least."""
     texts = texts.fill_null("")
     _, offsets = buffers(texts)

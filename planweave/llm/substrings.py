@@ -32,13 +32,13 @@ PLACES = "doc_id bigint, text_key bigint, blob binary"
 class _Sender:
     """Collects windows of many documents and gives them out as a blob for each range of hashes."""
 
-    def __init__(self, slots: int, most: int = 4 << 20):
+    def __init__(self, slots: int, most: int = 2 << 20):
         self.slots, self.most, self.parts, self.n = slots, most, [], 0
 
-    def add(self, h: np.ndarray, doc_id: np.ndarray, key: np.ndarray, at: np.ndarray):
-        """doc_id and key are of documents; the windows' owners are in the last column of at."""
+    def add(self, h: np.ndarray, place: np.ndarray, owner: np.ndarray, doc_id: np.ndarray, key: np.ndarray):
+        """Hash, place in the document and document of each window; id and key of each document."""
         if len(h):
-            self.parts.append((h, doc_id, key, at))
+            self.parts.append((h, place.astype(np.uint32), owner.astype(np.uint32), doc_id, key))
             self.n += len(h)
         if self.n >= self.most:
             yield from self.out()
@@ -47,15 +47,13 @@ class _Sender:
         if not self.parts:
             return
         shift, owners = 0, []
-        for _, d, _, at in self.parts:
-            owners.append(at[:, 1] + shift)
-            shift += len(d)
-        h = np.concatenate([p[0] for p in self.parts])
-        doc_id = np.concatenate([p[1] for p in self.parts])
-        key = np.concatenate([p[2] for p in self.parts])
-        place = np.concatenate([p[3][:, 0] for p in self.parts])
+        for p in self.parts:
+            owners.append(p[2] + np.uint32(shift))
+            shift += len(p[3])
+        h, place, doc_id, key = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1, 3, 4))
         owner = np.concatenate(owners)
         self.parts, self.n = [], 0
+        del owners
         order = np.argsort(h, kind="stable")
         h, place, owner = h[order], place[order], owner[order]
         slot = _blobs.slot(h, self.slots)
@@ -82,7 +80,7 @@ def _first_windows(words: int, slots: int):
                 h, place, owner = h[ok], place[ok], owner[ok]
                 raw = data.tobytes()
                 keys = np.array([_words.text_key(raw[a:b]) for a, b in zip(offsets, offsets[1:])], np.int64)
-                yield from sender.add(h, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), keys, np.stack([place - first[owner], owner], axis=1))
+                yield from sender.add(h, place - first[owner], owner, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), keys)
         yield from sender.out()
 
     return run
@@ -102,7 +100,7 @@ def _next_windows(length: int, slots: int):
                 ok[ok] = place[at[ok]] == place[ok] + np.uint64(length)
                 if ok.any():
                     joined = _words.mix(h[ok] * np.uint64(0xD1342543DE82EF95) + h[at[ok]] + np.uint64(length))
-                    yield from sender.add(joined, ids[i : i + 1], keys[i : i + 1], np.stack([place[ok].astype(np.int64), np.zeros(ok.sum(), np.int64)], axis=1))
+                    yield from sender.add(joined, place[ok], np.zeros(ok.sum(), np.uint32), ids[i : i + 1], keys[i : i + 1])
         yield from sender.out()
 
     return run
@@ -124,7 +122,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     cols, shift = [], 0
     for blob in table.column("blob").to_pylist():
         steps, local, place, doc_id, key = _blobs.unpack(blob)
-        cols.append((_blobs.undelta(steps), local.astype(np.int64) + shift, place.astype(np.int32), doc_id.view(np.int64), key.view(np.int64)))
+        cols.append((_blobs.undelta(steps), local.astype(np.int32) + np.int32(shift), place.astype(np.int32), doc_id.view(np.int64), key.view(np.int64)))
         shift += len(doc_id)
     h, owner, place, doc_id, key = (np.concatenate([c[i] for c in cols]) for i in range(5))
     del cols
@@ -199,7 +197,7 @@ def dedup_substrings(docs: DataFrame, words: int = 13, text: str = "text", id: s
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    slots = slots or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = slots or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     level = stored(_level(plain.mapInArrow(_first_windows(words, slots), BLOB)), "substrings")
     release(spark)
     longest = level.select("doc_id", "text_key", F.lit(words).cast("bigint").alias("length"))
