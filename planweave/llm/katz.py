@@ -109,7 +109,7 @@ def _runs(a: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([np.ones(min(len(a), 1), bool), a[1:] != a[:-1]]))
 
 
-def _deal_pairs(slots: int, heavy: np.ndarray, most: int = 4 << 20):
+def _deal_pairs(slots: int, heavy: np.ndarray, most: int = 2 << 20):
     """The pairs of batches of documents, a blob for each range: pairs once each, then the documents that hold them.
 
     kind 0: pairs; kind 1: the batch's documents (id, whether it is null, whether learned from, whether held out).
@@ -125,10 +125,10 @@ def _deal_pairs(slots: int, heavy: np.ndarray, most: int = 4 << 20):
         def out():
             shift, owners = 0, []
             for p in parts:
-                owners.append(p[2] + shift)
+                owners.append(p[2] + np.uint32(shift))
                 shift += len(p[3])
             u, w = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-            owner = np.concatenate(owners).astype(np.uint32)
+            owner = np.concatenate(owners)
             ids, null, train, held = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5, 6))
             parts.clear()
             deal = w.copy()
@@ -163,7 +163,7 @@ def _deal_pairs(slots: int, heavy: np.ndarray, most: int = 4 << 20):
                 n = len(texts)
                 ids = batch.column(2).slice(at, n)
                 held = batch.column(3).slice(at, n).fill_null(False).to_numpy(zero_copy_only=False)
-                parts.append((u, w, np.repeat(np.arange(n), np.diff(first)), ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), ~ids.is_valid().to_numpy(zero_copy_only=False), _flags(batch, at, n), held))
+                parts.append((u, w, np.repeat(np.arange(n, dtype=np.uint32), np.diff(first)), ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), ~ids.is_valid().to_numpy(zero_copy_only=False), _flags(batch, at, n), held))
                 size += len(w)
                 if size >= most:
                     yield out()
