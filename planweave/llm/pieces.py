@@ -11,15 +11,16 @@ would leave apart: each position then has exactly one last piece, and a piece
 may follow another only if merging the two, taken back step by step, would never
 have joined across their border.  Ids equal the library's in both cases.
 
-No piece reaches over the start of a white-space run or over a character that
-no piece holds, so all paths meet there; texts are cut at these places and the
-ids of the parts seen before are looked up.
+No piece reaches over the start of a white-space run, over a line end or, for
+most marks, from a mark to a letter, so all paths meet there; texts are cut at
+these places and the ids of the parts seen before are looked up.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -56,13 +57,26 @@ class Pieces:
         self.bytes = {int(p[1:-1], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
         self.longest = max(map(len, self.index), default=1)
         self.floor = min((self.scores[i] for i in self.index.values()), default=0.0) - 10.0
-        held = set("".join(self.index))
-        cuts = all(SPACE not in p.lstrip(SPACE) for p in self.index)
-        self.parts = re.compile((rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+" if "\n" not in held else rf"{SPACE}*[^{SPACE}]+|{SPACE}+") if cuts else r"(?s).+")
+        self.fine, self.coarse, self.mixed = self._cuts()
         self.split: dict[int, tuple[int, int]] = {}
         if self.kind == BPE:
             self._splits()
 
+    def _cuts(self) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+        """Parts of a text between which every path has a boundary, for texts without and with exceptions, and what is one.
+
+        No piece has white space after something else or holds a line end, and none joins a letter or digit and a
+        mark, but for those with the exceptions.
+        """
+        never = re.compile(r"(?!)")
+        if any(SPACE in p.lstrip(SPACE) for p in self.index):
+            return re.compile(r"(?s).+"), re.compile(r"(?s).+"), never
+        line = "" if any("\n" in p for p in self.index) else r"\n"
+        last = rf"|{SPACE}+" + (r"|\n" if line else "")
+        mixed = {x if x.isalnum() else y for p in self.index for x, y in zip(p, p[1:]) if SPACE not in (x, y) and x.isalnum() != y.isalnum()}
+        fine = rf"{SPACE}*[^\W_]+|{SPACE}*(?:(?![{SPACE}{line}])[\W_])+" + last
+        return re.compile(fine), re.compile(rf"{SPACE}*[^{SPACE}{line}]+" + last), re.compile(f"[{''.join(map(re.escape, sorted(mixed)))}]") if mixed else never
+
     def _splits(self) -> None:
         """The last merge of every piece; pieces that merging never makes leave the lattice."""
         keep = {}
@@ -76,6 +90,13 @@ class Pieces:
         self.lattice = {p: i for p, i in keep.items() if len(p) == 1 or p.strip(SPACE)}
         # Singles come before every merge.
         self.rank = {i: -self.scores[i] if i in self.split else -1.0 for i in self.lattice.values()}
+        # The lattice's pieces by character: (piece or -1, what may follow).
+        self.trie: dict = {}
+        for piece, i in sorted(self.lattice.items()):
+            at = self.trie
+            for c in piece[:-1]:
+                at = at.setdefault(c, (-1, {}))[1]
+            at[piece[-1]] = (i, at[piece[-1]][1] if piece[-1] in at else {})
 
     def merge(self, s: str) -> tuple[list[int], tuple[int, int] | None]:
         """Byte-pair merging of a string as such, with its last merge; used for tables, white-space runs and tests."""
@@ -115,17 +136,18 @@ class Pieces:
 
 
 class Encoder:
-    """Streaming encoder of one task; remembers up to `remembered` parts."""
+    """Streaming encoder of one task; remembers up to twice `remembered` parts, those used last."""
 
-    def __init__(self, model: Pieces, remembered: int = 200_000):
+    def __init__(self, model: Pieces, remembered: int = 300_000):
         self.m = model
         self.most = remembered
         self.seen: dict[str, bytes] = {}
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.before: dict[str, bytes] = {}
+        self.apart: dict[int, bool] = {}
 
     def _stay_apart(self, a: int, b: int) -> bool:
         """Whether merging leaves piece b apart from piece a before it."""
-        known = self.apart.get((a, b))
+        known = self.apart.get(a << 24 | b)
         if known is not None:
             return known
         m = self.m
@@ -144,9 +166,9 @@ class Encoder:
                 limit, left, tie = ra, split[left][1], False
             else:
                 limit, right, tie = rb, split[right][0], True
-        if len(self.apart) > 200_000:
+        if len(self.apart) > 600_000:
             self.apart.clear()
-        self.apart[(a, b)] = ok
+        self.apart[a << 24 | b] = ok
         return ok
 
     def _walk(self, s: str) -> list[int]:
@@ -201,6 +223,33 @@ class Encoder:
         self._commit(s, base, len(s), last, back, out)
         return out
 
+    def _short(self, s: str) -> list[int]:
+        """_walk() for a part within one window, all of whose paths meet at its end."""
+        n, trie, known, longest = len(s), self.m.trie, self.apart, self.m.longest
+        last, back = [-3] * (n + 1), [0] * (n + 1)  # -3: no piece found yet
+        last[0] = -2
+        for j in range(n):
+            q, e, at = last[j], j, trie
+            for c in s[j : j + longest]:
+                step = at.get(c)
+                if step is None:
+                    break
+                e += 1
+                p, at = step
+                if p >= 0 and last[e] == -3:
+                    if q >= 0:
+                        ok = known.get(q << 24 | p)
+                        if not (self._stay_apart(q, p) if ok is None else ok):
+                            continue
+                    last[e], back[e] = p, j
+            if last[j + 1] == -3:
+                if s[j] in self.m.index:
+                    raise AssertionError("a position without a path")
+                last[j + 1], back[j + 1] = -1, j
+        out: list[int] = []
+        self._commit(s, 0, n, last, back, out)
+        return out
+
     def _commit(self, s: str, base: int, end: int, last: list, back: list, out: list) -> None:
         path = []
         while end > base:
@@ -217,14 +266,15 @@ class Encoder:
     def part(self, s: str) -> list[int]:
         if self.m.kind == BPE and len(s) > 1 and s[0] == SPACE == s[1]:
             return self.m.merge(s)[0]  # pieces of white space alone share one score, so only their order decides
-        return self._walk(s)
+        return self._short(s) if self.m.kind == BPE and len(s) <= 4 * self.m.longest else self._walk(s)
 
     def packed(self, text: str) -> bytes:
         """The ids of a text as 32-bit numbers."""
         if not text:
             return b""
         seen = self.seen
-        parts = self.m.parts.findall((SPACE if self.m.prefix else "") + text.replace(" ", SPACE))
+        pattern = self.m.coarse if self.m.mixed.search(text) else self.m.fine
+        parts = pattern.findall((SPACE if self.m.prefix else "") + text.replace(" ", SPACE))
         out = [seen.get(p) for p in parts]
         if None in out:
             for k, b in enumerate(out):
@@ -232,10 +282,13 @@ class Encoder:
                     p = parts[k]
                     b = seen.get(p)
                     if b is None:
-                        b = np.array(self.part(p), np.int32).tobytes()
+                        b = self.before.get(p)
+                        if b is None:
+                            b = array("i", self.part(p)).tobytes()
                         if len(p) <= 64:
                             if len(seen) >= self.most:
-                                seen.clear()
+                                self.before, self.seen = seen, {}
+                                seen = self.seen
                             seen[p] = b
                     out[k] = b
         return b"".join(out)
