@@ -244,17 +244,17 @@ def _range_of_pairs(slots: int, heavy: np.ndarray, heavy_counts: np.ndarray, n_t
                 for a, b in zip(cut, cut[1:]):
                     out.append((2, int(slot[a]), -1, _blobs.pack(_blobs.delta(rows[0][a:b]), *(r[a:b] for r in rows[1:])), None))
             lost = np.flatnonzero(count[entry] == 0)
-            for batch, a, b, docs in spans:
-                at = lost[(doc[lost] >= a) & (doc[lost] < b)]
-                if not len(at):
-                    continue
-                hu, hd, ht = pu[entry[at]], docs[doc[at] - a], times[at]
-                order = np.argsort(hu, kind="stable")
-                hu, hd, ht = hu[order], hd[order], ht[order]
+            if len(lost):
+                ends = np.array([b for _, _, b, _ in spans])
+                places = np.concatenate([d for _, _, _, d in spans])
+                lost = lost[np.argsort(pu[entry[lost]], kind="stable")]
+                hu, hd = pu[entry[lost]], doc[lost]
+                hb, hd, ht = np.searchsorted(ends, hd, "right"), places[hd], times[lost]
                 slot = _blobs.slot(hu, slots).astype(np.int64)
                 cut = np.append(_runs(slot), len(slot))
                 for a, b in zip(cut, cut[1:]):
-                    out.append((3, int(slot[a]), batch, _blobs.pack(_blobs.delta(hu[a:b]), hd[a:b], ht[a:b].astype(np.uint64)), None))
+                    held, at = np.unique(hb[a:b], return_inverse=True)
+                    out.append((3, int(slot[a]), -1, _blobs.pack(_blobs.delta(hu[a:b]), at, hd[a:b], ht[a:b].astype(np.uint64), np.array([spans[k][0] for k in held], np.uint64)), None))
             out.append((4, -1, -1, None, np.bincount(np.minimum(count, CUTOFF + 2), minlength=CUTOFF + 3).tolist()))
         kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
         return pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["kind", "slot", "batch", "blob", "counts"])
@@ -294,17 +294,26 @@ def _backoff(r: np.ndarray, n_tokens: int, n_words: int):
             free = sum((c + 1 - r[c + 1]) * x for c, x in enumerate(classes)) + LEAST * (pairs - sum(classes))
             rest = 1 - (word_sum + DELTA * pairs) / unit
             beta = np.log10(free / rest)
-        batches, blobs = [], []
-        for _, batch, blob in (x for x in rows if x[0] == 3):
-            u, doc, times = _blobs.unpack(blob)
+        parts = []
+        for _, _, blob in (x for x in rows if x[0] == 3):
+            u, of, doc, times, held = _blobs.unpack(blob)
             u = _blobs.undelta(u)
             value = np.zeros(len(u))
             if len(words):
                 at = np.minimum(np.searchsorted(words, u), len(words) - 1)
                 value = np.where(words[at] == u, beta[at], 0.0) * times.astype(float)
-            docs, inverse = np.unique(doc, return_inverse=True)
-            batches.append(batch)
-            blobs.append(_blobs.pack(_blobs.delta(docs), _fixed(np.bincount(inverse, weights=value))))
+            parts.append((held[of.astype(np.int64)], doc, value))
+        batches, blobs = [], []
+        if parts:
+            of, doc, value = (np.concatenate([x[i] for x in parts]) for i in range(3))
+            order = np.lexsort((doc, of))
+            of, doc, value = of[order], doc[order], value[order]
+            heads = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (doc[1:] != doc[:-1])]))
+            of, doc, value = of[heads], doc[heads], _fixed(np.add.reduceat(value, heads))
+            cut = np.append(_runs(of), len(of))
+            for a, b in zip(cut, cut[1:]):
+                batches.append(int(of[a]))
+                blobs.append(_blobs.pack(_blobs.delta(doc[a:b]), value[a:b]))
         return pa.table([pa.array([5] * len(blobs), pa.int32()), pa.array(batches, pa.int64()), pa.array(blobs, pa.binary())], names=["kind", "batch", "blob"])
 
     return run
@@ -355,7 +364,8 @@ def score_documents(docs: DataFrame, learn, hold=None, text: str = "text", id: s
     rows = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(id).cast("bigint").alias("doc_id"), F.coalesce(~learn if hold is None else hold, F.lit(False)).alias("held"))
     words = stored(rows.select("text", "learn").mapInArrow(_count_words(slots), "slot int, blob binary").groupBy("slot").applyInArrow(_sum_words(HEAVY), "n bigint, v bigint, words array<bigint>, counts array<bigint>"), "katz")
     n_tokens, n_words = (int(x or 0) for x in words.agg(F.sum("n"), F.sum("v")).first())
-    common = words.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).where(F.col("w.counts") * HEAVY >= n_tokens)
+    often = F.filter(F.arrays_zip("words", "counts"), lambda w: w["counts"] * HEAVY >= n_tokens)
+    common = words.select(F.explode(often).alias("w"))
     heavy = sorted((r[0] & _words.MASK, r[1]) for r in common.select("w.words", "w.counts").collect())
     discard(words)
     release(spark)
