@@ -8,9 +8,10 @@ them, and drops those that repeat no more; it ends when none is left.  A word is
 removed if a window of level 0 covers it whose words also start in a document of
 a smaller id; the levels tell how long the passages are.
 
-Windows travel as sorted, packed columns, one blob for each task and range of
-hashes, and only level 0 sends all of them.  Hashes have 64 bits; level 1 and
-above are combined from them.
+Windows travel as sorted, packed columns: a task packs the windows of a batch of
+documents into one blob for each range of hashes, and a range answers with one
+blob for each batch.  Only level 0 sends all windows.  Hashes have 64 bits;
+those of level 1 and above are combined from the level before.
 """
 
 from __future__ import annotations
@@ -25,50 +26,50 @@ from pyspark.sql import functions as F
 from planweave.llm import _blobs, _words
 from planweave.session import discard, release, stored
 
-BLOB = "slot int, blob binary"
-PLACES = "doc_id bigint, text_key bigint, blob binary"
-
-
-class _Sender:
-    """Collects windows of many documents and gives them out as a blob for each range of hashes."""
-
-    def __init__(self, slots: int, most: int = 2 << 20):
-        self.slots, self.most, self.parts, self.n = slots, most, [], 0
-
-    def add(self, h: np.ndarray, place: np.ndarray, owner: np.ndarray, doc_id: np.ndarray, key: np.ndarray):
-        """Hash, place in the document and document of each window; id and key of each document."""
-        if len(h):
-            self.parts.append((h, place.astype(np.uint32), owner.astype(np.uint32), doc_id, key))
-            self.n += len(h)
-        if self.n >= self.most:
-            yield from self.out()
-
-    def out(self):
-        if not self.parts:
-            return
-        shift, owners = 0, []
-        for p in self.parts:
-            owners.append(p[2] + np.uint32(shift))
-            shift += len(p[3])
-        h, place, doc_id, key = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1, 3, 4))
-        owner = np.concatenate(owners)
-        self.parts, self.n = [], 0
-        del owners
-        order = np.argsort(h, kind="stable")
-        h, place, owner = h[order], place[order], owner[order]
-        slot = _blobs.slot(h, self.slots)
-        cut = np.append(np.flatnonzero(np.diff(slot, prepend=slot[:1] + np.uint64(1))), len(h))
-        names, blobs = [], []
-        for a, b in zip(cut, cut[1:]):
-            docs, local = np.unique(owner[a:b], return_inverse=True)
-            names.append(int(slot[a]))
-            blobs.append(_blobs.pack(_blobs.delta(h[a:b]), local, place[a:b], doc_id[docs], key[docs]))
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["slot", "blob"])
-
-
-def _first_windows(words: int, slots: int):
+# kind 0: windows (a batch's in a range, or a range's answer); kind 1: the batch's documents (id, key of the text).
+SENT = "slot int, kind int, batch bigint, blob binary"
+ANSWER = "kind int, batch bigint, blob binary"
+LEVEL = "batch bigint, docs binary, blob binary"
+
+
+def _runs(a: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(a), 1), bool), a[1:] != a[:-1]]))
+
+
+def _send(slots: int, batch: int, h: np.ndarray, place: np.ndarray, owner: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """A batch's windows, a blob for each range of hashes, and its documents."""
+    order = np.argsort(h, kind="stable")
+    h, place, owner = h[order], place[order], owner[order]
+    slot = _blobs.slot(h, slots)
+    cut = np.append(_runs(slot), len(h))
+    names, kinds, blobs = [batch % slots], [1], [_blobs.pack(ids, keys)]
+    for a, b in zip(cut, cut[1:]):
+        docs, local = np.unique(owner[a:b], return_inverse=True)
+        names.append(int(slot[a])), kinds.append(0)
+        blobs.append(_blobs.pack(_blobs.delta(h[a:b]), local, place[a:b], docs, ids[docs]))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(kinds, pa.int32()), pa.array([batch] * len(names), pa.int64()), pa.array(blobs, pa.binary())], names=["slot", "kind", "batch", "blob"])
+
+
+def _first_windows(words: int, slots: int, most: int = 2 << 20):
+    """Level 0 of batches of about `most` windows.  Documents with a null id have none."""
+
     def run(batches):
-        hasher, sender = _words.Hasher(False), _Sender(slots)
+        from pyspark import TaskContext
+
+        hasher = _words.Hasher(False)
+        parts: list = []
+        n, batch_no = 0, TaskContext.get().partitionId() << 24
+
+        def out():
+            shift, owners = 0, []
+            for p in parts:
+                owners.append(p[2] + np.uint32(shift))
+                shift += len(p[3])
+            h, place, ids, keys = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3, 4))
+            parts.clear()
+            return _send(slots, batch_no, h, place, np.concatenate(owners), ids, keys)
+
         for batch in batches:
             for at, texts in _words.pieces(batch.column(1)):
                 ids = batch.column(0).slice(at, len(texts))
@@ -76,12 +77,17 @@ def _first_windows(words: int, slots: int):
                 starts, ends, first = _words.spans(data, offsets)
                 h, place = _words.windows(hasher.words(data, starts, ends), first, words)
                 owner = np.searchsorted(first, place, "right") - 1
-                ok = ids.is_valid().to_numpy(zero_copy_only=False)[owner] if len(owner) else np.zeros(0, bool)
-                h, place, owner = h[ok], place[ok], owner[ok]
+                ok = ids.is_valid().to_numpy(zero_copy_only=False)[owner]
+                h, place, owner = h[ok], (place - first[owner])[ok].astype(np.uint32), owner[ok].astype(np.uint32)
                 raw = data.tobytes()
                 keys = np.array([_words.text_key(raw[a:b]) for a, b in zip(offsets, offsets[1:])], np.int64)
-                yield from sender.add(h, place - first[owner], owner, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), keys)
-        yield from sender.out()
+                parts.append((h, place, owner, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), keys))
+                n += len(h)
+                if n >= most:
+                    yield out()
+                    n, batch_no = 0, batch_no + 1
+        if parts:
+            yield out()
 
     return run
 
@@ -90,63 +96,86 @@ def _next_windows(length: int, slots: int):
     """Windows of twice the length, from the places and hashes of those of `length` words."""
 
     def run(batches):
-        sender = _Sender(slots)
         for batch in batches:
-            ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for i, parts in enumerate(batch.column(2).to_pylist()):
-                place, h, _ = _read_places(parts)
-                at = np.searchsorted(place, place + np.uint64(length))
-                ok = at < len(place)
-                ok[ok] = place[at[ok]] == place[ok] + np.uint64(length)
+            for no, docs, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                owner, place, h, _ = _blobs.unpack(blob)
+                at_word = owner << np.uint64(32) | place
+                after = at_word + np.uint64(length)
+                at = np.minimum(np.searchsorted(at_word, after), len(at_word) - 1)
+                ok = at_word[at] == after
                 if ok.any():
                     joined = _words.mix(h[ok] * np.uint64(0xD1342543DE82EF95) + h[at[ok]] + np.uint64(length))
-                    yield from sender.add(joined, place[ok], np.zeros(ok.sum(), np.uint32), ids[i : i + 1], keys[i : i + 1])
-        yield from sender.out()
+                    ids, keys = (c.view(np.int64) for c in _blobs.unpack(docs))
+                    yield _send(slots, no, joined, place[ok].astype(np.uint32), owner[ok].astype(np.uint32), ids, keys)
 
     return run
 
 
-def _read_places(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, whether a smaller id has it) of a document's repeated windows, by place."""
-    cols = [_blobs.unpack(b) for b in parts]
-    place, h, later = (np.concatenate([c[i] for c in cols]) for i in range(3))
-    place = place.copy()
-    order = np.argsort(place, kind="stable")
-    place, h, later = place[order], h[order], later[order]
-    new = np.concatenate([[True], place[1:] != place[:-1]])  # repeated rows tell the same twice
-    return place[new], h[new], later[new]
-
-
 def _repeated(table: pa.Table) -> pa.Table:
-    """The windows of a range of hashes that start in more than one document, by document."""
-    cols, shift = [], 0
-    for blob in table.column("blob").to_pylist():
-        steps, local, place, doc_id, key = _blobs.unpack(blob)
-        cols.append((_blobs.undelta(steps), local.astype(np.int32) + np.int32(shift), place.astype(np.int32), doc_id.view(np.int64), key.view(np.int64)))
-        shift += len(doc_id)
-    h, owner, place, doc_id, key = (np.concatenate([c[i] for c in cols]) for i in range(5))
-    del cols
-    order = np.argsort(h, kind="stable")
-    h, owner, place = h[order], owner[order], place[order]
-    ids = doc_id[owner]
-    heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    least, most = np.minimum.reduceat(ids, heads), np.maximum.reduceat(ids, heads)
-    size = np.diff(np.append(heads, len(h)))
-    keep = np.repeat(least != most, size)
-    later = (ids > np.repeat(least, size))[keep]
-    h, owner, place = h[keep], owner[keep], place[keep]
+    """Of a range of hashes: the windows that start in more than one document, by batch, and whether a smaller id has them."""
+    out, cols = [], []
+    for kind, batch, blob in zip(*(table.column(c).to_pylist() for c in ("kind", "batch", "blob"))):
+        if kind == 1:
+            out.append((1, batch, blob))
+            continue
+        steps, local, place, docs, ids = _blobs.unpack(blob)
+        local = local.astype(np.int64)
+        cols.append((batch, _blobs.undelta(steps), docs[local].astype(np.uint32), place.astype(np.uint32), ids.view(np.int64)[local]))
+    if cols:
+        h = np.concatenate([c[1] for c in cols])
+        ids = np.concatenate([c[4] for c in cols])
+        ends = np.cumsum([len(c[1]) for c in cols])
+        order = np.argsort(h, kind="stable")
+        heads = _runs(h[order])
+        size = np.diff(np.append(heads, len(h)))
+        own = ids[order]
+        least, most = np.minimum.reduceat(own, heads), np.maximum.reduceat(own, heads)
+        keep, later = np.zeros(len(h), bool), np.zeros(len(h), bool)
+        keep[order] = np.repeat(least != most, size)
+        later[order] = own > np.repeat(least, size)
+        for (batch, hashes, docs, place, _), a, b in zip(cols, np.append(0, ends[:-1]), ends):
+            at = np.flatnonzero(keep[a:b])
+            if len(at):
+                out.append((0, batch, _blobs.pack(_blobs.delta(hashes[at]), docs[at], place[at], later[a:b][at].astype(np.uint8))))
+    return pa.table([pa.array([o[i] for o in out], k) for i, k in enumerate((pa.int32(), pa.int64(), pa.binary()))], names=["kind", "batch", "blob"])
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """A batch's repeated windows in the order of its words; no row if there are none."""
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "batch", "blob"))))
+    found = [_blobs.unpack(b) for k, _, b in rows if k == 0]
+    if not found:
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.binary()), pa.array([], pa.binary())], names=["batch", "docs", "blob"])
+    h = np.concatenate([_blobs.undelta(f[0]) for f in found])
+    owner, place, later = (np.concatenate([f[i] for f in found]) for i in (1, 2, 3))
     order = np.lexsort((place, owner))
-    h, owner, place, later = h[order], owner[order], place[order], later[order]
-    heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-    out = owner[heads]
-    blobs = [_blobs.pack(place[a:b].astype(np.uint64), h[a:b], later[a:b].astype(np.uint64)) for a, b in zip(heads, np.append(heads[1:], len(owner)))]
-    return pa.table([pa.array(doc_id[out]), pa.array(key[out]), pa.array(blobs, pa.binary())], names=["doc_id", "text_key", "blob"])
+    blob = _blobs.pack(owner[order], place[order], h[order], later[order])
+    return pa.table([pa.array([rows[0][1]], pa.int64()), pa.array([next(b for k, _, b in rows if k == 1)], pa.binary()), pa.array([blob], pa.binary())], names=["batch", "docs", "blob"])
 
 
 def _level(windows: DataFrame) -> DataFrame:
-    """A row for each document that has repeated windows: doc_id, text_key, parts."""
-    found = windows.groupBy("slot").applyInArrow(_repeated, PLACES)
-    return found.groupBy("doc_id", "text_key").agg(F.collect_list("blob").alias("parts"))
+    answers = windows.groupBy("slot").applyInArrow(_repeated, ANSWER)
+    return stored(answers.groupBy("batch").applyInArrow(_gathered, LEVEL), "substrings")
+
+
+def _documents(length: int, places: bool):
+    """A row for each document with repeated windows of a level, and with `places` those that also start in a smaller id."""
+
+    def run(batches):
+        for batch in batches:
+            for docs, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                owner, place, _, later = _blobs.unpack(blob)
+                ids, keys = (c.view(np.int64) for c in _blobs.unpack(docs))
+                heads = _runs(owner)
+                at = owner[heads].astype(np.int64)
+                gone = [None] * len(at)
+                if places:
+                    for i, (a, b) in enumerate(zip(heads, np.append(heads[1:], len(owner)))):
+                        p = place[a:b][later[a:b] > 0]
+                        gone[i] = _blobs.pack(_blobs.delta(p)) if len(p) else None
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(keys[at]), pa.array([length] * len(at), pa.int64()), pa.array(gone, pa.binary())], names=["doc_id", "text_key", "length", "gone"])
+
+    return run
 
 
 def _kept(words: int):
@@ -154,27 +183,26 @@ def _kept(words: int):
         for batch in batches:
             col = dict(zip(batch.schema.names, batch.columns))
             out: list[list] = [[], [], [], []]
-            for s, parts in zip(col["text"].to_pylist(), col["parts"].to_pylist()):
+            for s, blob in zip(col["text"].to_pylist(), col["gone"].to_pylist()):
                 ws = (s or "").encode().split()
                 n = len(ws)
                 gone = 0
-                if parts:
-                    place, _, later = _read_places(parts)
+                if blob:
+                    at = _blobs.undelta(_blobs.unpack(blob)[0]).astype(np.int64)
                     steps = np.zeros(n + 1, np.int64)
-                    at = place[later > 0].astype(np.int64)
                     np.add.at(steps, at, 1)
                     np.add.at(steps, at + words, -1)
                     stay = np.cumsum(steps[:n]) == 0
                     gone = int(n - stay.sum())
-                    ws = [w for w, k in zip(ws, stay) if k] if gone else ws
+                    ws = [w for w, k in zip(ws, stay) if k]
                 kept = b" ".join(ws)
                 for c, v in zip(out, (n, gone, hashlib.sha256(kept).hexdigest(), kept.decode())):
                     c.append(v)
-            names = [c for c in batch.schema.names if c not in ("text", "parts")]
+            names = [c for c in batch.schema.names if c not in ("text", "gone")]
             made = {"n_words": pa.array(out[0], pa.int64()), "n_removed": pa.array(out[1], pa.int64()), "kept_sha256": pa.array(out[2], pa.string())}
             if "kept_text" in names:
                 made["kept_text"] = pa.array(out[3], pa.string())
-            yield pa.RecordBatch.from_arrays([made.get(c, col[c]) for c in names] + [made[c] for c in ("n_words", "n_removed", "kept_sha256")], names=names + ["n_words", "n_removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([made.get(c, col.get(c)) for c in names] + [made[c] for c in ("n_words", "n_removed", "kept_sha256")], names=names + ["n_words", "n_removed", "kept_sha256"])
 
     return run
 
@@ -193,30 +221,29 @@ def dedup_substrings(docs: DataFrame, words: int = 13, text: str = "text", id: s
     if none does.  Windows are judged on the input, not on what is left.  A null
     text has no words.  Documents of one id never remove from each other, and a
     row with a null id neither loses words nor costs others theirs.  An empty
-    table gives no rows.
+    table gives no rows.  docs should be a scan or a stored table, so that a task
+    that runs again deals the same batches.
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     slots = slots or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    level = stored(_level(plain.mapInArrow(_first_windows(words, slots), BLOB)), "substrings")
-    release(spark)
-    longest = level.select("doc_id", "text_key", F.lit(words).cast("bigint").alias("length"))
-    now, length = level, words
-    while True:
-        after = stored(_level(now.mapInArrow(_next_windows(length, slots), BLOB)), "substrings")
-        if now is not level:
-            discard(now)
-        length *= 2
-        if after.isEmpty():
-            discard(after)
-            break
-        reached = stored(after.select("doc_id", "text_key", F.lit(length).cast("bigint").alias("length")), "substrings")
-        longest, now = longest.unionByName(reached), after
-    longest = longest.groupBy("doc_id", "text_key").agg(F.max("length").alias("longest_repeat"))
+    now = _level(plain.mapInArrow(_first_windows(words, slots), SENT))
     release(spark)
-    found = level.join(longest, ["doc_id", "text_key"])
+    found, length = [], words
+    row = "doc_id bigint, text_key bigint, length bigint, gone binary"
+    while not now.isEmpty():
+        found.append(stored(now.mapInArrow(_documents(length, length == words), row), "substrings"))
+        after = _level(now.mapInArrow(_next_windows(length, slots), SENT))
+        discard(now)
+        release(spark)
+        now, length = after, 2 * length
+    told = spark.createDataFrame([], row)
+    for f in found:
+        told = told.unionByName(f)
+    # Rows of one id and text tell the same twice.
+    told = told.groupBy("doc_id", "text_key").agg(F.max("length").alias("longest_repeat"), F.max("gone").alias("gone"))
     keyed = plain.mapInArrow(_hash_of_text, "doc_id bigint, text_key bigint, text string")
-    rows = keyed.join(found, ["doc_id", "text_key"], "left").select("doc_id", F.coalesce("longest_repeat", F.lit(0).cast("bigint")).alias("longest_repeat"), *([F.lit("").alias("kept_text")] if texts else []), "text", "parts")
+    rows = keyed.join(told, ["doc_id", "text_key"], "left").select("doc_id", F.coalesce("longest_repeat", F.lit(0).cast("bigint")).alias("longest_repeat"), *([F.lit("").alias("kept_text")] if texts else []), "text", "gone")
     return rows.mapInArrow(_kept(words), "doc_id bigint, longest_repeat bigint, " + ("kept_text string, " if texts else "") + "n_words bigint, n_removed bigint, kept_sha256 string")
 
 
