@@ -1 +1 @@
-
+"""Streams of decisions, events and measurements."""
