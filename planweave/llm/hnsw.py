@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planweave.llm import _vectors, _words
+from planweave.llm import _arrow, _vectors, _words
 from planweave.operators.components import connected_components
 from planweave.session import stored
 
@@ -252,8 +252,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", v
     group = ["label", "dim"]
     shards = _vectors.blocked(points, group, "node", shard_rows)
     shards = shards.withColumn("block", F.pmod(F.xxhash64("node"), F.greatest("n_blocks", F.lit(2))).cast("int"))
-    shards = stored(shards.groupBy(*group, "block").applyInArrow(as_shard, schema + ", graph binary"), "hnsw")
-    asks = stored(_vectors.blocked(points, group, "node", query_rows).groupBy(*group, "block").applyInArrow(as_block, schema), "hnsw")
+    shards = stored(shards.groupBy(*group, "block").applyInArrow(*_arrow.groups(as_shard, schema + ", graph binary")), "hnsw")
+    asks = stored(_vectors.blocked(points, group, "node", query_rows).groupBy(*group, "block").applyInArrow(*_arrow.groups(as_block, schema)), "hnsw")
     asked = asks.select(*group, F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("points").alias("q_points"))
     met = shards.join(asked, group).repartition(*group, "block", "q_block")
 
@@ -274,7 +274,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", v
                 links = [int(times[hits].sum()) for hits in found]
                 yield pa.RecordBatch.from_arrays([pa.array([*q_ids.tolist(), *a], pa.int64()), pa.array([*links, *[None] * len(a)], pa.int64()), pa.array([*[None] * len(links), *b], pa.int64())], names=["node", "links", "other"])
 
-    told = stored(met.mapInArrow(run, "node bigint, links bigint, other bigint"), "hnsw")
+    told = stored(met.mapInArrow(*_arrow.batches(run, "node bigint, links bigint, other bigint")), "hnsw")
     labels = connected_components(told.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = told.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"))
     nodes = points.select("label", "v", "node", "n").join(links, "node", "left").join(labels, "node", "left")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planweave.llm import _words
+from planweave.llm import _arrow, _words
 
 SLOTS = 1 << 16
 
@@ -82,7 +82,7 @@ class Model:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Counts over every row of docs whose lang is not null."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    summed = known.mapInArrow(_count, "lang string, slot int, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    summed = known.mapInArrow(*_arrow.batches(_count, "lang string, slot int, n bigint")).groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     t = summed.toArrow()
     langs = sorted(set(t["lang"].to_pylist()), key=lambda s: s.encode())
     counts = np.zeros((len(langs), SLOTS), np.int64)
@@ -190,7 +190,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
                 sets += c
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0)), pa.array(sets, pa.string())], names=["row", "lang_pred", "score", "lang_set"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, lang_set string")
+    return rows.mapInArrow(*_arrow.batches(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, lang_set string"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from planweave.llm import _vectors
+from planweave.llm import _arrow, _vectors
 from planweave.session import stored
 
 PAGE = 48
@@ -163,8 +163,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id
         return pa.table([t.column("dim").slice(0, 1).combine_chunks(), t.column("block").slice(0, 1).combine_chunks(), pa.array([t.column("id").to_numpy()[order].tobytes()], pa.binary()), pa.array([_vectors.pack(v[order])], pa.binary())], names=["dim", "block", "ids", "points"])
 
     schema = "dim int, block int, ids binary, points binary"
-    trees = stored(packed(vectors, tree_rows).groupBy("dim", "block").applyInArrow(as_block, schema), "mtree")
-    asks = packed(queries, query_rows).groupBy("dim", "block").applyInArrow(as_block, schema)
+    trees = stored(packed(vectors, tree_rows).groupBy("dim", "block").applyInArrow(*_arrow.groups(as_block, schema)), "mtree")
+    asks = packed(queries, query_rows).groupBy("dim", "block").applyInArrow(*_arrow.groups(as_block, schema))
     asks = stored(asks.select("dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("points").alias("q_points")), "mtree")
 
     # Every block of queries meets every tree: pairs of blocks, each a row.
@@ -184,7 +184,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id
                 n = [len(f[0]) for f in found]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asked, n)), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["query_id", "vec_id", "score"])
 
-    hits = met.repartition("dim", "block", "q_block").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    hits = met.repartition("dim", "block", "q_block").mapInArrow(*_arrow.batches(run, "query_id bigint, vec_id bigint, score bigint"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planweave.llm import _blobs, _words
+from planweave.llm import _arrow, _blobs, _words
 from planweave.operators.components import connected_components
 from planweave.session import release, stored
 
@@ -269,7 +269,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    base = stored(plain.mapInArrow(_sketch_rows(words), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, odd array<bigint>, parity binary"), "neardup")
+    base = stored(plain.mapInArrow(*_arrow.batches(_sketch_rows(words), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, odd array<bigint>, parity binary")), "neardup")
     whole = base.where("doc_id is not null and k1 is not null")
     least = whole.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
     nodes = stored(whole.join(least, (whole.doc_id == least.node) & (whole.k1 == least.k1) & (whole.k2 == least.k2), "left_semi").dropDuplicates(["doc_id", "k1", "k2"]).select("doc_id", "n_shingles", "bands", "odd", "parity"), "neardup")
@@ -284,7 +284,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
 
     involved = buckets.select(F.col("id").alias("node")).distinct()
     texts = plain.join(involved, plain.doc_id == involved.node, "left_semi")
-    sets = stored(texts.mapInArrow(_set_rows(words), "node bigint, shingles binary").dropDuplicates(["node", "shingles"]), "neardup")
+    sets = stored(texts.mapInArrow(*_arrow.batches(_set_rows(words), "node bigint, shingles binary")).dropDuplicates(["node", "shingles"]), "neardup")
     release(spark)
 
     def confirmed(pairs: DataFrame, sketched: bool) -> DataFrame:
@@ -294,7 +294,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
             p = p.join(of("a"), "a").join(of("b"), "b").where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
             p = p.where(_apart("odd_a", "odd_b") <= most).select("a", "b")
         of = lambda s, x: sets.select(F.col("node").alias(s), F.col("shingles").alias(x))
-        return p.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a bigint, b bigint")
+        return p.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(*_arrow.batches(_confirm(percent), "a bigint, b bigint"))
 
     edges = stored(confirmed(buckets.join(leads, "k").where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), False), "neardup")
     labels = stored(connected_components(edges), "neardup")
@@ -324,7 +324,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
         asking = large.where("seeks").withColumn("eb", block("n_seek")).withColumn("mb", F.explode(F.sequence(F.lit(0), blocks("n") - 1))).withColumn("member", F.lit(False))
         rows = small.select(cols).unionByName(members.select(cols)).unionByName(asking.select(cols))
         spread = rows.repartition("k", "mb", "eb").sortWithinPartitions("k", "mb", "eb", "id")
-        found = stored(spread.mapInArrow(_sought(most, percent, low, high), "a bigint, b bigint").distinct(), "neardup")
+        found = stored(spread.mapInArrow(*_arrow.batches(_sought(most, percent, low, high), "a bigint, b bigint")).distinct(), "neardup")
         more = stored(confirmed(found, True), "neardup")
         if not more.isEmpty():
             edges = edges.unionByName(more)

@@ -28,6 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from planweave.llm import _arrow
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
@@ -352,7 +354,7 @@ def encode(docs: DataFrame, model: Pieces, text: str = "text", checked: bool = F
                     out.append(pa.array([None if s is None else decoder.text(np.frombuffer(b, np.int32).tolist()) == s for s, b in zip(texts, got)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(out, names=["row", "ids", "n_ids", "round_trip"][: len(out)])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>, n_ids bigint" + ", round_trip boolean" * checked)
+    return rows.mapInArrow(*_arrow.batches(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>, n_ids bigint" + ", round_trip boolean" * checked))
 
 
 def decode(encoded: DataFrame, model: Pieces, ids: str = "ids") -> DataFrame:
@@ -367,7 +369,7 @@ def decode(encoded: DataFrame, model: Pieces, ids: str = "ids") -> DataFrame:
             texts = [decoder.text(values[a:b].tolist()) if ok else None for a, b, ok in zip(offsets, offsets[1:], lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(*_arrow.batches(run, f"row {rows.schema['row'].dataType.simpleString()}, text string"))
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from planweave.llm import _arrow
+
 KINDS = ("email", "ip", "card", "phone")
 EXTRA_KINDS = ("ssn",)
 LABELERS = ("pattern", "layout", "gazetteer", "context", "neighbours")
@@ -220,7 +222,7 @@ class SpanModel:
 
 def fit(docs: DataFrame, text: str = "text") -> SpanModel:
     """The model of the vote patterns of all documents."""
-    counted = docs.select(text).mapInArrow(_pattern_counts(text), "kind string, vote array<int>, n bigint")
+    counted = docs.select(text).mapInArrow(*_arrow.batches(_pattern_counts(text), "kind string, vote array<int>, n bigint"))
     rows = counted.groupBy("kind", "vote").agg(F.sum("n").alias("n")).collect()
     return SpanModel([(r["kind"], tuple(r["vote"]), r["n"]) for r in rows])
 
@@ -274,7 +276,7 @@ def find_pii(docs: DataFrame, text: str = "text", threshold: float = 0.9, model:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, kinds))], names=["row", "base_spans", "spans", "redacted", *(f"n_{k}" for k in KINDS), "n_added"])
 
     schema = f"row {rows.schema['row'].dataType.simpleString()}, base_spans string, spans string, redacted string, {', '.join(f'n_{k} bigint' for k in KINDS)}, n_added bigint"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(*_arrow.batches(run, schema))
 
 
 def sha256(s: str) -> str:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planweave.llm import _words
+from planweave.llm import _arrow, _words
 from planweave.session import stored
 
 TEXT_FEATURES = (
@@ -102,7 +102,7 @@ def features(docs: DataFrame, text: str = "text", source: str = "source", lang:
             yield pa.RecordBatch.from_arrays([*([col["row"]] if carry else []), col["doc_id"], packed(view), packed(meta)], names=[*(["row"] if carry else []), "doc_id", "view_text", "view_meta"])
 
     own = f"row {rows.schema['row'].dataType.simpleString()}, " if carry else ""
-    return rows.mapInArrow(run, f"{own}doc_id bigint, view_text array<float>, view_meta array<float>")
+    return rows.mapInArrow(*_arrow.batches(run, f"{own}doc_id bigint, view_text array<float>, view_meta array<float>"))
 
 
 class View:
@@ -227,7 +227,7 @@ def score(feats: DataFrame, model: CoTraining) -> DataFrame:
 
     kept = feats.drop("view_text", "view_meta")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return feats.mapInArrow(run, f"{fields}, score double, score_text double, score_meta double")
+    return feats.mapInArrow(*_arrow.batches(run, f"{fields}, score double, score_text double, score_meta double"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, carry: bool = False, threshold: float = 0.5, **limits) -> DataFrame:

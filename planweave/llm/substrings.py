@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planweave.llm import _blobs, _words
+from planweave.llm import _arrow, _blobs, _words
 from planweave.session import discard, release, stored
 
 # kind 0: windows (a batch's in a range, or a range's answer); kind 1: the batch's documents (id, key of the text).
@@ -154,8 +154,8 @@ def _gathered(table: pa.Table) -> pa.Table:
 
 
 def _level(windows: DataFrame) -> DataFrame:
-    answers = windows.groupBy("slot").applyInArrow(_repeated, ANSWER)
-    return stored(answers.groupBy("batch").applyInArrow(_gathered, LEVEL), "substrings")
+    answers = windows.groupBy("slot").applyInArrow(*_arrow.groups(_repeated, ANSWER))
+    return stored(answers.groupBy("batch").applyInArrow(*_arrow.groups(_gathered, LEVEL)), "substrings")
 
 
 def _documents(length: int, places: bool):
@@ -227,13 +227,13 @@ def dedup_substrings(docs: DataFrame, words: int = 13, text: str = "text", id: s
     spark = docs.sparkSession
     plain = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     slots = slots or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    now = _level(plain.mapInArrow(_first_windows(words, slots), SENT))
+    now = _level(plain.mapInArrow(*_arrow.batches(_first_windows(words, slots), SENT)))
     release(spark)
     found, length = [], words
     row = "doc_id bigint, text_key bigint, length bigint, gone binary"
     while not now.isEmpty():
-        found.append(stored(now.mapInArrow(_documents(length, length == words), row), "substrings"))
-        after = _level(now.mapInArrow(_next_windows(length, slots), SENT))
+        found.append(stored(now.mapInArrow(*_arrow.batches(_documents(length, length == words), row)), "substrings"))
+        after = _level(now.mapInArrow(*_arrow.batches(_next_windows(length, slots), SENT)))
         discard(now)
         release(spark)
         now, length = after, 2 * length
@@ -242,9 +242,9 @@ def dedup_substrings(docs: DataFrame, words: int = 13, text: str = "text", id: s
         told = told.unionByName(f)
     # Rows of one id and text tell the same twice.
     told = told.groupBy("doc_id", "text_key").agg(F.max("length").alias("longest_repeat"), F.max("gone").alias("gone"))
-    keyed = plain.mapInArrow(_hash_of_text, "doc_id bigint, text_key bigint, text string")
+    keyed = plain.mapInArrow(*_arrow.batches(_hash_of_text, "doc_id bigint, text_key bigint, text string"))
     rows = keyed.join(told, ["doc_id", "text_key"], "left").select("doc_id", F.coalesce("longest_repeat", F.lit(0).cast("bigint")).alias("longest_repeat"), *([F.lit("").alias("kept_text")] if texts else []), "text", "gone")
-    return rows.mapInArrow(_kept(words), "doc_id bigint, longest_repeat bigint, " + ("kept_text string, " if texts else "") + "n_words bigint, n_removed bigint, kept_sha256 string")
+    return rows.mapInArrow(*_arrow.batches(_kept(words), "doc_id bigint, longest_repeat bigint, " + ("kept_text string, " if texts else "") + "n_words bigint, n_removed bigint, kept_sha256 string"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
