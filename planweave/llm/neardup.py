@@ -332,9 +332,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
 
     release(spark)
     of_key = least.join(labels, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
-    # Rows of one id are one document, whatever their texts: they take the least component of theirs.
     out = base.select("doc_id", "n_shingles", "k1", "k2").join(of_key, ["k1", "k2"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
