@@ -53,3 +53,8 @@ def undelta(a: np.ndarray) -> np.ndarray:
 def slot(h: np.ndarray, n: int) -> np.ndarray:
     """Which of n equal ranges of the 64-bit space a hash is in: rises with the hash."""
     return ((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+
+
+def ranges(spark, rows: int, each: int = 1_400_000, parallel: int = 64) -> int:
+    """How many ranges of hashes: about `each` rows in one, which bounds a task's memory, and enough to keep tasks busy."""
+    return max(min(parallel, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-rows // each))

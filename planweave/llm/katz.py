@@ -360,9 +360,9 @@ def score_documents(docs: DataFrame, learn, hold=None, text: str = "text", id: s
     learn from, every token is unknown and scores log10 of 1: V is 0.
     """
     spark = docs.sparkSession
-    slots = slots or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(id).cast("bigint").alias("doc_id"), F.coalesce(~learn if hold is None else hold, F.lit(False)).alias("held"))
-    words = stored(rows.select("text", "learn").mapInArrow(*_arrow.batches(_count_words(slots), "slot int, blob binary")).groupBy("slot").applyInArrow(*_arrow.groups(_sum_words(HEAVY), "n bigint, v bigint, words array<bigint>, counts array<bigint>")), "katz")
+    parts = slots or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = stored(rows.select("text", "learn").mapInArrow(*_arrow.batches(_count_words(parts), "slot int, blob binary")).groupBy("slot").applyInArrow(*_arrow.groups(_sum_words(HEAVY), "n bigint, v bigint, words array<bigint>, counts array<bigint>")), "katz")
     n_tokens, n_words = (int(x or 0) for x in words.agg(F.sum("n"), F.sum("v")).first())
     often = F.filter(F.arrays_zip("words", "counts"), lambda w: w["counts"] * HEAVY >= n_tokens)
     common = words.select(F.explode(often).alias("w"))
@@ -370,6 +370,7 @@ def score_documents(docs: DataFrame, learn, hold=None, text: str = "text", id: s
     discard(words)
     release(spark)
     keys, counts = np.array([h[0] for h in heavy], np.uint64), np.array([h[1] for h in heavy], np.int64)
+    slots = slots or _blobs.ranges(spark, n_tokens)
     dealt = rows.mapInArrow(*_arrow.batches(_deal_pairs(slots, keys), "slot int, kind int, batch bigint, blob binary"))
     told = stored(dealt.groupBy("slot").applyInArrow(*_arrow.groups(_range_of_pairs(slots, keys, counts, n_tokens, n_words), RANGE)), "katz")
     release(spark)
@@ -377,8 +378,8 @@ def score_documents(docs: DataFrame, learn, hold=None, text: str = "text", id: s
     r = discounted([int(x or 0) for x in classes])
     n_train = int(dict(heavy).get(int(END), 0)) or int(rows.where("learn").count())
     weights = told.where("kind in (2, 3)").select("slot", "kind", "batch", "blob").groupBy("slot").applyInArrow(*_arrow.groups(_backoff(r, n_tokens, n_words), "kind int, batch bigint, blob binary"))
-    parts = told.where("kind in (0, 1)").select("kind", "batch", "blob").unionByName(weights)
-    scored = parts.groupBy("batch").applyInArrow(*_arrow.groups(_scores(r, n_train), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"))
+    sums = told.where("kind in (0, 1)").select("kind", "batch", "blob").unionByName(weights)
+    scored = sums.groupBy("batch").applyInArrow(*_arrow.groups(_scores(r, n_train), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"))
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("bigint"))
 
 

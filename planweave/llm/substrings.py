@@ -226,7 +226,8 @@ def dedup_substrings(docs: DataFrame, words: int = 13, text: str = "text", id: s
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    slots = slots or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A word and the space after it take six bytes or so.
+    slots = slots or _blobs.ranges(spark, int(plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6)
     now = _level(plain.mapInArrow(*_arrow.batches(_first_windows(words, slots), SENT)))
     release(spark)
     found, length = [], words
