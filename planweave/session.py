@@ -55,8 +55,15 @@ def discard(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of plans that nobody holds any more."""
+    """Let Spark remove the shuffle files of plans that nobody holds any more.
+
+    Python's handles go first, then the JVM's; the files follow in the background, so each step gets a moment.
+    """
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.2)
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
