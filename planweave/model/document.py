@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 VERSION = "1.3"
 KNOWN = ("1.0", "1.1", "1.2", "1.3")
 _PROV = "struct<sheet_id: string, revision: int, method: string, confidence: double, bbox: array<double>, note: string>"
 _OPENING = f"struct<id: string, tag: string, category: string, width_m: double, height_m: double, sill_m: double, head_m: double, host_facade: string, s_center_m: double, area_m2: double, provenance: {_PROV}, source_provenance: array<{_PROV}>>"
 _SPACE = f"struct<name: string, number: string, level_id: string, polygon_m: array<array<double>>, area_m2: double, volume_m3: double, core_provenance: {_PROV}, openings: array<{_OPENING}>, zone_ids: array<string>>"
-SCHEMA = T.StructType.fromDDL(
+SCHEMA = (
     f"version string, name string, bearing_deg double, levels array<struct<id: string, name: string, elevation_z_m: double, wall_height_m: double>>, spaces map<string, {_SPACE}>, "
     f"envelope array<struct<id: string, level_id: string, facade: string, length_m: double, height_m: double, area_m2: double, u_si: double, construction: string, provenance: {_PROV}>>, "
     "zones map<string, struct<space_ids: array<string>, n_diffusers: bigint, unit: string>>, revision_log array<struct<seq: bigint, sheet_id: string, revision: bigint, action: string, note: string>>, "

@@ -15,9 +15,9 @@ from planweave.operators.takeoff import last_wins
 
 SCHEDULE = "tag string, category string, width_m string, height_m string, note string, u_factor string, shgc string, vt string"
 LIGHTING = "tag string, description string, lamp_type string, watts string, category string, note string"
-DETECTIONS = T.StructType.fromDDL("image string, width int, height int, preds array<struct<cls: int, conf: double, x0: double, y0: double, x1: double, y1: double>>, _corrupt_record string")
+DETECTIONS = "image string, width int, height int, preds array<struct<cls: int, conf: double, x0: double, y0: double, x1: double, y1: double>>, _corrupt_record string"
 FEEDBACK = "kind string, context map<string,string>, at string"
-FLOORPLAN = T.StructType.fromDDL("image struct<bytes: binary, path: string>, image_id bigint, objects struct<bbox: array<array<double>>, category: array<string>>")
+FLOORPLAN = "image struct<bytes: binary, path: string>, image_id bigint, objects struct<bbox: array<array<double>>, category: array<string>>"
 
 
 def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -56,9 +56,9 @@ def detections(spark: SparkSession, path: str, labels: dict[int, str], source: s
 
 def floorplan_objects(spark: SparkSession, path: str, skip: tuple[str, ...] = ("wall", "background"), size: float = 1.0) -> DataFrame:
     """image_id, category and box of each object, boxes scaled from thousandths; only those two columns are read."""
-    have = spark.read.parquet(path).schema
+    have, want = spark.read.parquet(path).schema, T.StructType.fromDDL(FLOORPLAN)
     for name in ("image_id", "objects"):
-        if name not in have.fieldNames() or have[name].dataType.simpleString() != FLOORPLAN[name].dataType.simpleString():
+        if name not in have.fieldNames() or have[name].dataType.simpleString() != want[name].dataType.simpleString():
             raise TypeError(f"{path}: column {name} is missing or of another type")
     rows = spark.read.parquet(path).select("image_id", F.explode(F.arrays_zip("objects.category", "objects.bbox")).alias("o"))
     b = lambda i: (F.greatest(F.lit(0.0), F.least(F.lit(1000.0), F.col("o.bbox")[i])) * size / 1000).alias(("x0", "y0", "x1", "y1")[i])
@@ -73,7 +73,7 @@ def feedback(spark: SparkSession, path: str) -> DataFrame:
 def xml_boxes(spark: SparkSession, path: str, most_mb: int = 50) -> DataFrame:
     """file, label, x0, y0, x1, y1 of every object of annotation files; larger files are left out by their size."""
     docs = spark.read.format("binaryFile").load(path).where(F.col("length") <= most_mb << 20)
-    text = docs.select(F.col("path").alias("file"), F.decode("content", F.lit("UTF-8")).alias("x"))
+    text = docs.select(F.col("path").alias("file"), F.decode("content", "UTF-8").alias("x"))
     get = lambda tag: F.xpath("x", F.lit(f"//object/{tag}/text()"))
     parts = F.arrays_zip(*[get(p).alias(n) for p, n in (("name", "label"), ("bndbox/xmin", "x0"), ("bndbox/ymin", "y0"), ("bndbox/xmax", "x1"), ("bndbox/ymax", "y1"))])
     rows = text.select("file", F.explode(parts).alias("o"))
