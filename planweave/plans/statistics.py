@@ -193,7 +193,7 @@ def classify_3vl(t):
     return x.groupBy(L.spaces_by_thresholds(F.col("area"), F.col("cool"), F.col("heat"), 5.0, 5.0, 1.0).alias("category")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT n_name AS grp, round(CASE WHEN n_sup > 0 THEN q / a END, 6) AS flow_per_area FROM (SELECT n_name, count(*) AS n_sup, sum(s_acctbal) AS q, sum(s_suppkey) AS a FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)""")
+@query("""SELECT n_name AS grp, round(CASE WHEN a > 0 THEN q / a END, 6) AS flow_per_area FROM (SELECT n_name, count(*) AS n_sup, sum(s_acctbal) AS q, sum(s_suppkey) AS a FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)""")
 def flow_per_area(t):
     """Air flow per area where zones serve exactly a group's spaces."""
     s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
