@@ -1,8 +1 @@
 """Operations of a training-data pipeline.  Nothing else in the library imports this package."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Executors need not have the library installed: its functions travel with the tasks.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
