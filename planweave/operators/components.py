@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 from planweave.session import discard, stored
 
 
-def _star(edges: DataFrame, smaller_only: bool) -> DataFrame:
+#: Edges that one task of a round takes on; few edges take few tasks.
+EDGES_PER_TASK = 100_000
+
+
+def _star(edges: DataFrame, smaller_only: bool, tasks: int) -> DataFrame:
     """Link the neighbours of every node to the least node among it and them.
 
     edges has (u, v) with u > v.  Large star looks at both directions and links
@@ -25,13 +29,14 @@ def _star(edges: DataFrame, smaller_only: bool) -> DataFrame:
     else:
         seen = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = seen.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    joined = seen.join(least, "u")
+    joined = seen.join(least, "u").coalesce(tasks)
     if smaller_only:
-        out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        link = F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))
     else:
-        out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
-        out = out.unionByName(least.where(F.col("u") > F.col("m")).select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return out.where("a > b").distinct().select(F.col("a").alias("u"), F.col("b").alias("v"))
+        # Each edge is there from both ends: its larger one links to the least node around the smaller one.
+        link = F.array(F.when(F.col("v") > F.col("u"), F.struct(F.col("v").alias("a"), F.col("m").alias("b"))), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))
+    out = joined.select(F.inline(F.filter(link, lambda x: x.a > x.b)))
+    return out.distinct().coalesce(tasks).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -45,9 +50,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         .distinct(),
         "components",
     )
-    digest = None
+    digest, tasks = None, max(1, -(-now.count() // EDGES_PER_TASK))
     for _ in range(max_rounds):
-        after = stored(_star(_star(now, False), True), "components")
+        after = stored(_star(_star(now, False, tasks), True, tasks), "components")
         told = after.agg(F.count("*").alias("n"), F.sum("v").alias("s"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         discard(now)
         now = after
@@ -57,4 +62,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     else:
         raise RuntimeError("components did not settle")
     labels = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    return labels.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return labels.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()).coalesce(2 * tasks)
