@@ -13,31 +13,28 @@ def _least(a: np.ndarray) -> np.ndarray:
 
 
 def pack(*columns: np.ndarray) -> bytes:
-    """Whole-number columns, each narrowed, in planes of bytes, compressed."""
-    out = []
+    """Whole-number columns, each narrowed, in planes of bytes, compressed together: five bytes a column and one frame."""
+    head, planes = [np.uint8(len(columns)).tobytes()], []
     for c in columns:
         c = _least(c.view(np.uint64) if c.dtype == np.int64 else c)
-        planes = c.view(np.uint8).reshape(len(c), c.dtype.itemsize).T
-        body = pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True) if len(c) else b""
-        out.append(np.array([len(c), c.dtype.itemsize, len(body)], np.uint32).tobytes() + body)
-    return b"".join(out)
+        head.append(np.uint32(len(c)).tobytes() + np.uint8(c.dtype.itemsize).tobytes())
+        if len(c):
+            planes.append(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.dtype.itemsize).T).tobytes())
+    body = b"".join(planes)
+    return b"".join(head) + (pa.compress(body, codec="zstd", asbytes=True) if body else b"")
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
     """The columns of pack(), as uint64."""
+    n_columns = blob[0]
+    shapes = [(int.from_bytes(blob[1 + 5 * i : 5 + 5 * i], "little"), blob[5 + 5 * i]) for i in range(n_columns)]
+    size = sum(n * width for n, width in shapes)
+    raw = np.frombuffer(pa.decompress(memoryview(blob)[1 + 5 * n_columns :], decompressed_size=size, codec="zstd", asbytes=True), np.uint8) if size else np.zeros(0, np.uint8)
     out, at = [], 0
-    view = memoryview(blob)
-    while at < len(blob):
-        n, width, size = (int(x) for x in np.frombuffer(view[at : at + 12], np.uint32))
-        at += 12
-        if n:
-            raw = pa.decompress(view[at : at + size], decompressed_size=n * width, codec="zstd", asbytes=True)
-            planes = np.frombuffer(raw, np.uint8).reshape(width, n).T
-            c = np.ascontiguousarray(planes).view(f"u{width}").ravel()
-        else:
-            c = np.zeros(0, np.uint8)
-        out.append(c.astype(np.uint64))
-        at += size
+    for n, width in shapes:
+        planes = raw[at : at + n * width].reshape(width, n).T
+        out.append(np.ascontiguousarray(planes).view(f"u{width}").ravel().astype(np.uint64) if n else np.zeros(0, np.uint64))
+        at += n * width
     return out
 
 
