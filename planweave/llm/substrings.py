@@ -30,6 +30,8 @@ from planweave.session import discard, release, stored
 SENT = "slot int, kind int, batch bigint, blob binary"
 ANSWER = "kind int, batch bigint, blob binary"
 LEVEL = "batch bigint, docs binary, blob binary"
+#: Texts of fewer bytes leave too few shuffle files to wait for their removal.
+TIDY_BYTES = 64 << 20
 
 
 def _runs(a: np.ndarray) -> np.ndarray:
@@ -227,16 +229,18 @@ def dedup_substrings(docs: DataFrame, words: int = 13, text: str = "text", id: s
     spark = docs.sparkSession
     plain = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     # A word and the space after it take six bytes or so.
-    slots = slots or _blobs.ranges(spark, int(plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6)
+    size = int(plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    slots = slots or _blobs.ranges(spark, size // 6)
+    tidy = release if size > TIDY_BYTES else lambda spark: None
     now = _level(plain.mapInArrow(*_arrow.batches(_first_windows(words, slots), SENT)))
-    release(spark)
+    tidy(spark)
     found, length = [], words
     row = "doc_id bigint, text_key bigint, length bigint, gone binary"
     while not now.isEmpty():
         found.append(stored(now.mapInArrow(*_arrow.batches(_documents(length, length == words), row)), "substrings"))
         after = _level(now.mapInArrow(*_arrow.batches(_next_windows(length, slots), SENT)))
         discard(now)
-        release(spark)
+        tidy(spark)
         now, length = after, 2 * length
     told = spark.createDataFrame([], row)
     for f in found:
