@@ -76,8 +76,9 @@ def keep_history(stream: DataFrame, path: str, key: str, order: str, checkpoint:
 def collect_stream(stream: DataFrame, name: str, mode: str) -> DataFrame:
     """Run a stream over what is there now and return its rows."""
     spark = stream.sparkSession
-    at = f"{shared_folder(spark)}/stream-{name}"
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", at).trigger(availableNow=True) if mode == "complete" else stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
+    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
+    if mode == "complete":  # the memory sink can only be recovered then
+        q = q.option("checkpointLocation", f"{shared_folder(spark)}/stream-{name}")
     q = q.start()
     q.awaitTermination()
     return spark.table(name)
