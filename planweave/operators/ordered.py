@@ -49,29 +49,42 @@ def ranked(rows: DataFrame, order: list[Column], by: list[str] = (), name: str =
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
 
-def best_pairs(pairs: DataFrame, a: str, b: str, score: str, max_rounds: int = 50) -> DataFrame:
-    """Greedy one-to-one matching, best score first, ties by a then b: a, b, score.
+def best_pairs(pairs: DataFrame, a: str, b: str, score: str) -> DataFrame:
+    """Greedy one-to-one matching, best score first, ties by a then b: a, b, score.  A null end pairs with nothing.
 
     In each round the pairs that are best for both of their ends are taken and
     all pairs of those ends go; that gives the same as taking the pairs one by
-    one in order, with no pass over all of them on one machine.
+    one in order, with no pass over all of them on one machine.  Where some ends
+    are each other's best with one and the same score, every one with every
+    other, the order pairs them by rank, and the round takes them all.  Rounds
+    go on until no pair is left; each takes one at least.
     """
     from planweave.session import discard, stored
 
-    left, taken = stored(pairs.select(a, b, score).distinct(), "pairs"), None
-    for _ in range(max_rounds):
+    left, taken, n = stored(pairs.select(a, b, score).where(F.col(a).isNotNull() & F.col(b).isNotNull()).distinct(), "pairs"), None, 0
+    while True:
         order = [F.desc(score), a, b]
-        best = left.withColumn("_a", F.row_number().over(Window.partitionBy(a).orderBy(*order))).withColumn("_b", F.row_number().over(Window.partitionBy(b).orderBy(*order))).where("_a = 1 and _b = 1").select(a, b, score)
-        best = stored(best, "pairs")
-        taken = best if taken is None else taken.unionByName(best)
+        of_a, of_b = Window.partitionBy(a), Window.partitionBy(b)
+        best = left.withColumn("_a", F.row_number().over(of_a.orderBy(*order))).withColumn("_b", F.row_number().over(of_b.orderBy(*order))).where("_a = 1 and _b = 1").select(a, b, score)
+        # A block: the pairs at both ends' best scores whose ends have the same first partners; whole if no end has another partner at that score.
+        top = left.withColumn("_a", F.rank().over(of_a.orderBy(F.desc(score)))).withColumn("_b", F.rank().over(of_b.orderBy(F.desc(score))))
+        top = top.withColumn("_na", F.count_if(F.col("_a") == 1).over(of_a)).withColumn("_nb", F.count_if(F.col("_b") == 1).over(of_b))
+        top = top.withColumn("_fa", F.min(F.when(F.col("_a") == 1, F.col(b))).over(of_a)).withColumn("_fb", F.min(F.when(F.col("_b") == 1, F.col(a))).over(of_b)).where("_a = 1 and _b = 1 and _na > 1 and _nb > 1")
+        key = ["_fa", "_fb", "_na", "_nb"]
+        whole = top.groupBy(*key, score).agg(F.count("*").alias("_n"), F.count_distinct(a).alias("_ma"), F.count_distinct(b).alias("_mb")).where("_n = _na * _nb and _ma = _nb and _mb = _na").drop("_n", "_ma", "_mb")
+        member = lambda c: top.select(*key, score, c).distinct().withColumn("_r", F.row_number().over(Window.partitionBy(*key, score).orderBy(c)))
+        same = lambda x, y: [F.col(f"x.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in (*key, score)]
+        block = whole.alias("x").join(member(a).alias("p"), same("x", "p")).join(member(b).alias("q"), [*same("x", "q"), F.col("p._r") == F.col("q._r")]).select(f"p.{a}", f"q.{b}", f"x.{score}")
+        best = stored(best.unionByName(block).distinct(), "pairs")
+        taken, n = best if taken is None else taken.unionByName(best), n + 1
         rest = stored(left.join(best.select(a), a, "left_anti").join(best.select(b), b, "left_anti").select(a, b, score), "pairs")
         discard(left)
         left = rest
         if left.isEmpty():
-            break
-    else:
-        raise RuntimeError("matching did not end")
-    return taken
+            return taken
+        if n % 16 == 0:
+            parts, taken = taken, stored(taken, "pairs")
+            discard(parts)
 
 
 def match_pairs(rows: DataFrame, key: list[str], side: str) -> DataFrame:

@@ -75,6 +75,31 @@ def test_guard_and_greedy(spark):
     assert rows(W.best_pairs(spark.createDataFrame(pairs, "a int, b int, s int"), "a", "b", "s")) == sorted(want)
 
 
+def greedy(pairs):
+    left, right, out = set(), set(), []
+    for a, b, s in sorted(pairs, key=lambda p: (-p[2], p[0], p[1])):
+        if a not in left and b not in right:
+            left.add(a), right.add(b), out.append((a, b, s))
+    return sorted(out)
+
+
+def test_greedy_settles_tied_blocks(spark):
+    """More ties than any fixed number of rounds would settle one by one; blocks with a stray pair are not whole."""
+    block = [(a, b, 3) for a in range(70) for b in range(60)]
+    stray = [(100 + a, 100 + b, 2) for a in range(4) for b in range(4)] + [(103, 110, 2), (102, 103, 5), (104, 100, 2)]
+    # As many pairs as a whole block, with the same first partners, which others take: no block.
+    crossed = [(300, 399, 9), (398, 300, 9)] + [p for i in range(1, 5) for p in ((300 + i, 300, 4), (300, 300 + i, 4), (300 + i, 305 - i, 4))]
+    pairs = block + stray + crossed + [(69, 200, 1), (5, 201, 1)]
+    got = rows(W.best_pairs(spark.createDataFrame(pairs + [(None, 1, 9), (None, None, 9)], "a int, b int, s int"), "a", "b", "s"))
+    assert got == greedy(pairs)
+
+
+def test_greedy_goes_on_until_no_pair_is_left(spark):
+    """Each pair of the chain waits for the one before it."""
+    chain = [(i, i + d, 1) for i in range(52) for d in (-1, 0)][1:]
+    assert rows(W.best_pairs(spark.createDataFrame(chain, "a int, b int, s int"), "a", "b", "s")) == greedy(chain)
+
+
 def test_apportion_is_exact(spark):
     d = spark.createDataFrame([("f", i, float(w)) for i, w in enumerate([3, 3, 3, 1])], "k string, i int, w double")
     got = W.apportion(d, ["k"], "w", F.lit(7), ["i"])
