@@ -4,7 +4,8 @@ A document's words are taken to come from a mixture of the learned languages;
 a word's likelihood in a language is that of its byte trigrams.
 Expectation-maximisation estimates the document's proportions, and the number
 of languages, taken in the order of their proportions, is the one with the best
-penalised likelihood.  Trigram counts are gathered over all documents that may
+penalised likelihood; sizes are compared up to all learned languages, and only
+those are passed over whose penalty exceeds what any mixture could gain.  Trigram counts are gathered over all documents that may
 be learned from: tasks count into a table of fixed size and the tables are
 summed by key, so what is shuffled or sent depends on the table's size and the
 number of tasks and languages, never on a language's share of the rows.
@@ -108,11 +109,16 @@ def _mixture(like: np.ndarray, base: np.ndarray, docs: np.ndarray, allowed: np.n
     return share, np.add.reduceat(np.log(np.maximum(total, 1e-30)) + base, heads)
 
 
-def infer(model: Model, texts: pa.Array, table: np.ndarray, steps: int = 12, penalty: float = 3.0, most: int = 4) -> tuple[list, np.ndarray, list]:
-    """(language, score, languages of the set) by document; texts has no nulls.
+def _bound(like: np.ndarray, base: np.ndarray, docs: np.ndarray, share: np.ndarray, got: np.ndarray) -> np.ndarray:
+    """What no mixture's log likelihood exceeds, by document: it is concave, so its slopes at `share`, where it is `got`, bound it."""
+    counts = np.diff(docs)
+    total = (like * np.repeat(share, counts, axis=0)).sum(axis=1)
+    slope = np.add.reduceat(like / np.maximum(total, 1e-30)[:, None], docs[:-1], axis=0) / counts[:, None]
+    return np.minimum(got + counts * np.log(slope.max(axis=1)), np.add.reduceat(base, docs[:-1])) + 1e-6
 
-    The set's size is at most `most`: the sizes compared, not the languages learned.
-    """
+
+def infer(model: Model, texts: pa.Array, table: np.ndarray, steps: int = 12, penalty: float = 3.0) -> tuple[list, np.ndarray, list]:
+    """(language, score, languages of the set) by document; texts has no nulls."""
     n, k = len(texts), len(model.langs)
     langs: list = ["und"] * n
     scores = np.zeros(n)
@@ -125,15 +131,17 @@ def infer(model: Model, texts: pa.Array, table: np.ndarray, steps: int = 12, pen
         counts = np.diff(heads)
         top = word.max(axis=1)
         like = np.exp(np.maximum(word - top[:, None], -60))
-        full, _ = _mixture(like, top, heads, np.ones((len(has), k)), steps)
+        full, reached = _mixture(like, top, heads, np.ones((len(has), k)), steps)
+        most = _bound(like, top, heads, full, reached)
         single = np.add.reduceat(word, heads[:-1], axis=0)
         best_set = np.zeros((len(has), k))
         best_set[np.arange(len(has)), single.argmax(axis=1)] = 1
         best = single.max(axis=1)
         share = best_set.copy()
         order = np.argsort(-full, axis=1, kind="stable")
-        open_ = np.flatnonzero(np.take_along_axis(full, order[:, 1:2], axis=1)[:, 0] > 0.02) if k > 1 else np.zeros(0, int)
-        for size in range(2, min(most, k) + 1):
+        for size in range(2, k + 1):
+            cost = penalty * (size - 1) * np.log(counts + 1)
+            open_ = np.flatnonzero(most - cost > best)
             if not len(open_):
                 break
             keep = np.repeat(np.isin(np.arange(len(has)), open_), counts)
@@ -141,11 +149,10 @@ def infer(model: Model, texts: pa.Array, table: np.ndarray, steps: int = 12, pen
             allowed = np.zeros((len(open_), k))
             np.put_along_axis(allowed, order[open_, :size], 1, axis=1)
             got, ll = _mixture(like[keep], top[keep], sub, allowed, steps)
-            better = ll - penalty * (size - 1) * np.log(counts[open_] + 1) > best[open_]
+            better = ll - cost[open_] > best[open_]
             at = open_[better]
-            best[at] = (ll - penalty * (size - 1) * np.log(counts[open_] + 1))[better]
+            best[at] = (ll - cost[open_])[better]
             share[at], best_set[at] = got[better], allowed[better]
-            open_ = at
         pick = share.argmax(axis=1)
         # How sure the pick is: its proportion, times the posterior of the whole document where one language is left.
         gap = single - single.max(axis=1, keepdims=True)

@@ -237,6 +237,36 @@ def test_mixed_documents_have_several_languages(spark, data):
     assert both[0].lang_set == "de,en" and both[1].lang_set.startswith("de")
 
 
+def alphabets(names, n, seed):
+    """Texts of n words, one a language, that share no letters."""
+    r = random.Random(seed)
+    return {x: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz"[4 * i : 4 * i + 4]) for _ in range(6)) for _ in range(n)) for i, x in enumerate(names)}
+
+
+def test_a_set_has_as_many_languages_as_the_text(spark):
+    names = ["l0", "l1", "l2", "l3", "l4", "l5"]
+    model = langid.learn(spark.createDataFrame(list(alphabets(names, 3000, 1).items()), "lang string, text string"))
+    one = alphabets(names, 400, 2)
+    texts = [" ".join(one[x] for x in names[:n]) for n in range(1, 7)]
+    assert langid.infer(model, pa.array(texts), langid._letter_table())[2] == [",".join(names[:n]) for n in range(1, 7)]
+
+
+def test_a_small_share_of_a_long_text_counts(spark):
+    names = ["l0", "l1", "l2"]
+    model = langid.learn(spark.createDataFrame(list(alphabets(names, 3000, 1).items()), "lang string, text string"))
+    long, few = alphabets(names, 20_000, 3), alphabets(names, 300, 4)
+    assert langid.infer(model, pa.array([long["l0"] + " " + few["l1"], long["l0"]]), langid._letter_table())[2] == ["l0,l1", "l0"]
+
+
+def test_no_mixture_exceeds_the_bound():
+    r = np.random.default_rng(5)
+    docs = np.array([0, 1, 40, 400])
+    like, base = r.random((400, 5)) ** 4, -r.random(400)
+    like /= like.max(axis=1, keepdims=True)
+    most = langid._bound(like, base, docs, *langid._mixture(like, base, docs, np.ones((3, 5)), 3))
+    assert (langid._mixture(like, base, docs, np.ones((3, 5)), 3000)[1] <= most).all()
+
+
 # 7 Near-duplicates
 
 
