@@ -6,7 +6,9 @@ levels, linked to diverse near neighbours.  Every block of vectors is searched
 in every shard of its label.  A beam is widened while it is full of vectors
 above the threshold, and a whole block is searched again with beams twice as
 wide until an audit passes: for some of its vectors, spread evenly, the links
-found are all that a full scan of the shard finds.  Cosines are verified in
+found are all that a full scan of the shard finds.  An audit takes in more of
+the block until its scans have shown enough links, if need be all of the block,
+and what a scan has shown is what is reported.  Cosines are verified in
 double precision, and the links' components are joined.
 
 Equal vectors are one point with a count.  A block reports a point's number of
@@ -31,6 +33,7 @@ LINKS = 12
 BUILD_BEAM = 48
 BEAM = 32
 AUDITS = 24
+AUDIT_LINKS = 100
 
 
 class Graph:
@@ -201,8 +204,21 @@ def search_block(graph: Graph, points: np.ndarray, ids: np.ndarray, q_points: np
     """(places of the linked points by query, width of the beams in the end, recall of the last audit)."""
     least = cosine - 1e-6  # verified afterwards
     units = _unit(q_points)
-    audit = np.unique(np.linspace(0, len(q_ids) - 1, min(AUDITS, len(q_ids))).astype(int))
-    truth = [set(np.flatnonzero((_cosines(q_points[i], points) >= cosine) & (ids != q_ids[i])).tolist()) for i in audit]
+    size = np.sqrt((points * points).sum(axis=1))
+    truth: dict[int, np.ndarray] = {}
+    there, step = 0, 1 << max(0, (len(q_ids) - 1).bit_length())
+    # Queries in an order whose beginnings are spread evenly.
+    order = dict.fromkeys(np.linspace(0, len(q_ids) - 1, min(AUDITS, len(q_ids))).astype(int).tolist())
+    while step:
+        order.update(dict.fromkeys(range(0, len(q_ids), step)))
+        step //= 2
+    for i in order:
+        if len(truth) >= AUDITS and there >= AUDIT_LINKS:
+            break
+        hits = np.flatnonzero(points @ q_points[i] >= least * size * np.sqrt((q_points[i] * q_points[i]).sum()))
+        hits = hits[ids[hits] != q_ids[i]]
+        truth[i] = hits[_cosines(q_points[i], points[hits]) >= cosine] if len(hits) else hits
+        there += len(truth[i])
     width = BEAM
 
     def links(i: int) -> np.ndarray:
@@ -210,14 +226,15 @@ def search_block(graph: Graph, points: np.ndarray, ids: np.ndarray, q_points: np
         hits = hits[ids[hits] != q_ids[i]]
         return hits[_cosines(q_points[i], points[hits]) >= cosine] if len(hits) else hits
 
-    while True:
-        found = [links(i) for i in audit]
-        there = sum(map(len, truth))
-        recall = sum(len(t & set(f.tolist())) for t, f in zip(truth, found)) / there if there else 1.0
+    shown = [i for i, t in truth.items() if len(t)]
+    while len(truth) < len(q_ids):
+        recall = sum(len(np.intersect1d(truth[i], links(i))) for i in shown) / there
         if recall == 1.0 or width >= len(points):
             break
         width *= 2
-    return [links(i) for i in range(len(q_ids))], width, recall
+    else:
+        recall = 1.0  # every query's links are those of a scan
+    return [truth[i] if i in truth else links(i) for i in range(len(q_ids))], width, recall
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", vector: str = "embedding", label: str = "label", shard_rows: int = 16384, query_rows: int = 1024) -> DataFrame:

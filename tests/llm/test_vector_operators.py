@@ -107,3 +107,21 @@ def test_recall_of_the_graph():
     assert found >= 0.9 * there
     places, width, recall = hnsw.search_block(g, v, np.arange(1500), v[:60], np.arange(60), 0.93)
     assert recall == 1.0 and len(places) == 60
+
+
+@pytest.mark.parametrize("pairs", [3, 150])
+def test_audits_go_on_until_links_were_seen(pairs):
+    """A graph whose narrow searches find nothing: no audit may pass on vectors without links."""
+
+    class Blind:
+        def above(self, unit, least, width):
+            return np.flatnonzero(units @ unit >= least) if width > 2 * hnsw.BEAM else np.zeros(0, np.int64)
+
+    r = np.random.default_rng(6)
+    v = r.normal(size=(600, 64))
+    first = np.setdiff1d(np.arange(300), np.linspace(0, 299, 24).astype(int))[:pairs]  # none of the first audit's
+    v[300 + first] = v[first] + 0.01 * r.normal(size=(len(first), 64))
+    units = v / np.linalg.norm(v, axis=1, keepdims=True)
+    places, width, recall = hnsw.search_block(Blind(), v, np.arange(600), v[:300], np.arange(300), 0.93)
+    assert recall == 1.0 and [p.tolist() for p in places] == [[300 + i] if i in first else [] for i in range(300)]
+    assert width > 2 * hnsw.BEAM or pairs < hnsw.AUDIT_LINKS
