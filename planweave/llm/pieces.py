@@ -90,6 +90,10 @@ class Pieces:
             if ids == [i]:
                 keep[piece], self.split[i] = i, last
         self.lattice = {p: i for p, i in keep.items() if len(p) == 1 or p.strip(SPACE)}
+        # Whether white space joins white space only after everything else has merged, and nothing else once it has.
+        runs = [self.scores[i] for p, i in self.index.items() if len(p) > 1 and not p.strip(SPACE)]
+        rest = [(p, self.scores[i]) for p, i in self.index.items() if len(p) > 1 and p.strip(SPACE)]
+        self.spaces_last = SPACE in self.index and not any(SPACE in p[1:] for p, _ in rest) and (not runs or not rest or max(runs) < min(x for _, x in rest))
         # Singles come before every merge.
         self.rank = {i: -self.scores[i] if i in self.split else -1.0 for i in self.lattice.values()}
         # The lattice's pieces by character: (piece or -1, what may follow).
@@ -265,11 +269,21 @@ class Encoder:
                 if ids != [self.m.unknown] or not out or out[-1] != self.m.unknown:
                     out += ids
 
-    def part(self, s: str) -> list[int]:
-        if self.m.kind == BPE and len(s) > 1 and s[0] == SPACE == s[1]:
-            return self.m.merge(s)[0]  # pieces of white space alone share one score, so only their order decides
+    def _plain(self, s: str) -> list[int]:
+        """The ids of a part that does not begin with a run of white space."""
         return self._short(s) if self.m.kind == BPE and len(s) <= 4 * self.m.longest else self._walk(s)
 
+    def part(self, s: str) -> list[int]:
+        m = self.m
+        if m.kind == BPE and len(s) > 1 and s[0] == SPACE == s[1]:
+            word = s.lstrip(SPACE)
+            if not word or SPACE in word or not m.spaces_last:
+                return m.merge(s)[0]  # pieces of white space alone share one score, so only their order decides
+            # The last space goes with the word if merging joins them; the run before it is merged apart.
+            ids, n = self._plain(SPACE + word), len(s) - len(word)
+            return m.merge(SPACE * n)[0] + ids[1:] if ids[0] == m.index[SPACE] else m.merge(SPACE * (n - 1))[0] + ids
+        return self._plain(s)
+
     def packed(self, text: str) -> bytes:
         """The ids of a text as 32-bit numbers."""
         if not text:

@@ -98,6 +98,21 @@ def test_windows_commit_without_changing_the_path(model):
         assert e._walk(s) == model.merge(s)[0]
 
 
+def test_words_behind_runs_of_spaces_go_through_the_window(model, monkeypatch):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    e, r = pieces.Encoder(model), random.Random(9)
+    texts = [" " * n + w for n in range(1, 40) for w in ("the", "日本", "x" * 300, "²", "...", "$", "é", "😀😀")]
+    texts += ["".join(r.choice(["  ", "   ", " ", "a", "th", ".", "日", "😀", "\n", "▁"]) for _ in range(r.randint(1, 60))) for _ in range(300)]
+    for t in texts:
+        assert e.ids(t) == lib.encode(t), t[:60]
+    merge, whole = model.merge, []
+    monkeypatch.setattr(model, "merge", lambda s: (whole.append(s), merge(s))[1])
+    text = " " * 9 + "".join(r.choice("日本語漢字") for _ in range(5000)) + "  " + "".join(r.choice("0123456789abcdef") for _ in range(5000))
+    assert pieces.Encoder(model).ids(text) == lib.encode(text) and all(set(s) == {"▁"} for s in whole)
+
+
 def test_unigram_path_is_the_best(model):
     """The streamed path scores as much as plain Viterbi over the whole text."""
     m = pieces.Pieces(open(pieces.MODEL, "rb").read(), kind=pieces.UNIGRAM)
