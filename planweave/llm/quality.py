@@ -155,7 +155,7 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 class CoTraining:
-    """The two views, their calibration and the prior; without both labels every document scores the prior."""
+    """The two views, their calibration and the prior; without both labels, or with fewer than 20, every document scores the prior."""
 
     def __init__(self, text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 5, share: float = 0.05, sure: float = 0.95):
         self.prior = float((label.sum() + 1) / (len(label) + 2))
@@ -234,8 +234,8 @@ def classify(docs: DataFrame, labels: DataFrame, carry: bool = False, threshold:
     """doc_id, score (of good quality), score_text, score_meta, kept; with carry also the columns of docs in `row`.
 
     A null or empty text has zero features; null metadata is a value of its own.
-    Repeated rows score alike.  With no labels, or labels of one kind, every
-    document scores the smoothed share of good ones and, at 0.5 or more, stays.
+    Repeated rows score alike.  With fewer than 20 labelled documents, or labels
+    of one kind, nothing is fitted and every document scores the smoothed share of good ones and, at 0.5 or more, stays.
     """
     feats = stored(features(docs), "quality")
     model = fit(feats, labels, **limits)
