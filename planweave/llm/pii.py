@@ -6,18 +6,24 @@ numbers that miss a check digit, social security numbers.  Five labelers
 (pattern, layout, gazetteer, context, neighbours) vote for, against or not at
 all on every candidate, base spans included.  Expectation-maximisation
 (Dawid and Skene) estimates how reliable each labeler is from the counts of
-vote patterns over the whole corpus, and a logistic span classifier is trained
-on the resulting posteriors.  Base spans always stay; a candidate is added when
-the classifier gives it `threshold` or more and it touches no span kept before.
-
-The number of distinct vote patterns is bounded (kinds x 3**5 x layouts), so
-what reaches the driver does not grow with the corpus.
+vote patterns over the whole corpus.  Its posteriors are the targets of a
+logistic span classifier, which sees no votes but features of the span itself:
+shape, length, the words and characters around it, its place in line and text.
+Base spans always stay; a candidate is added when the classifier gives it
+`threshold` or more and it touches no span kept before.
+
+The fit takes every candidate of the corpus: votes and features lie in a table
+in the shared folder, and each of the classifier's steps sums gradients by
+feature slot.  The number of vote patterns (kinds x 3**5 x layouts) and of
+slots is fixed, so what reaches the driver does not grow with the corpus.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -26,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planweave.llm import _arrow
+from planweave.session import discard, stored
 
 KINDS = ("email", "ip", "card", "phone")
 EXTRA_KINDS = ("ssn",)
@@ -38,7 +45,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WIDE_AT = re.compile(r"[(\[{] ?(?:at|AT) ?[)\]}]")
-_WIDE_LEFT = re.compile(r"[A-Za-z0-9._%+-]++ ?$")
 _WIDE_DOMAIN = re.compile(r" ?[A-Za-z0-9-]+(?: ?(?:[(\[{] ?(?:dot|DOT) ?[)\]}]|\.) ?[A-Za-z0-9-]+)+")
 _WIDE_PHONE = re.compile(r"(?<![0-9+.(-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
@@ -65,6 +71,32 @@ def _only_digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _at_most_255(part: str) -> bool:
+    part = part.lstrip("0")
+    return len(part) < 3 or (len(part) == 3 and int(part) <= 255)
+
+
+class _Covered:
+    """Stretches of a text that spans cover; finds by bisection whether another span touches one."""
+
+    def __init__(self, spans=()):
+        self.starts, self.ends = [], []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a), self.ends.append(b)
+
+    def touches(self, a: int, b: int) -> bool:
+        at = bisect_left(self.starts, b)
+        return at > 0 and self.ends[at - 1] > a
+
+    def add(self, a: int, b: int) -> None:
+        """A span that touches none."""
+        at = bisect_left(self.starts, a)
+        self.starts.insert(at, a), self.ends.insert(at, b)
+
+
 def _emails(s: str):
     end, at = 0, s.find("@")
     while at != -1:
@@ -83,7 +115,7 @@ def base_spans(s: str) -> list[tuple[str, int, int]]:
     out = [("email", a, b) for a, b in _emails(s)] if "@" in s else []
     if _DIGIT.search(s):
         for m in _IP.finditer(s):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(_at_most_255(p) for p in m[0].split(".")):
                 out.append(("ip", m.start(), m.end()))
         for m in _CARD.finditer(s):
             if m.end() - m.start() >= 16 and 16 <= len(d := _only_digits(m[0])) <= 19 and _luhn(d):
@@ -100,10 +132,12 @@ def wide_spans(s: str) -> list[tuple[str, int, int]]:
     out = []
     if "(" in s or "[" in s or "{" in s:
         for m in _WIDE_AT.finditer(s):
-            left = _WIDE_LEFT.search(s, max(0, m.start() - 200), m.start())
-            right = _WIDE_DOMAIN.match(s, m.end()) if left else None
+            end = start = m.start() - (s[m.start() - 1 : m.start()] == " ")
+            while start > 0 and s[start - 1] in _LOCAL:
+                start -= 1
+            right = _WIDE_DOMAIN.match(s, m.end()) if start < end else None
             if right:
-                out.append(("email", left.start(), right.end()))
+                out.append(("email", start, right.end()))
     if _DIGIT.search(s):
         for m in _CARD.finditer(s):
             if m.end() - m.start() >= 13 and 13 <= len(_only_digits(m[0])) <= 19:
@@ -143,101 +177,149 @@ def votes(s: str, kind: str, start: int, end: int, base: bool) -> tuple[int, ...
 
 
 def candidates(s: str) -> list[tuple[str, int, int, bool, tuple[int, ...]]]:
-    """Base spans, then further candidates that touch none of the same kind."""
+    """Base spans, then further candidates that touch no base span of any kind."""
     base = base_spans(s)
     out = [(k, a, b, True, votes(s, k, a, b, True)) for k, a, b in base]
+    covered = _Covered((a, b) for _, a, b in base)
     for k, a, b in wide_spans(s):
-        if not any(a < y and x < b for _, x, y in base):
+        if not covered.touches(a, b):
             out.append((k, a, b, False, votes(s, k, a, b, False)))
     return out
 
 
-def _pattern_counts(texts: str):
-    def run(batches):
+SLOTS = 4096
+_CLASSES = str.maketrans({**{c: "9" for c in "0123456789"}, **{c: "a" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}})
+_RUN = re.compile(r"(.)\1+", re.S)
+_WORD = re.compile(r"[^\W_]+")
+
+
+def span_features(s: str, kind: str, start: int, end: int) -> list[int]:
+    """Slots of a span's features: its shape, length, the words and characters around it and its place; no votes."""
+    span = s[start:end]
+    before, after = s[max(0, start - 48) : start], s[end : end + 48]
+    words = _WORD.findall(before.lower())[-2:]
+    follows = _WORD.search(after.lower())
+    told = (
+        "any",
+        "shape " + _RUN.sub(r"\1", span[:64].translate(_CLASSES)),
+        f"size {min(end - start, 48) // 4}",
+        f"digits {min(len(_only_digits(span)), 24)}",
+        "last " + (words[-1] if words else ""),
+        "last but one " + (words[0] if len(words) == 2 else ""),
+        "next " + (follows[0] if follows else ""),
+        "char before " + before[-1:].translate(_CLASSES),
+        "char after " + after[:1].translate(_CLASSES),
+        f"line {before[-1:] in ('', chr(10))} {after[:1] in ('', chr(10))}",
+        f"place {4 * start // len(s)}",
+    )
+    return sorted({zlib.crc32(f"{kind} {t}".encode("utf-8", "replace")) % SLOTS for t in told})
+
+
+def _told(batches):
+    """Votes and features of all candidates, equal ones of a batch once with their number."""
+    for batch in batches:
         total: Counter = Counter()
-        for batch in batches:
-            for s in batch.column(0).to_pylist():
-                if s:
-                    total.update((k, *v) for k, _, _, _, v in candidates(s))
+        for s in batch.column(0).to_pylist():
+            if s:
+                total.update((k, v, tuple(span_features(s, k, a, b))) for k, a, b, _, v in candidates(s))
         keys = list(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([list(k[1:]) for k in keys], pa.list_(pa.int32())), pa.array([total[k] for k in keys], pa.int64())],
-            names=["kind", "vote", "n"],
-        )
-
-    return run
+        lists = lambda i: pa.array([list(k[i]) for k in keys], pa.list_(pa.int32()))  # noqa: E731, B023
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), lists(1), lists(2), pa.array([total[k] for k in keys], pa.int64())], names=["kind", "vote", "slots", "n"])
+
+
+def reliabilities(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = 50) -> tuple[dict[str, np.ndarray], dict[tuple, float]]:
+    """Dawid and Skene's estimates: each labeler's vote probabilities by kind, and the posterior of every vote pattern."""
+    reliability, posterior = {}, {}
+    for kind in sorted({k for k, _, _ in patterns}):
+        rows = sorted((v, n) for k, v, n in patterns if k == kind)
+        v = np.array([r[0][: len(LABELERS)] for r in rows]) + 1
+        n = np.array([r[1] for r in rows], float)
+        p = 1 / (1 + np.exp(-1.5 * (v - 1).sum(axis=1)))
+        for _ in range(rounds):
+            prior = ((p * n).sum() + 1) / (n.sum() + 2)
+            like = np.zeros((2, len(LABELERS), 3))
+            for j in range(len(LABELERS)):
+                for c in range(3):
+                    hit = v[:, j] == c
+                    like[1, j, c] = (p * n)[hit].sum() + (1.0 if c == 2 else 0.5)
+                    like[0, j, c] = ((1 - p) * n)[hit].sum() + (1.0 if c == 0 else 0.5)
+            like /= like.sum(axis=2, keepdims=True)
+            logit = np.log(prior / (1 - prior)) + sum(np.log(like[1, j, v[:, j]] / like[0, j, v[:, j]]) for j in range(len(LABELERS)))
+            p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        reliability[kind] = like
+        posterior.update({(kind, r[0]): float(q) for r, q in zip(rows, p)})
+    return reliability, posterior
 
 
 class SpanModel:
-    """Labeler reliabilities by kind and the final span classifier."""
-
-    def __init__(self, patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = 50):
-        self.reliability: dict[str, np.ndarray] = {}
-        soft: list[tuple[str, tuple[int, ...], float, float]] = []
-        for kind in sorted({k for k, _, _ in patterns}):
-            rows = sorted((v, n) for k, v, n in patterns if k == kind)
-            v = np.array([r[0][: len(LABELERS)] for r in rows]) + 1
-            n = np.array([r[1] for r in rows], float)
-            p = 1 / (1 + np.exp(-1.5 * (v - 1).sum(axis=1)))
-            for _ in range(rounds):
-                prior = ((p * n).sum() + 1) / (n.sum() + 2)
-                like = np.zeros((2, len(LABELERS), 3))
-                for j in range(len(LABELERS)):
-                    for c in range(3):
-                        hit = v[:, j] == c
-                        like[1, j, c] = (p * n)[hit].sum() + (1.0 if c == 2 else 0.5)
-                        like[0, j, c] = ((1 - p) * n)[hit].sum() + (1.0 if c == 0 else 0.5)
-                like /= like.sum(axis=2, keepdims=True)
-                logit = np.log(prior / (1 - prior)) + sum(np.log(like[1, j, v[:, j]] / like[0, j, v[:, j]]) for j in range(len(LABELERS)))
-                p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-            self.reliability[kind] = like
-            soft += [(kind, r[0], q, m) for r, q, m in zip(rows, p, n)]
-        self._fit(soft)
-
-    @staticmethod
-    def _row(kind: str, vote: tuple[int, ...]) -> list[float]:
-        kinds = KINDS + EXTRA_KINDS
-        return [1.0, *(float(kind == k) for k in kinds), *(float(x) for x in vote[: len(LABELERS)]), *(float(vote[-1] == c) for c in range(3))]
-
-    def _fit(self, soft) -> None:
-        self.weights = None
-        if not soft:
-            return
-        x = np.array([self._row(k, v) for k, v, _, _ in soft])
-        y = np.array([q for _, _, q, _ in soft])
-        n = np.log1p(np.array([m for _, _, _, m in soft]))
-        w = np.zeros(x.shape[1])
-        for _ in range(60):  # Newton steps, small ridge
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            grad = x.T @ (n * (p - y)) + 0.05 * w
-            hess = (x * (n * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(x.shape[1])
-            w -= np.clip(np.linalg.solve(hess, grad), -2, 2)
-        self.weights = w
-
-    def score(self, kind: str, vote: tuple[int, ...]) -> float:
+    """Labeler reliabilities by kind and the span classifier's weights by slot; without weights it adds nothing."""
+
+    def __init__(self, reliability: dict[str, np.ndarray] | None = None, weights: np.ndarray | None = None):
+        self.reliability, self.weights = reliability or {}, weights
+
+    def score(self, slots: list[int]) -> float:
         if self.weights is None:
             return 0.0
-        return float(1 / (1 + np.exp(-np.clip(np.dot(self._row(kind, vote), self.weights), -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.weights[slots].sum(), -30, 30))))
 
 
-def fit(docs: DataFrame, text: str = "text") -> SpanModel:
-    """The model of the vote patterns of all documents."""
-    counted = docs.select(text).mapInArrow(*_arrow.batches(_pattern_counts(text), "kind string, vote array<int>, n bigint"))
-    rows = counted.groupBy("kind", "vote").agg(F.sum("n").alias("n")).collect()
-    return SpanModel([(r["kind"], tuple(r["vote"]), r["n"]) for r in rows])
+def _gradients(weights: np.ndarray, posterior: dict[tuple, float]):
+    """Gradient and curvature of the log loss by slot, over a task's candidates."""
+
+    def run(batches):
+        grad, bend = np.zeros(SLOTS), np.zeros(SLOTS)
+        for batch in batches:
+            col = dict(zip(batch.schema.names, batch.columns))
+            slots = np.asarray(col["slots"].flatten())
+            size = np.diff(col["slots"].offsets.to_numpy())
+            y = np.array([posterior[k, tuple(v)] for k, v in zip(col["kind"].to_pylist(), col["vote"].to_pylist())])
+            n = col["n"].to_numpy().astype(float)
+            owner = np.repeat(np.arange(len(batch)), size)
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, weights=weights[slots], minlength=len(batch)), -30, 30)))
+            grad += np.bincount(slots, weights=(n * (p - y))[owner], minlength=SLOTS)
+            bend += np.bincount(slots, weights=(n * p * (1 - p) * size)[owner], minlength=SLOTS)
+        at = np.flatnonzero(bend)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(grad[at]), pa.array(bend[at])], names=["slot", "grad", "bend"])
+
+    return run
+
+
+def fit(docs: DataFrame, text: str = "text", steps: int = 12) -> SpanModel:
+    """The model of all candidates of all documents; without any, one that adds nothing.
+
+    The classifier is fitted by damped diagonal Newton steps over the whole
+    table: curvatures are scaled by the number of a span's features, which
+    bounds the full matrix, so every step lowers the loss.
+    """
+    told = stored(docs.select(text).mapInArrow(*_arrow.batches(_told, "kind string, vote array<int>, slots array<int>, n bigint")), "pii")
+    rows = told.groupBy("kind", "vote").agg(F.sum("n").alias("n")).collect()
+    if not rows:
+        return SpanModel()
+    reliability, posterior = reliabilities([(r["kind"], tuple(r["vote"]), r["n"]) for r in rows])
+    weights = np.zeros(SLOTS)
+    for _ in range(steps):
+        sums = told.mapInArrow(*_arrow.batches(_gradients(weights, posterior), "slot int, grad double, bend double")).groupBy("slot").agg(F.sum("grad").alias("grad"), F.sum("bend").alias("bend")).toPandas()
+        at = sums["slot"].to_numpy()
+        step = (sums["grad"].to_numpy() + 0.05 * weights[at]) / (sums["bend"].to_numpy() + 0.05)
+        weights[at] -= np.clip(step, -2, 2)
+    discard(told)
+    return SpanModel(reliability, weights)
 
 
 def find(s: str, model: SpanModel, threshold: float) -> tuple[list, list]:
     """(base spans, all spans), each by kind as listed, then start."""
-    found = candidates(s)
-    kept = [(k, a, b) for k, a, b, base, _ in found if base]
-    n_base = len(kept)
-    rest = sorted(((model.score(k, v), k, a, b) for k, a, b, base, v in found if not base), key=lambda x: (-x[0], x[2], x[3], x[1]))
-    for p, k, a, b in rest:
-        if p >= threshold and not any(a < y and x < b for _, x, y in kept):
+    base = base_spans(s)
+    covered = _Covered((a, b) for _, a, b in base)
+    rest = [(k, a, b) for k, a, b in wide_spans(s) if not covered.touches(a, b)]
+    if not rest:
+        return base, base
+    kept, added = list(base), _Covered()
+    for p, k, a, b in sorted(((model.score(span_features(s, k, a, b)), k, a, b) for k, a, b in rest), key=lambda x: (-x[0], x[2], x[3], x[1])):
+        if p >= threshold and not added.touches(a, b):
             kept.append((k, a, b))
+            added.add(a, b)
     order = {k: i for i, k in enumerate(KINDS + EXTRA_KINDS)}
-    return kept[:n_base], sorted(kept, key=lambda x: (order[x[0]], x[1], x[2]))
+    return base, sorted(kept, key=lambda x: (order[x[0]], x[1], x[2]))
 
 
 def redact(s: str, spans: list[tuple[str, int, int]]) -> str:

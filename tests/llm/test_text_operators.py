@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -228,6 +230,48 @@ def test_pii_adds_and_redacts(spark, odd, none):
     assert pii.find_pii(none).count() == 0
 
 
+def plain_base(s):
+    """The contract's patterns, word for word."""
+    email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+
+    def luhn(d):
+        twice = [int(c) * 2 for c in d[-2::-2]]
+        return (sum(int(c) for c in d[::-2]) + sum(x // 10 + x % 10 for x in twice)) % 10 == 0
+
+    out = [("email", *m.span()) for m in email.finditer(s)]
+    out += [("ip", *m.span()) for m in ip.finditer(s) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
+    out += [("card", *m.span()) for m in card.finditer(s) if 16 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    return out + [("phone", *m.span()) for m in phone.finditer(s) if 8 <= len(digits(m)) <= 15]
+
+
+def test_op5_against_plain_patterns(spark, data):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
+    got = pii.op5_pii(spark, data).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        want = plain_base(docs[r.doc_id])
+        told = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in want) for x in ("email", "ip", "card", "phone")]
+        assert set(filter(None, told.split(","))) <= set(filter(None, r.spans.split(",")))
+    assert sum(r.n_email for r in got) and sum(r.n_ip for r in got) and sum(r.n_phone for r in got)
+
+
+def test_pii_long_texts(spark):
+    zeros = "0" * 5000
+    assert pii.base_spans(f"{zeros}.1.2.3") == [("ip", 0, 5006)] and pii.base_spans(f"{zeros}256.1.2.3") == [] and pii.base_spans("1" * 5000 + ".1.2.3") == []
+    name = "n" * 1000
+    assert pii.wide_spans(f"write {name} (at) host (dot) org") == [("email", 6, 6 + 1000 + 20)]
+    many = " ".join(f"call (614) 555-{i % 10000:04d} or m{i}@h{i}.example.org x{i} (at) h (dot) net" for i in range(35_000))
+    began = time.time()
+    base, spans = pii.find(many, pii.SpanModel({}, np.ones(pii.SLOTS)), 0.5)
+    assert len(base) == 35_000 and len(spans) == 105_000 and base == plain_base(many) and time.time() - began < 60
+    rows = {r.row.doc_id: r for r in pii.find_pii(make(spark, [many[:400_000], f"{zeros}.1.2.3", None])).collect()}
+    assert rows[0].n_email > 5000 and rows[1].base_spans == "ip:0:5006" and rows[2].spans == ""
+
+
 # 6 Language
 
 
