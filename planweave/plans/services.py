@@ -96,7 +96,7 @@ def nl_dispatch(t):
 def stream_daily_counts(t):
     """Counts by day from a stream of event files."""
     stream = E.parquet_stream(t.spark, t.folder, "events")
-    out = E.collect_stream(E.window_counts(stream, "ts", ["event_type"], "1 day", sums={"total": "value"}), f"daily_{id(t)}", "complete")
+    out = E.collect_stream(E.window_counts(stream, "ts", ["event_type"], "1 day", sums={"total": "value"}), "daily", "complete")
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
@@ -104,14 +104,14 @@ def stream_daily_counts(t):
 def stream_histogram(t):
     """A running histogram over a stream."""
     stream = E.parquet_stream(t.spark, t.folder, "events")
-    return E.collect_stream(E.histogram(stream, "event_type", F.col("value") / 100), f"bins_{id(t)}", "complete")
+    return E.collect_stream(E.histogram(stream, "event_type", F.col("value") / 100), "bins", "complete")
 
 
 @query("""SELECT user_id, CASE WHEN event_type <> 'purchase' THEN event_type END AS state, event_id AS seq FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1""")
 def stream_decisions(t):
     """The last decision on each item, kept as state over a stream."""
     stream = E.parquet_stream(t.spark, t.folder, "events").withColumn("action", F.when(F.col("event_type") == "purchase", F.lit("revert")).otherwise(F.col("event_type")))
-    told = E.collect_stream(E.last_decisions(stream, "user_id", "action", "event_id"), f"last_{id(t)}", "update")
+    told = E.collect_stream(E.last_decisions(stream, "user_id", "action", "event_id"), "last", "update")
     return told.groupBy("user_id").agg(F.max_by("state", "seq").alias("state"), F.max("seq").alias("seq"))
 
 

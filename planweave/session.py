@@ -23,13 +23,16 @@ def session(app: str = "planweave", cores: str = "*", shuffle_partitions: int =
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local one is set only where the session names none."""
+    """The folder of spark.checkpoint.dir; where the session names none, a local one on a local master and an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
     made = tempfile.mkdtemp(prefix="planweave-")
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
@@ -43,15 +46,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared one, by whichever file system it is on."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a stored() table that nothing reads any more."""
-    spark = df.sparkSession
-    root = shared_folder(spark)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = shared_folder(df.sparkSession)
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
         if folder.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/")):
-            path.getFileSystem(conf).delete(path, True)
+            remove(df.sparkSession, folder)
 
 
 def release(spark: SparkSession) -> None:

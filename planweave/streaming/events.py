@@ -5,6 +5,7 @@ Every stream has a checkpoint folder, so a restart goes on where it stopped.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from planweave.session import shared_folder
+from planweave.session import remove, shared_folder
 
 
 def parquet_stream(spark: SparkSession, folder: str, table: str, files_per_batch: int = 1000) -> DataFrame:
@@ -74,11 +75,26 @@ def keep_history(stream: DataFrame, path: str, key: str, order: str, checkpoint:
 
 
 def collect_stream(stream: DataFrame, name: str, mode: str) -> DataFrame:
-    """Run a stream over what is there now and return its rows."""
+    """Run a stream over what is there now and return its rows.
+
+    Each run has a folder of its own in the shared folder: batches are written
+    there by the executors, a repeated batch over itself, and the state goes
+    when the run has ended.  In complete mode the last batch is the result, in
+    the others all batches together.
+    """
     spark = stream.sparkSession
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    if mode == "complete":  # the memory sink can only be recovered then
-        q = q.option("checkpointLocation", f"{shared_folder(spark)}/stream-{name}")
-    q = q.start()
-    q.awaitTermination()
-    return spark.table(name)
+    folder = f"{shared_folder(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    batches: dict[int, str] = {}
+
+    def keep(rows: DataFrame, n: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/{n}")
+        batches[n] = f"{folder}/rows/{n}"
+
+    q = stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    try:
+        q.awaitTermination()
+    finally:
+        remove(spark, f"{folder}/state")
+    if not batches:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*([batches[max(batches)]] if mode == "complete" else batches.values()))

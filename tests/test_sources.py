@@ -130,3 +130,16 @@ def test_streams(spark, tmp_path):
     q = events.keep_history(events.parquet_stream(spark, str(tmp_path), "d"), str(tmp_path / "h"), "item", "seq", str(tmp_path / "c"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "h")).count() == 4
+
+
+def test_streams_of_one_name_do_not_share_state(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    for k, n in (("a", 5), ("b", 7)):
+        rows = [(i, "click", i % 3, 1.0 * i) for i in range(n)]
+        spark.createDataFrame(rows, "event_id long, event_type string, user_id long, value double").selectExpr("event_id", "event_type", "user_id", "value", "timestamp_seconds(event_id) as ts").write.parquet(f"{tmp_path}/{k}/events.parquet")
+    for _ in range(2):
+        for k, n in (("a", 5), ("b", 7)):
+            got = entry.queries()["stream_histogram"](spark, f"{tmp_path}/{k}").collect()
+            assert sum(r.n for r in got) == n
+            assert {r.user_id: r.seq for r in entry.queries()["stream_decisions"](spark, f"{tmp_path}/{k}").collect()} == {i % 3: i for i in range(n - 3, n)}
