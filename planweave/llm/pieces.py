@@ -12,8 +12,9 @@ may follow another only if merging the two, taken back step by step, would never
 have joined across their border.  Ids equal the library's in both cases.
 
 No piece reaches over the start of a white-space run, over a line end or, for
-most marks, from a mark to a letter, so all paths meet there; texts are cut at
-these places and the ids of the parts seen before are looked up.
+most marks, from a mark to a letter, so all paths meet there whatever follows;
+a text is walked from one such place to the next, and in front of the lattice
+stands a memory of the stretches that a task has walked before.
 """
 
 from __future__ import annotations
@@ -61,8 +62,16 @@ class Pieces:
         self.floor = min((self.scores[i] for i in self.index.values()), default=0.0) - 10.0
         self.fine, self.coarse, self.mixed = self._cuts()
         self.split: dict[int, tuple[int, int]] = {}
+        self.lattice = self.index
         if self.kind == BPE:
             self._splits()
+        # The lattice's pieces by character: (piece or -1, what may follow).
+        self.trie: dict = {}
+        for piece, i in sorted(self.lattice.items()):
+            at = self.trie
+            for c in piece[:-1]:
+                at = at.setdefault(c, (-1, {}))[1]
+            at[piece[-1]] = (i, at[piece[-1]][1] if piece[-1] in at else {})
 
     def _cuts(self) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
         """Parts of a text between which every path has a boundary, for texts without and with exceptions, and what is one.
@@ -96,13 +105,6 @@ class Pieces:
         self.spaces_last = SPACE in self.index and not any(SPACE in p[1:] for p, _ in rest) and (not runs or not rest or max(runs) < min(x for _, x in rest))
         # Singles come before every merge.
         self.rank = {i: -self.scores[i] if i in self.split else -1.0 for i in self.lattice.values()}
-        # The lattice's pieces by character: (piece or -1, what may follow).
-        self.trie: dict = {}
-        for piece, i in sorted(self.lattice.items()):
-            at = self.trie
-            for c in piece[:-1]:
-                at = at.setdefault(c, (-1, {}))[1]
-            at[piece[-1]] = (i, at[piece[-1]][1] if piece[-1] in at else {})
 
     def merge(self, s: str) -> tuple[list[int], tuple[int, int] | None]:
         """Byte-pair merging of a string as such, with its last merge; used for tables, white-space runs and tests."""
@@ -178,89 +180,73 @@ class Encoder:
         return ok
 
     def _walk(self, s: str) -> list[int]:
-        """The ids of a part, committed as paths meet."""
-        m = self.m
-        bpe = m.kind == BPE
-        index = m.lattice if bpe else m.index
-        longest, every = m.longest, 4 * m.longest
+        """The ids of a stretch by the lattice; what is held is a window of a few times the longest piece, committed as paths meet."""
+        m, known, trie, longest = self.m, self.apart, self.m.trie, self.m.longest
+        bpe, n, every = m.kind == BPE, len(s), 4 * m.longest
         out: list[int] = []
-        base = 0  # position of the last committed boundary
-        last, back, best = [-2], [0], [0.0]  # by position since base: last piece (-1 unknown), its start, score
-        apart = self._stay_apart
-        for i in range(1, len(s) + 1):
-            found, start, top = -1, i - 1, None
-            low = max(base, i - longest)
-            if bpe:
-                for j in range(low, i):
-                    p = index.get(s[j:i])
-                    if p is not None:
-                        q = last[j - base]
-                        if q < 0 or apart(q, p):
-                            found, start = p, j
-                            break
-                else:
-                    if index.get(s[i - 1 : i]) is not None:
+        base = j = 0  # the last committed boundary, and how far behind it the lattice has come
+        size = min(n, every + longest)
+        # By position since base: the last piece of the best path there (-3 none yet, -2 the start, -1 unknown), its start, score.
+        last, back, best = [-2] + [-3] * size, [0] * (size + 1), [0.0] * (size + 1)
+        w = s[:size] if size < n else s
+        while True:
+            stop = min(n - base, every)
+            while j < stop:
+                q, e, at = last[j], j, trie
+                for c in w[j : j + longest]:
+                    step = at.get(c)
+                    if step is None:
+                        break
+                    e += 1
+                    p, at = step
+                    if p < 0:
+                        continue
+                    if not bpe:
+                        x = best[j] + m.scores[p]
+                        if last[e] == -3 or x > best[e]:
+                            last[e], back[e], best[e] = p, j, x
+                    elif last[e] == -3:
+                        if q >= 0:
+                            ok = known.get(q << 24 | p)
+                            if not (self._stay_apart(q, p) if ok is None else ok):
+                                continue
+                        last[e], back[e] = p, j
+                e = j + 1
+                if last[e] == -3 or (not bpe and best[j] + m.floor > best[e]):
+                    if w[j] not in m.index:
+                        last[e], back[e], best[e] = -1, j, best[j] + m.floor
+                    elif last[e] == -3:
                         raise AssertionError("a position without a path")
-                top = 0.0
+                j = e
+            if base + j == n:
+                self._commit(w, j, last, back, out)
+                return out
+            # The ends that a path can still grow from, followed back until one boundary is left.
+            ends = {j, *(e for e in range(j + 1, min(j + longest, size + 1)) if last[e] != -3)}
+            while len(ends) > 1:
+                e = max(ends)
+                ends.discard(e)
+                ends.add(back[e])
+            cut = ends.pop()
+            if cut:
+                self._commit(w, cut, last, back, out)
+                last, back, best = last[cut:], [x - cut for x in back[cut:]], [x - best[cut] for x in best[cut:]]
+                base, j, size = base + cut, j - cut, size - cut
             else:
-                for j in range(low, i):
-                    p = index.get(s[j:i])
-                    if p is not None:
-                        x = best[j - base] + m.scores[p]
-                        if top is None or x > top:
-                            found, start, top = p, j, x
-                if s[i - 1 : i] not in index and ((x := best[i - 1 - base] + m.floor) > top if top is not None else True):
-                    found, start, top = -1, i - 1, best[i - 1 - base] + m.floor
-            last.append(found)
-            back.append(start)
-            best.append(top)
-            if i - base >= every and i < len(s):
-                ends = set(range(max(base, i - longest + 1), i + 1))
-                while len(ends) > 1:
-                    e = max(ends)
-                    ends.discard(e)
-                    ends.add(back[e - base])
-                cut = ends.pop()
-                if cut > base:
-                    self._commit(s, base, cut, last, back, out)
-                    k = cut - base
-                    last, back, best = last[k:], back[k:], [x - best[k] for x in best[k:]]
-                    base = cut
-        self._commit(s, base, len(s), last, back, out)
-        return out
-
-    def _short(self, s: str) -> list[int]:
-        """_walk() for a part within one window, all of whose paths meet at its end."""
-        n, trie, known, longest = len(s), self.m.trie, self.apart, self.m.longest
-        last, back = [-3] * (n + 1), [0] * (n + 1)  # -3: no piece found yet
-        last[0] = -2
-        for j in range(n):
-            q, e, at = last[j], j, trie
-            for c in s[j : j + longest]:
-                step = at.get(c)
-                if step is None:
-                    break
-                e += 1
-                p, at = step
-                if p >= 0 and last[e] == -3:
-                    if q >= 0:
-                        ok = known.get(q << 24 | p)
-                        if not (self._stay_apart(q, p) if ok is None else ok):
-                            continue
-                    last[e], back[e] = p, j
-            if last[j + 1] == -3:
-                if s[j] in self.m.index:
-                    raise AssertionError("a position without a path")
-                last[j + 1], back[j + 1] = -1, j
-        out: list[int] = []
-        self._commit(s, 0, n, last, back, out)
-        return out
-
-    def _commit(self, s: str, base: int, end: int, last: list, back: list, out: list) -> None:
+                every += longest  # no boundary yet
+            more = min(n - base, every + longest) - size
+            last += [-3] * more
+            back += [0] * more
+            best += [0.0] * more
+            size += more
+            w = s[base : base + size]
+
+    def _commit(self, s: str, end: int, last: list, back: list, out: list) -> None:
+        """The ids of the path that ends there."""
         path = []
-        while end > base:
-            path.append((last[end - base], end))
-            end = back[end - base]
+        while end > 0:
+            path.append((last[end], end))
+            end = back[end]
         for p, e in reversed(path):
             if p >= 0:
                 out.append(p)
@@ -269,10 +255,6 @@ class Encoder:
                 if ids != [self.m.unknown] or not out or out[-1] != self.m.unknown:
                     out += ids
 
-    def _plain(self, s: str) -> list[int]:
-        """The ids of a part that does not begin with a run of white space."""
-        return self._short(s) if self.m.kind == BPE and len(s) <= 4 * self.m.longest else self._walk(s)
-
     def part(self, s: str) -> list[int]:
         m = self.m
         if m.kind == BPE and len(s) > 1 and s[0] == SPACE == s[1]:
@@ -280,9 +262,9 @@ class Encoder:
             if not word or SPACE in word or not m.spaces_last:
                 return m.merge(s)[0]  # pieces of white space alone share one score, so only their order decides
             # The last space goes with the word if merging joins them; the run before it is merged apart.
-            ids, n = self._plain(SPACE + word), len(s) - len(word)
+            ids, n = self._walk(SPACE + word), len(s) - len(word)
             return m.merge(SPACE * n)[0] + ids[1:] if ids[0] == m.index[SPACE] else m.merge(SPACE * (n - 1))[0] + ids
-        return self._plain(s)
+        return self._walk(s)
 
     def packed(self, text: str) -> bytes:
         """The ids of a text as 32-bit numbers."""
