@@ -3,14 +3,16 @@
 Two classifiers see a document from two sides: one its text (shares of letters,
 marks and capitals, repetition, line shape), one the page's metadata (source,
 language, length).  Each is fitted on labelled documents; over some rounds each
-gives the documents of the pool that it is surest about, with its own labels, to
+gives the unlabelled documents that it is surest about, with its own labels, to
 the other.  Both are then calibrated on labelled documents that took no part
 (Platt) and their log odds are added, the prior counted once, to score every
 document.
 
-Only the fit is bounded: it uses at most `max_labelled` labelled documents and a
-pool of at most `max_pool` unlabelled ones, those with the least hashes.  The
-features and scores are of all documents and whole texts.
+Every round looks at every unlabelled document: tasks count confidences by bin,
+and the bin that the round's quota ends in is taken by hash.  The fit is bounded
+by two parameters: `max_labelled` labelled documents, those of least hash, and
+`max_exchanged` pseudo-labels that a view gives in a round.  The features and
+scores are of all documents and whole texts.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planweave.llm import _arrow, _words
-from planweave.session import stored
+from planweave.session import discard, stored
 
 TEXT_FEATURES = (
     "letters", "digits", "marks", "capitals", "spaces", "high_bytes", "word_length", "long_words",
@@ -138,7 +140,18 @@ class View:
         return self
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(self._rows(np.asarray(x, float)) @ self.weights, -12, 12)
+        """Log odds: each feature's weight is looked up by its piece."""
+        x = np.asarray(x, float)
+        z, at = np.full(len(x), self.weights[0]), 1
+        if self.hashed:
+            for j in range(2):
+                z += self.weights[at + x[:, j].astype(np.int64)]
+                at += META_FEATURES
+            x = x[:, 2:]
+        for j, c in enumerate(self.cuts):
+            z += self.weights[at + np.searchsorted(c, x[:, j], "right")]
+            at += len(c) + 1
+        return np.clip(z, -12, 12)
 
 
 def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -157,34 +170,27 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 class CoTraining:
     """The two views, their calibration and the prior; without both labels, or with fewer than 20, every document scores the prior."""
 
-    def __init__(self, text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 5, share: float = 0.05, sure: float = 0.95):
+    def __init__(self, text: np.ndarray, meta: np.ndarray, label: np.ndarray):
         self.prior = float((label.sum() + 1) / (len(label) + 2))
         self.ready = len(set(label.tolist())) == 2 and len(label) >= 20
         if not self.ready:
             return
         hold = np.arange(len(label)) % 4 == 0
-        views = [(text, pool_text), (meta, pool_meta)]
-        own = [[v[~hold], label[~hold]] for v, _ in views]
-        models = [View(False), View(True)]
-        taken = [np.zeros(len(pool_text), bool) for _ in views]
-        for k in range(rounds + 1):
-            for m, (x, y) in zip(models, own):
-                m.fit(x, y)
-            if k == rounds or not len(pool_text):
-                break
-            for i in (0, 1):
-                other = 1 - i
-                z = models[i].logit(views[i][1])
-                p = 1 / (1 + np.exp(-z))
-                most = max(1, int(share * len(p)))
-                for want, ok, order in ((1, p >= sure, -p), (0, p <= 1 - sure, p)):
-                    quota = max(1, int(most * (self.prior if want else 1 - self.prior)))
-                    at = np.flatnonzero(ok & ~taken[other])
-                    at = at[np.argsort(order[at], kind="stable")[:quota]]
-                    taken[other][at] = True
-                    own[other] = [np.concatenate([own[other][0], views[other][1][at]]), np.concatenate([own[other][1], np.full(len(at), want)])]
-        self.models = models
-        self.scale = [_platt(m.logit(v[hold]), label[hold]) for m, (v, _) in zip(models, views)]
+        self.held = [text[hold], meta[hold], label[hold]]
+        self.own = [[v[~hold], label[~hold]] for v in (text, meta)]
+        self.models = [View(False), View(True)]
+        self.refit()
+
+    def refit(self) -> None:
+        """Fit and calibrate both views on what each has now."""
+        for m, (x, y) in zip(self.models, self.own):
+            m.fit(x, y)
+        self.scale = [_platt(m.logit(v), self.held[2]) for m, v in zip(self.models, self.held)]
+
+    def give(self, view: int, want: int, rows: np.ndarray) -> None:
+        """Documents, as that view sees them, which the other is sure are of a class."""
+        x, y = self.own[view]
+        self.own[view] = [np.concatenate([x, rows]), np.concatenate([y, np.full(len(rows), float(want))])]
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of good quality: of both views together, of the text's and of the metadata's."""
@@ -196,22 +202,101 @@ class CoTraining:
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (both, a, b))
 
 
-def fit(feats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality", max_labelled: int = 20_000, max_pool: int = 20_000) -> CoTraining:
-    """Fit on bounded samples by least hash; labels that are null or disagree for one document are left out."""
-    votes = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).cast("bigint").alias("doc_id")).agg(F.min(label).alias("y"), F.max(label).alias("y2"))
-    marked = feats.join(votes, "doc_id", "left").withColumn("h", F.xxhash64("doc_id", "view_text", "view_meta"))
-    n_known, n_pool = marked.agg(F.count_if(F.expr("y = y2")), F.count_if(F.col("y").isNull())).first()
+BINS = 16  # of confidence, for each unit of log odds
+
+
+def _block(col: pa.Array, width: int) -> np.ndarray:
+    return np.asarray(col.flatten().to_numpy(zero_copy_only=False), float).reshape(len(col), width)
+
 
-    def pick(rows: DataFrame, there: int, most: int):
-        # About twice as many by a bound on the hash first, so that tasks don't send `most` rows each.
-        bound = (1 << 64) * min(1.0, 2 * (most + 100) / max(there, 1)) - (1 << 63)
-        return rows.where(F.col("h") <= F.lit(min(int(bound), (1 << 63) - 1))).orderBy("h", "doc_id").limit(most).toPandas()
+def _views(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [_block(batch.column(batch.schema.get_field_index(c)), w) for c, w in (("view_text", len(TEXT_FEATURES)), ("view_meta", 3))]
 
-    known = pick(marked.where("y = y2"), n_known, max_labelled)
-    pool = pick(marked.where("y is null"), n_pool, max_pool)
-    block = lambda p, c, width: np.array(p[c].tolist(), float).reshape(len(p), width)
-    n = len(TEXT_FEATURES)
-    return CoTraining(block(known, "view_text", n), block(known, "view_meta", 3), known["y"].to_numpy(float), block(pool, "view_text", n), block(pool, "view_meta", 3))
+
+def _sure(model: CoTraining, taken: list[np.ndarray], sure: float):
+    """Of a batch: (giving view, class, rows it is sure of that the other doesn't have yet, their bins)."""
+    least = np.log(sure / (1 - sure))
+
+    def of(batch: pa.RecordBatch):
+        h = batch.column(batch.schema.get_field_index("h")).to_numpy()
+        views = _views(batch)
+        for i in (0, 1):
+            z = model.models[i].logit(views[i])
+            fresh = ~np.isin(h, taken[1 - i])
+            for want in (0, 1):
+                at = np.flatnonzero(fresh & ((z if want else -z) >= least))
+                yield i, want, at, (np.abs(z[at]) * BINS).astype(np.int32), h, views[1 - i]
+
+    return of
+
+
+def _confidences(model: CoTraining, taken: list[np.ndarray], sure: float):
+    def run(batches):
+        total = np.zeros((2, 2, 12 * BINS + 1), np.int64)
+        for batch in batches:
+            for i, want, _, bins, _, _ in _sure(model, taken, sure)(batch):
+                total[i, want] += np.bincount(bins, minlength=total.shape[2])
+        i, want, bin_ = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(want.astype(np.int32)), pa.array(bin_.astype(np.int32)), pa.array(total[i, want, bin_])], names=["view", "want", "bin", "n"])
+
+    return run
+
+
+def _chosen(model: CoTraining, taken: list[np.ndarray], sure: float, bounds: dict):
+    """The rows above a bin, and those in it with a hash up to a bound."""
+
+    def run(batches):
+        for batch in batches:
+            for i, want, at, bins, h, other in _sure(model, taken, sure)(batch):
+                if (i, want) in bounds:
+                    last, bound = bounds[i, want]
+                    at = at[(bins > last) | ((bins == last) & (h[at] <= bound))]
+                    rows = other[at]
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(at), pa.int32()), pa.array([want] * len(at), pa.int32()), pa.array(h[at]), lists], names=["view", "want", "h", "other"])
+
+    return run
+
+
+def fit(feats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality", max_labelled: int = 20_000, max_exchanged: int = 1_000, rounds: int = 5, sure: float = 0.95) -> CoTraining:
+    """Fit on labelled documents and exchange pseudo-labels for all others.
+
+    Labels that are null or disagree for one document are left out.  Of more
+    than max_labelled labelled documents those of least hash are used; rows that
+    repeat wholly share a hash.  In a round a view gives about max_exchanged
+    documents, by class as the prior has it, those that it is surest of.
+    """
+    votes = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).cast("bigint").alias("doc_id")).agg(F.min(label).alias("y"), F.max(label).alias("y2"))
+    marked = feats.join(votes, "doc_id", "left").withColumn("h", F.xxhash64("doc_id", "view_text", "view_meta"))
+    agreed = marked.where("y = y2")
+    # About twice as many by a bound on the hash first, so that tasks don't send `max_labelled` rows each.
+    bound = (1 << 64) * min(1.0, 2 * (max_labelled + 100) / max(agreed.count(), 1)) - (1 << 63)
+    known = agreed.where(F.col("h") <= F.lit(min(int(bound), (1 << 63) - 1))).orderBy("h", "doc_id").limit(max_labelled).toPandas()
+    block = lambda c, width: np.array(known[c].tolist(), float).reshape(len(known), width)
+    model = CoTraining(block("view_text", len(TEXT_FEATURES)), block("view_meta", 3), known["y"].to_numpy(float))
+    if not model.ready:
+        return model
+    pool = stored(marked.where("y is null").select("h", "view_text", "view_meta"), "quality")
+    taken = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+    for _ in range(rounds):
+        counted = pool.mapInArrow(*_arrow.batches(_confidences(model, taken, sure), "view int, want int, bin int, n bigint")).groupBy("view", "want", "bin").agg(F.sum("n").alias("n")).toPandas()
+        bounds = {}
+        for (i, want), rows in counted.groupby(["view", "want"]):
+            left = max(1, int(max_exchanged * (model.prior if want else 1 - model.prior)))
+            for bin_, n in rows.sort_values("bin", ascending=False)[["bin", "n"]].itertuples(index=False):
+                bounds[int(i), int(want)] = (int(bin_), min(int((1 << 64) * min(1.0, left / n)) - (1 << 63), (1 << 63) - 1))
+                left -= n
+                if left <= 0:
+                    break
+        if not bounds:
+            break
+        given = pool.mapInArrow(*_arrow.batches(_chosen(model, taken, sure, bounds), "view int, want int, h bigint, other array<double>")).orderBy("view", "want", "h").toPandas()
+        for (i, want), rows in given.groupby(["view", "want"]):
+            model.give(1 - int(i), int(want), np.array(rows["other"].tolist(), float))
+            taken[1 - int(i)] = np.union1d(taken[1 - int(i)], rows["h"].to_numpy(np.int64))
+        model.refit()
+    discard(pool)
+    return model
 
 
 def score(feats: DataFrame, model: CoTraining) -> DataFrame:
@@ -220,8 +305,7 @@ def score(feats: DataFrame, model: CoTraining) -> DataFrame:
     def run(batches):
         for batch in batches:
             col = dict(zip(batch.schema.names, batch.columns))
-            block = lambda c, width: np.asarray(col[c].flatten().to_numpy(zero_copy_only=False), float).reshape(len(batch), width)
-            both, a, b = model.score(block("view_text", len(TEXT_FEATURES)), block("view_meta", 3)) if len(batch) else (np.zeros(0),) * 3
+            both, a, b = model.score(*_views(batch)) if len(batch) else (np.zeros(0),) * 3
             keep = [c for c in batch.schema.names if c not in ("view_text", "view_meta")]
             yield pa.RecordBatch.from_arrays([*(col[c] for c in keep), pa.array(both), pa.array(a), pa.array(b)], names=[*keep, "score", "score_text", "score_meta"])
 
@@ -239,6 +323,8 @@ def classify(docs: DataFrame, labels: DataFrame, carry: bool = False, threshold:
     """
     feats = stored(features(docs), "quality")
     model = fit(feats, labels, **limits)
+    if carry:
+        discard(feats)
     return score(features(docs, carry=True) if carry else feats, model).withColumn("kept", F.col("score") >= threshold)
 
 

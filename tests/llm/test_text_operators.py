@@ -185,7 +185,7 @@ def test_quality_learns_from_labels(spark):
     junk = [" ".join(w + r.choice(["###", "%%%", "$$$"]) for w in words(r.randint(40, 120), s)) for s in range(60)] + [" ".join([f"w{s}"] * 80) for s in range(60)]
     d = make(spark, good + junk)
     labels = spark.createDataFrame([(i, int(i < 240)) for i in range(360) if i % 3 != 0], "doc_id long, quality int")
-    got = quality.classify(d, labels, max_labelled=200, max_pool=100)
+    got = quality.classify(d, labels, max_labelled=200, max_exchanged=100)
     right = got.where(F.col("kept") == (F.col("doc_id") < 240)).count()
     assert right >= 355 and got.where("score < 0 or score > 1").count() == 0
 
