@@ -10,7 +10,9 @@ gives the words still missing.
 
 No source is sorted in one task: keys fall into slices of about `slice_rows`
 documents, slices are summed first, and only the order inside a slice needs a
-window.
+window.  Slices lie between measured quantiles of a source's keys, each split
+evenly on the keys' logarithm, so that they hold about equally many documents
+however the weights are spread.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from planweave.session import stored
 
+CUTS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (5, 2, 1)
 
@@ -31,7 +34,7 @@ def letter_share(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, most: int = 3, cycle: tuple[int, ...] = CYCLE) -> DataFrame:
-    """(source, source_size, n_docs, mean_weight, target) from (source, source_size, n_docs, mean_weight).
+    """(source, source_size, n_docs, cuts, target) from (source, source_size, n_docs, cuts).
 
     Water filling in closed form.  In the order of cap over weight, a source is
     capped if the level that the words and weights left would give reaches its
@@ -50,7 +53,7 @@ def source_targets(sizes: DataFrame, most: int = 3, cycle: tuple[int, ...] = CYC
     )
     level = F.max(F.when(~F.col("capped"), F.col("level"))).over(everything)
     target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(level * F.col("weight"))
-    return s.withColumn("target", target).select("source", "source_size", "n_docs", "mean_weight", "target")
+    return s.withColumn("target", target).select("source", "source_size", "n_docs", "cuts", "target")
 
 
 def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", weight: Column | None = None, most: int = 3, cycle: tuple[int, ...] = CYCLE, seed: str = "mix", slice_rows: int = 1024, carry: bool = False) -> DataFrame:
@@ -76,14 +79,19 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", id:
     u = (F.conv(F.substring("draw", 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     keyed = keyed.withColumn("sample_key", -F.log(u) / F.col("weight"))
     narrow = stored(keyed.drop("row"), "mix")
-    sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"), F.avg("weight").alias("mean_weight"))
+    sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"), F.percentile_approx(F.log("sample_key"), [k / CUTS for k in range(CUTS + 1)], 10_000).alias("cuts"))
     targets = stored(source_targets(sizes, most, cycle), "mix")
     targets = targets.withColumnRenamed("source", "of")
 
     def sliced(rows: DataFrame) -> DataFrame:
-        n = F.ceil(F.col("n_docs") / F.lit(slice_rows))
         rows = rows.join(targets, F.col("source").eqNullSafe(F.col("of")))
-        return rows.withColumn("slice", F.least(n - 1, F.floor((1 - F.exp(-F.col("sample_key") * F.col("mean_weight"))) * n)))
+        # Between which two of the cuts, then how far on the way from one to the other.
+        each = F.ceil(F.col("n_docs") / F.lit(slice_rows * CUTS))
+        x = F.log("sample_key")
+        place = F.greatest(F.lit(1), F.least(F.lit(CUTS), F.size(F.filter("cuts", lambda c: c <= x))))
+        low, high = F.element_at("cuts", place), F.element_at("cuts", place + 1)
+        on = F.when(high > low, F.floor((x - low) / (high - low) * each)).otherwise(0)
+        return rows.withColumn("slice", ((place - 1) * each + F.greatest(F.lit(0), F.least(each - 1, on))).cast("bigint")).drop("cuts")
 
     before = F.sum("in_slice").over(Window.partitionBy("s_source").orderBy("s_slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("in_slice")
     starts = (
