@@ -29,10 +29,49 @@ def pack(vectors: np.ndarray) -> bytes:
 
 def unpack(blob: bytes) -> np.ndarray:
     n, d = np.frombuffer(blob, np.int64, 2)
-    kind = np.dtype(blob[16:24].strip().decode())
+    kind = np.dtype(bytes(blob[16:24]).strip().decode())
     return np.frombuffer(blob, kind, int(n * d), 24).reshape(int(n), int(d))
 
 
+def pack_all(arrays: list[np.ndarray]) -> bytes:
+    """Several arrays of one or two dimensions as bytes."""
+    parts = [pack(np.atleast_2d(a)) for a in arrays]
+    return np.array([len(parts), *map(len, parts)], np.int64).tobytes() + b"".join(parts)
+
+
+def unpack_all(blob: bytes) -> list[np.ndarray]:
+    """The arrays of pack_all(), all with two dimensions."""
+    n = int(np.frombuffer(blob, np.int64, 1)[0])
+    view, at, out = memoryview(blob), 8 * (n + 1), []
+    for size in np.frombuffer(blob, np.int64, n, 8).tolist():
+        out.append(unpack(view[at : at + size]))
+        at += size
+    return out
+
+
+def narrow(a: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the narrowest signed type."""
+    low, high = (int(a.min()), int(a.max())) if a.size else (0, 0)
+    return a.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
+def meet(holders: DataFrame, asks: DataFrame, group: list[str], each: int) -> DataFrame:
+    """Every block of queries meets every holder of its group; rows with kind 0 (a holder) or 1 (queries), dealt and sorted.
+
+    A task's rows are, one after another, a holder and up to `each` blocks of
+    queries, so it holds one of each at a time.  Queries travel once for each
+    holder; a holder, which is larger, only once for `each` blocks of queries.
+    holders have `block` and asks `q_block`, both counted from 0 within the group.
+    """
+    n_holders = holders.groupBy(*group).agg(F.max("block").alias("top"))
+    n_salts = asks.groupBy(*group).agg(F.floor(F.max("q_block") / F.lit(each)).cast("int").alias("top"))
+    one = holders.join(n_salts, group).withColumn("salt", F.explode(F.sequence(F.lit(0), "top"))).withColumn("q_block", F.lit(-1))
+    many = asks.join(n_holders, group).withColumn("block", F.explode(F.sequence(F.lit(0), "top"))).withColumn("salt", F.floor(F.col("q_block") / F.lit(each)).cast("int"))
+    both = one.withColumn("kind", F.lit(0)).unionByName(many.withColumn("kind", F.lit(1)), allowMissingColumns=True).drop("top")
+    key = [*group, "block", "salt"]
+    return both.repartition(*key).sortWithinPartitions(*key, "kind", "q_block")
+
+
 def blocked(rows: DataFrame, group: list[str], id: str, size: int) -> DataFrame:
     """rows with `block`: each group is dealt by a hash of the id to blocks of about `size` rows."""
     counts = rows.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias("n_blocks"))

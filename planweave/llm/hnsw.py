@@ -157,18 +157,12 @@ class Graph:
 
     def pack(self) -> bytes:
         """Levels and neighbour lists."""
-        parts = [_vectors.pack(self.levels[:, None]), *(_vectors.pack(a) for a in self.near)]
-        return np.array([len(parts), *map(len, parts)], np.int64).tobytes() + b"".join(parts)
+        return _vectors.pack_all([self.levels, *self.near])
 
     @classmethod
     def unpack(cls, unit: np.ndarray, blob: bytes) -> "Graph":
-        n = int(np.frombuffer(blob, np.int64, 1)[0])
-        sizes = np.frombuffer(blob, np.int64, n, 8)
-        at, parts = 8 * (n + 1), []
-        for size in sizes.tolist():
-            parts.append(_vectors.unpack(blob[at : at + size]))
-            at += size
-        return cls(unit, parts[1:], parts[0][:, 0])
+        levels, *near = _vectors.unpack_all(blob)
+        return cls(unit, near, levels[0])
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -237,9 +231,12 @@ def search_block(graph: Graph, points: np.ndarray, ids: np.ndarray, q_points: np
     return [truth[i] if i in truth else links(i) for i in range(len(q_ids))], width, recall
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", vector: str = "embedding", label: str = "label", shard_rows: int = 16384, query_rows: int = 1024) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", vector: str = "embedding", label: str = "label", shard_rows: int = 16384, query_rows: int = 1024, audited: bool = False) -> DataFrame:
     """id, n_links, component_id and kept, one row per row of vectors.
 
+    With audited also recall and beam: the least recall that the audits of a
+    vector's searches ended with, and their widest beam; null where there were none.
+
     Vectors are linked when their labels are equal and not null and their cosine
     is `cosine` or more; those that are null, empty, zero or hold a null or
     non-finite component link with nothing, nor do vectors of different lengths
@@ -272,16 +269,24 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", v
     shards = stored(shards.groupBy(*group, "block").applyInArrow(*_arrow.groups(as_shard, schema + ", graph binary")), "hnsw")
     asks = stored(_vectors.blocked(points, group, "node", query_rows).groupBy(*group, "block").applyInArrow(*_arrow.groups(as_block, schema)), "hnsw")
     asked = asks.select(*group, F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("points").alias("q_points"))
-    met = shards.join(asked, group).repartition(*group, "block", "q_block")
+    met = _vectors.meet(shards, asked, group, 8)
 
     def run(batches):
+        held = graph = v = here = times = None
         for batch in batches:
             col = dict(zip(batch.schema.names, batch.columns))
             for i in range(len(batch)):
                 get = lambda c: col[c][i].as_py()  # noqa: E731, B023
-                here, times = np.frombuffer(get("ids"), np.int64), np.frombuffer(get("n"), np.int64)
-                v, q_ids, q = _vectors.unpack(get("points")), np.frombuffer(get("q_ids"), np.int64), _vectors.unpack(get("q_points"))
-                found, width, recall = search_block(Graph.unpack(_unit(v), get("graph")), v, here, q, q_ids, cosine)
+                key = [get(c) for c in (*group, "block")]
+                if get("kind") == 0:
+                    held = key
+                    here, times, v = np.frombuffer(get("ids"), np.int64), np.frombuffer(get("n"), np.int64), _vectors.unpack(get("points"))
+                    graph = Graph.unpack(_unit(v), get("graph"))
+                    continue
+                if key != held:
+                    continue  # no vector fell into that shard
+                q_ids, q = np.frombuffer(get("q_ids"), np.int64), _vectors.unpack(get("q_points"))
+                found, width, recall = search_block(graph, v, here, q, q_ids, cosine)
                 forest = _Forest()
                 a, b = [], []
                 for p, hits in zip(q_ids.tolist(), found):
@@ -289,14 +294,18 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", v
                         if forest.join(p, o):
                             a.append(p), b.append(o)
                 links = [int(times[hits].sum()) for hits in found]
-                yield pa.RecordBatch.from_arrays([pa.array([*q_ids.tolist(), *a], pa.int64()), pa.array([*links, *[None] * len(a)], pa.int64()), pa.array([*[None] * len(links), *b], pa.int64())], names=["node", "links", "other"])
+                n, m = len(links), len(a)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([*q_ids.tolist(), *a], pa.int64()), pa.array([*links, *[None] * m], pa.int64()), pa.array([*[None] * n, *b], pa.int64()), pa.array([float(recall)] * (n + m)), pa.array([width] * (n + m), pa.int64())],
+                    names=["node", "links", "other", "recall", "beam"],
+                )
 
-    told = stored(met.mapInArrow(*_arrow.batches(run, "node bigint, links bigint, other bigint")), "hnsw")
+    told = stored(met.mapInArrow(*_arrow.batches(run, "node bigint, links bigint, other bigint, recall double, beam bigint")), "hnsw")
     labels = connected_components(told.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    links = told.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"))
+    links = told.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"), F.min("recall").alias("recall"), F.max("beam").alias("beam"))
     nodes = points.select("label", "v", "node", "n").join(links, "node", "left").join(labels, "node", "left")
-    of_id = part.join(nodes, ["label", "v"]).groupBy("id").agg(F.max(F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.min(F.coalesce("component", "node")).alias("component"))
-    out = rows.select("id").join(of_id, "id", "left").select(F.col("id").alias(id), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    of_id = part.join(nodes, ["label", "v"]).groupBy("id").agg(F.max(F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.min(F.coalesce("component", "node")).alias("component"), F.min("recall").alias("recall"), F.max("beam").alias("beam"))
+    out = rows.select("id").join(of_id, "id", "left").select(F.col("id").alias(id), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component", "id").alias("component_id"), *(["recall", "beam"] if audited else []))
     return out.withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)))
 
 

@@ -13,7 +13,9 @@ bound it from below by the triangle inequality, and entries whose bound is
 beyond the k-th best are passed over.  Bounds are relaxed by a little more than
 rounding can add; scores are whole numbers and exact.
 
-Queries meet the trees in blocks, so that no task holds all queries or all rows.
+A tree is built once and stored as its pages.  Queries come to the trees in
+blocks, so that no task holds all queries or all rows; a search task holds one
+tree and one block of queries.
 """
 
 from __future__ import annotations
@@ -45,6 +47,30 @@ class MTree:
         self.computed = 0
         self.root = self._load(np.arange(len(ids)), page) if len(ids) else None
 
+    def pack(self) -> bytes:
+        """The tree's pages and what else a search needs."""
+        if self.root is None:
+            return _vectors.pack_all([np.array([self.top]), self.ids])
+        leaf = np.array([p[5] is not None for p in self.pages], np.int8)
+        parts = [np.array([self.top, self.root[0], self.root[2]]), self.ids, _vectors.narrow(self.points), leaf, self.root[1]]
+        for _, vectors, parent, radii, children, rows in self.pages:
+            parts += [vectors, parent, radii, children] if rows is None else [vectors[:0], parent, radii, rows]
+        return _vectors.pack_all(parts)
+
+    @classmethod
+    def unpack(cls, blob: bytes) -> "MTree":
+        head, ids, *rest = _vectors.unpack_all(blob)
+        tree = cls.__new__(cls)
+        tree.ids, tree.top, tree.computed, tree.root, tree.pages = ids[0], float(head[0, 0]), 0, None, []
+        if rest:
+            points, leaf, center, *pages = rest
+            tree.points = points.astype(np.int64)
+            tree.root = (int(head[0, 1]), center[0], float(head[0, 2]))
+            for k, is_leaf in enumerate(leaf[0].tolist()):
+                vectors, parent, radii, to = pages[4 * k : 4 * k + 4]
+                tree.pages.append((None, vectors, parent[0], radii[0], None if is_leaf else to[0], to[0] if is_leaf else None))
+        return tree
+
     def _load(self, rows: np.ndarray, page: int) -> tuple[int, np.ndarray, float]:
         """(page number, routing vector, covering radius) of the subtree over rows."""
         center = self._route(rows)
@@ -157,34 +183,38 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id
         rows = rows.dropDuplicates(["id", "v"])
         return _vectors.blocked(rows, ["dim"], "id", size)
 
-    def as_block(t: pa.Table) -> pa.Table:
-        v = _scaled(t.column("v"), scale)
-        order = np.argsort(t.column("id").to_numpy(), kind="stable")
-        return pa.table([t.column("dim").slice(0, 1).combine_chunks(), t.column("block").slice(0, 1).combine_chunks(), pa.array([t.column("id").to_numpy()[order].tobytes()], pa.binary()), pa.array([_vectors.pack(v[order])], pa.binary())], names=["dim", "block", "ids", "points"])
+    def sorted_block(t: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
+        ids = t.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        return [t.column(c).slice(0, 1).combine_chunks() for c in ("dim", "block")], ids[order], _scaled(t.column("v"), scale)[order]
 
-    schema = "dim int, block int, ids binary, points binary"
-    trees = stored(packed(vectors, tree_rows).groupBy("dim", "block").applyInArrow(*_arrow.groups(as_block, schema)), "mtree")
-    asks = packed(queries, query_rows).groupBy("dim", "block").applyInArrow(*_arrow.groups(as_block, schema))
-    asks = stored(asks.select("dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("points").alias("q_points")), "mtree")
+    def as_tree(t: pa.Table) -> pa.Table:
+        key, ids, points = sorted_block(t)
+        return pa.table([*key, pa.array([MTree(ids, points).pack()], pa.binary())], names=["dim", "block", "tree"])
 
-    # Every block of queries meets every tree: pairs of blocks, each a row.
-    of_dim = trees.groupBy("dim").agg((F.max("block") + 1).alias("n_trees"))
-    pairs = asks.join(of_dim, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_trees") - 1)))
-    met = pairs.join(trees, ["dim", "block"]).select("dim", "block", "q_block", "ids", "points", "q_ids", "q_points")
+    def as_queries(t: pa.Table) -> pa.Table:
+        key, ids, points = sorted_block(t)
+        return pa.table([*key, pa.array([_vectors.pack_all([ids, _vectors.narrow(points)])], pa.binary())], names=["dim", "q_block", "queries"])
+
+    trees = stored(packed(vectors, tree_rows).groupBy("dim", "block").applyInArrow(*_arrow.groups(as_tree, "dim int, block int, tree binary")), "mtree")
+    asks = stored(packed(queries, query_rows).groupBy("dim", "block").applyInArrow(*_arrow.groups(as_queries, "dim int, q_block int, queries binary")), "mtree")
 
     def run(batches):
-        tree, held = None, None
+        held = tree = None
         for batch in batches:
-            for i in range(len(batch)):
-                _, _, _, ids, points, q_ids, q_points = (batch.column(c)[i].as_py() for c in range(7))
-                if held != (ids, len(points)):
-                    tree, held = MTree(np.frombuffer(ids, np.int64), _vectors.unpack(points)), (ids, len(points))
-                asked = np.frombuffer(q_ids, np.int64)
-                found = [tree.search(q, int(own), k) for own, q in zip(asked, _vectors.unpack(q_points))]
+            col = dict(zip(batch.schema.names, batch.columns))
+            for dim, block, kind, blob, asked in zip(col["dim"].to_pylist(), col["block"].to_pylist(), col["kind"].to_pylist(), col["tree"], col["queries"]):
+                if kind == 0:
+                    held, tree = (dim, block), MTree.unpack(blob.as_py())
+                    continue
+                if held != (dim, block):
+                    continue  # no vector fell into that tree
+                ids, points = _vectors.unpack_all(asked.as_py())
+                found = [tree.search(q, int(own), k) for own, q in zip(ids[0], points.astype(np.int64))]
                 n = [len(f[0]) for f in found]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asked, n)), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[0], n)), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["query_id", "vec_id", "score"])
 
-    hits = met.repartition("dim", "block", "q_block").mapInArrow(*_arrow.batches(run, "query_id bigint, vec_id bigint, score bigint"))
+    hits = _vectors.meet(trees, asks, ["dim"], 4).mapInArrow(*_arrow.batches(run, "query_id bigint, vec_id bigint, score bigint"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
