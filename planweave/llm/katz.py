@@ -15,8 +15,10 @@ all tokens or more, HEAVY of them at most, are known to every task and their
 pairs are dealt by the pair instead.  A document's score is a sum over its
 tokens, so ranges return sums by document: its pairs by count class, to which
 the discounts are applied afterwards, and for unseen pairs the word before,
-which is looked up once the backoff weights are known.  All tables lie in the
-shared folder, in parts by hash or by batch of documents; none is held by one task.
+which is looked up once the backoff weights are known.  The weights of the heavy
+words and of the start mark go to every task, so their unseen pairs are dealt by
+batch of documents.  All tables lie in the shared folder, in parts by hash or by
+batch of documents; none is held by one task.
 """
 
 from __future__ import annotations
@@ -188,8 +190,14 @@ def _unfixed(v: np.ndarray) -> np.ndarray:
     return ((v >> np.uint64(1)).view(np.int64) ^ -(v & np.uint64(1)).view(np.int64)) / ONE
 
 
+def _hot_before(heavy: np.ndarray) -> np.ndarray:
+    """The words before whose weights every task gets: the heavy ones and the start mark."""
+    return np.union1d(heavy, np.array([START]))
+
+
 def _range_of_pairs(slots: int, heavy: np.ndarray, heavy_counts: np.ndarray, n_tokens: int, n_words: int):
-    """What a range of pairs tells: kind 0 sums by document, 1 its batch's documents as they came, 2 sums by the word before, 3 unseen pairs, 4 counts of counts."""
+    """What a range of pairs tells: kind 0 sums by document, 1 its batch's documents as they came, 2 sums by the word before, 3 unseen pairs, 4 counts of counts, 6 sums by a heavy word before."""
+    hot_before = _hot_before(heavy)
     unit = n_tokens + DELTA * (n_words + 1)
 
     def run(table: pa.Table) -> pa.Table:
@@ -239,6 +247,10 @@ def _range_of_pairs(slots: int, heavy: np.ndarray, heavy_counts: np.ndarray, n_t
             if len(hu):
                 heads = _runs(hu)
                 rows = [hu[heads], *(np.add.reduceat((hc == k).astype(np.int64), heads) for k in range(1, CUTOFF + 1)), np.add.reduceat(np.where(hc > CUTOFF, hc, 0), heads), np.add.reduceat(hw, heads), np.diff(np.append(heads, len(hu)))]
+                hot = np.isin(rows[0], hot_before)
+                for i in np.flatnonzero(hot):
+                    out.append((6, -1, int(np.searchsorted(hot_before, rows[0][i])), None, [int(r[i]) for r in rows[1:]]))
+                rows = [r[~hot] for r in rows]
                 slot = _blobs.slot(rows[0], slots).astype(np.int64)
                 cut = np.append(_runs(slot), len(slot))
                 for a, b in zip(cut, cut[1:]):
@@ -247,10 +259,14 @@ def _range_of_pairs(slots: int, heavy: np.ndarray, heavy_counts: np.ndarray, n_t
             if len(lost):
                 ends = np.array([b for _, _, b, _ in spans])
                 places = np.concatenate([d for _, _, _, d in spans])
-                lost = lost[np.argsort(pu[entry[lost]], kind="stable")]
                 hu, hd = pu[entry[lost]], doc[lost]
                 hb, hd, ht = np.searchsorted(ends, hd, "right"), places[hd], times[lost]
-                slot = _blobs.slot(hu, slots).astype(np.int64)
+                deal = hu.copy()
+                hot = np.isin(hu, hot_before)
+                deal[hot] = _words.mix(np.array([s[0] for s in spans], np.uint64)[hb[hot]])
+                slot = _blobs.slot(deal, slots).astype(np.int64)
+                order = np.lexsort((hu, slot))
+                hu, hb, hd, ht, slot = (x[order] for x in (hu, hb, hd, ht, slot))
                 cut = np.append(_runs(slot), len(slot))
                 for a, b in zip(cut, cut[1:]):
                     held, at = np.unique(hb[a:b], return_inverse=True)
@@ -278,7 +294,13 @@ def discounted(counts_of_counts, cutoff: int = CUTOFF) -> np.ndarray:
     return r
 
 
-def _backoff(r: np.ndarray, n_tokens: int, n_words: int):
+def _weights(classes: np.ndarray, above: np.ndarray, word_sum: np.ndarray, pairs: np.ndarray, r: np.ndarray, unit: float) -> np.ndarray:
+    """log10 of alpha(u) * c(u), from the pairs after u by count class, their counts above the cutoff, the counts of their words and their number."""
+    free = sum((c + 1 - r[c + 1]) * x for c, x in enumerate(classes)) + LEAST * (pairs - sum(classes))
+    return np.log10(free / (1 - (word_sum + DELTA * pairs) / unit))
+
+
+def _backoff(r: np.ndarray, n_tokens: int, n_words: int, hot: np.ndarray, hot_weights: np.ndarray):
     """log10 of alpha(u) * c(u) for the unseen pairs of a range of words before, summed by document."""
     unit = n_tokens + DELTA * (n_words + 1)
 
@@ -289,11 +311,11 @@ def _backoff(r: np.ndarray, n_tokens: int, n_words: int):
         if stats:
             words, inverse = np.unique(np.concatenate([_blobs.undelta(s[0]) for s in stats]), return_inverse=True)
             classes = [np.bincount(inverse, weights=np.concatenate([s[i].astype(float) for s in stats])) for i in range(1, CUTOFF + 4)]
-            above, word_sum, pairs = classes[CUTOFF:]
-            classes = classes[:CUTOFF]
-            free = sum((c + 1 - r[c + 1]) * x for c, x in enumerate(classes)) + LEAST * (pairs - sum(classes))
-            rest = 1 - (word_sum + DELTA * pairs) / unit
-            beta = np.log10(free / rest)
+            beta = _weights(np.array(classes[:CUTOFF]), *classes[CUTOFF:], r, unit)
+        # The heavy words' own weights, known to every task.
+        words, beta = np.concatenate([words, hot]), np.concatenate([beta, hot_weights])
+        order = np.argsort(words, kind="stable")
+        words, beta = words[order], beta[order]
         parts = []
         for _, _, blob in (x for x in rows if x[0] == 3):
             u, of, doc, times, held = _blobs.unpack(blob)
@@ -377,7 +399,12 @@ def score_documents(docs: DataFrame, learn, hold=None, text: str = "text", id: s
     classes = told.where("kind = 4").agg(*(F.sum(F.col("counts")[i]) for i in range(CUTOFF + 2))).first()
     r = discounted([int(x or 0) for x in classes])
     n_train = int(dict(heavy).get(int(END), 0)) or int(rows.where("learn").count())
-    weights = told.where("kind in (2, 3)").select("slot", "kind", "batch", "blob").groupBy("slot").applyInArrow(*_arrow.groups(_backoff(r, n_tokens, n_words), "kind int, batch bigint, blob binary"))
+    hot = _hot_before(keys)
+    sums = told.where("kind = 6").groupBy("batch").agg(*(F.sum(F.col("counts")[i]).cast("double").alias(f"c{i}") for i in range(CUTOFF + 3))).orderBy("batch").collect()
+    hot = hot[[s["batch"] for s in sums]] if sums else hot[:0]
+    cols = np.array([[s[f"c{i}"] for s in sums] for i in range(CUTOFF + 3)]).reshape(CUTOFF + 3, len(sums))
+    hot_weights = _weights(cols[:CUTOFF], *cols[CUTOFF:], r, n_tokens + DELTA * (n_words + 1)) if sums else np.zeros(0)
+    weights = told.where("kind in (2, 3)").select("slot", "kind", "batch", "blob").groupBy("slot").applyInArrow(*_arrow.groups(_backoff(r, n_tokens, n_words, hot, hot_weights), "kind int, batch bigint, blob binary"))
     sums = told.where("kind in (0, 1)").select("kind", "batch", "blob").unionByName(weights)
     scored = sums.groupBy("batch").applyInArrow(*_arrow.groups(_scores(r, n_train), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"))
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("bigint"))

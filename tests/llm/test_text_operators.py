@@ -473,3 +473,101 @@ def test_katz(spark, odd, none, monkeypatch):
     assert katz.score_documents(odd, learn=F.lit(True), slots=2).count() == odd.count()
     assert katz.score_documents(none, learn=F.lit(True), slots=2).count() == 0
     assert katz.score_documents(odd, learn=F.lit(False), slots=2).where("n_known <> 0").count() == 0
+
+
+def plain_katz(tok, learned):
+    """Plain (n_known, N, base score, score) of each token list, and the pieces they come from."""
+    c, b = Counter(), Counter()
+    for i, w in tok.items():
+        if i in learned:
+            c.update(w)
+            b.update(zip(["start", *w[:-1]], w))
+    n, v = sum(c.values()), len(c)
+    cc = Counter(b.values())
+    r = katz.discounted([0] + [cc[k] for k in range(1, 8)])
+    less = lambda k: r[k] if k <= katz.CUTOFF else k - katz.LEAST
+    p = lambda w: (c[w] + 0.1) / (n + 0.1 * (v + 1))
+    total, kept, lower = Counter(), Counter(), Counter()
+    for (u, w), k in b.items():
+        total[u] += k
+        kept[u] += less(k)
+        lower[u] += p(w)
+    alpha = {u: (1 - kept[u] / total[u]) / (1 - lower[u]) for u in total}
+    out = {}
+    for i, w in tok.items():
+        pairs = list(zip(["start", *w[:-1]], w))
+        out[i] = (len(w), sum(c[y] > 0 for y in w), n, sum(np.log10(p(y)) for y in w), sum(np.log10(less(b[u, y]) / total[u] if (u, y) in b else alpha.get(u, 1.0) * p(y)) for u, y in pairs))
+    return out
+
+
+def test_op9_against_brute_force(spark, data):
+    docs = {r.doc_id: (r.text or "").encode().translate(LOWER) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
+    tok = {i: [w for w in re.split(rb"[\x20\x09-\x0D]+", t) if w] + ["end"] for i, t in docs.items()}
+    held = {i for i in docs if zlib.crc32(str(i).encode()) % 10 == 0}
+    want = plain_katz(tok, set(docs) - held)
+    got = katz.op9_katz(spark, data).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs) and held
+    for r in got:
+        assert r.held_out == (r.doc_id in held)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3]
+        assert r.base_score == pytest.approx(want[r.doc_id][3], abs=1e-5) and r.score == pytest.approx(want[r.doc_id][4], abs=1e-5)
+
+
+def test_katz_with_one_frequent_word_before(spark):
+    texts = [" ".join(f"the n{(i * 31 + j) % 977}" for j in range(60)) for i in range(50)]
+    got = katz.score_documents(make(spark, texts), learn=F.col("doc_id") % 2 == 0, slots=4).collect()
+    want = plain_katz({i: t.encode().split() + ["end"] for i, t in enumerate(texts)}, set(range(0, 50, 2)))
+    assert all(r.score == pytest.approx(want[r.doc_id][4], abs=1e-5) for r in got)
+
+
+def test_mixing_with_a_heavy_tail_of_weights(spark):
+    texts = [("a" if i % 5 else "1") * 3 + f" {i}" for i in range(4000)]
+    plan = mixing.mix_sources(make(spark, texts).withColumn("source", F.when(F.col("doc_id") % 3 == 0, F.lit("x")).otherwise(F.lit("hot"))), slice_rows=16)
+    rows = plan.collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.source, []).append(r)
+    for of in by.values():
+        budget, size = round(of[0].target), sum(r.size for r in of)
+        rest = budget % size
+        for r in sorted(of, key=lambda r: (r.sample_key, r.doc_id)):
+            part = max(0, min(r.size, rest))
+            assert r.taken == budget // size * r.size + part
+            rest -= part
+        assert sum(r.taken for r in of) == budget
+
+
+def test_op3_scores_by_hand(spark, data):
+    """The query's scores are those of its model, worked out document by document."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    labels = spark.read.parquet(f"{data}/labels.parquet").select("doc_id", "quality")
+    feats = quality.features(docs).cache()
+    model = quality.fit(feats, labels)
+    want = {}
+    for r in feats.collect():
+        logs = []
+        for m, x, (slope, offset) in zip(model.models, (r.view_text, r.view_meta), model.scale):
+            row = [1.0]
+            if m.hashed:
+                row += [float(x[0] == k) for k in range(quality.META_FEATURES)] + [float(x[1] == k) for k in range(quality.META_FEATURES)]
+                x = x[2:]
+            for v, cuts in zip(x, m.cuts):
+                row += [float(sum(c <= v for c in cuts) == k) for k in range(len(cuts) + 1)]
+            logs.append(slope * max(-12.0, min(12.0, sum(a * b for a, b in zip(row, m.weights)))) + offset)
+        want[r.doc_id] = 1 / (1 + np.exp(-max(-30.0, min(30.0, sum(logs) - np.log(model.prior / (1 - model.prior))))))
+    got = quality.op3_quality(spark, data).collect()
+    assert len(got) == len(want) and all(r.score == pytest.approx(want[r.doc_id], abs=1e-9) and r.kept == (r.score >= 0.5) for r in got)
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    assert sum(r.kept == bool(known[r.doc_id]) for r in got if r.doc_id in known) >= 0.9 * sum(r.doc_id in known for r in got)
+
+
+def test_op1_against_the_library(spark, data):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
+    got = pieces.op1_sentencepiece(spark, data).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        t = docs[r.doc_id]
+        assert (r.ids, r.n_ids, r.round_trip) == ((None, None, None) if t is None else (sp.encode(t), len(r.ids), True))
