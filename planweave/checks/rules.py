@@ -1,14 +1,16 @@
 """The battery: one small frame per rule, in a fixed order, and the export gate.
 
-A rule is a function of Model, a set of named tables; it returns one row
-(check_id, name, severity, n_bad, message, entities).  Severities are pass,
-warn, error and skip.  A rule that fails to run becomes an error row and the
-battery goes on.
+A rule is a function of Model, a set of named tables; it returns a Finding, which
+becomes one row (check_id, name, severity, n_bad, message, entities).  Severities
+are pass, warn, error and skip.  A rule that fails to run becomes an error row
+and the battery goes on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -79,15 +81,30 @@ def rule(check_id: str, name: str):
     return register
 
 
-def verdict(bad: DataFrame, entity: str, severity: str = "error", seen: DataFrame | None = None, why: str = "", keep: int = 20) -> DataFrame:
-    """One row from the rows that break a rule; skipped where there was nothing to look at."""
-    e = bad.select(F.col(entity).cast("string").alias("e"), (F.col("_severity") if "_severity" in bad.columns else F.lit(severity)).alias("s"))
-    worst = F.when(F.count_if(F.col("s") == "error") > 0, "error").when(F.count("*") > 0, "warn").otherwise("pass")
-    top = e.orderBy("e").limit(keep).agg(F.array_join(F.collect_list("e"), ",").alias("entities"))
-    out = e.agg(worst.alias("severity"), F.count("*").alias("n_bad")).crossJoin(top)
-    if seen is not None:
-        out = out.crossJoin(seen.agg(F.count("*").alias("_seen"))).withColumn("severity", F.when(F.col("_seen") == 0, "skip").otherwise(F.col("severity"))).drop("_seen")
-    return out.withColumn("message", F.when(F.col("n_bad") > 0, F.lit(why)).otherwise(""))
+@dataclass
+class Finding:
+    """What a rule found: the rows that break it, and those that it looked at (None: always something)."""
+
+    bad: DataFrame
+    entity: str
+    severity: str = "error"
+    seen: DataFrame | None = None
+    why: str = ""
+    nothing: tuple[str, str] = ("skip", "")  # severity and message where there was nothing to look at
+
+    def row(self, keep: int = 20) -> tuple[str, int, str, str]:
+        """(severity, n_bad, message, the first entities): one aggregate, and the least `keep` ids only where there are any."""
+        if self.seen is not None and self.seen.isEmpty():
+            return (self.nothing[0], 0, self.nothing[1], "")
+        e = self.bad.select(F.col(self.entity).cast("string").alias("e"), (F.col("_severity") if "_severity" in self.bad.columns else F.lit(self.severity)).alias("s"))
+        n, errors = e.agg(F.count("*"), F.count_if(F.col("s") == "error")).first()
+        if not n:
+            return ("pass", 0, "", "")
+        first = e.select("e").orderBy("e").limit(keep).collect()
+        return ("error" if errors else "warn", n, self.why, ",".join(x.e for x in first if x.e is not None))
+
+
+verdict = Finding
 
 
 def relative_error(actual: Column, expected: Column) -> Column:
@@ -107,9 +124,7 @@ def _off(actual: Column, expected: Column, tolerance: float) -> Column:
 @rule("C01", "space area matches polygon")
 def _(m):
     bad = m.spaces.where(F.col("polygon_m").isNull() | F.col("area_m2").isNull() | _off(F.col("area_m2"), G.area("polygon_m"), 0.001))
-    out = verdict(bad, "id", "warn", why="area and polygon differ by over 0.1 %")
-    none = m.spaces.agg(F.count("*").alias("_n"))
-    return out.crossJoin(none).withColumn("severity", F.when(F.col("_n") == 0, "error").otherwise(F.col("severity"))).withColumn("message", F.when(F.col("_n") == 0, "no spaces").otherwise(F.col("message"))).drop("_n")
+    return verdict(bad, "id", "warn", m.spaces, "area and polygon differ by over 0.1 %", ("error", "no spaces"))
 
 
 def _footprints(m) -> DataFrame:
@@ -226,7 +241,7 @@ def _(m):
     return verdict(j.where(_off(F.col("a"), F.col("n") * F.col("width_m") * F.col("height_m"), 1e-6)), "tag", seen=j, why="count times size isn't the area")
 
 
-def _unscheduled(m, rows: DataFrame, value: Column, kind: str):
+def _unscheduled(m, rows: DataFrame, value: Column, kind: str) -> Finding:
     flagged = m.review.where(F.col("kind") == kind).agg((F.count("*") > 0).alias("_flagged"))
     bad = rows.where(value).crossJoin(flagged).withColumn("_severity", F.when(F.col("_flagged"), "warn").otherwise("error"))
     return verdict(bad, "id", seen=rows, why=f"{kind}: not in the schedule")
@@ -286,8 +301,8 @@ def _(m):
     c = lambda s: o.select(*key, *[F.col(x).alias(f"{x}_{s}") for x in ("id", "r", "s_center_m", "width_m")])
     a, b = c("a"), c("b")
     j = a.join(b, key).where((F.col("r_b") == F.col("r_a") + 1) & (F.abs(F.col("s_center_m_a") - F.col("s_center_m_b")) <= 0.05) & (F.abs(F.col("width_m_a") - F.col("width_m_b")) <= 0.15))
-    share = j.crossJoin(o.agg(F.count("*").alias("n"))).withColumn("bad", F.count("*").over(Window.partitionBy()))
-    return verdict(share.where(F.col("bad") > 0.01 * F.col("n")), "id_a", "warn", o, "openings that repeat one level up")
+    over = j.agg(F.count("*").alias("bad")).crossJoin(o.agg(F.count("*").alias("n"))).where("bad > 0.01 * n")
+    return verdict(j.crossJoin(over), "id_a", "warn", o, "openings that repeat one level up")
 
 
 @rule("I12", "openings attached to spaces")
@@ -398,7 +413,7 @@ def _(m):
     return verdict(n.unionByName(c.where("kind = 'IfcWall' and n <= 0").select(F.col("kind").alias("e"))), "e", seen=c, why="IFC counts differ")
 
 
-def _u_limit(m, rows: DataFrame, surface: str) -> DataFrame:
+def _u_limit(m, rows: DataFrame, surface: str) -> Finding:
     """Over its class's limit is an error; of an unknown class, over the loosest limit is an error and under it a warning."""
     limits = m.limits.where(F.col("surface") == surface)
     loosest = limits.agg(F.max("u_max").alias("_loosest"))
@@ -471,18 +486,24 @@ def _(m):
     return verdict(open_, "id", seen=m.shells, why="shell not closed, or inside out")
 
 
-def run(model: Model, only: list[str] | None = None) -> DataFrame:
-    """The report: one row per rule, in the battery's order."""
-    out = []
-    for check_id, name, f in RULES:
-        if only and check_id not in only:
-            continue
+def run(model: Model, only: list[str] | None = None, at_once: int = 8) -> DataFrame:
+    """The report: one row per rule, in the battery's order.
+
+    Rules run side by side, each as jobs of its own that end in its one row, so
+    that one that can't be planned or fails while it runs is a finding and the
+    others go on.  Rules differ in number only, so what reaches the driver is fixed.
+    """
+
+    def one(rule: tuple[str, str, Callable]) -> tuple:
+        check_id, name, f = rule
         try:
-            row = f(model).select(F.lit(check_id).alias("check_id"), F.lit(name).alias("name"), "severity", "n_bad", "message", "entities")
-        except Exception as failed:  # a rule that can't run is a finding, not the end of the report
-            row = model.spark.createDataFrame([(check_id, name, "error", 0, f"the rule failed: {type(failed).__name__}", "")], SCHEMA)
-        out.append(row)
-    return reduce(DataFrame.unionByName, out)
+            return (check_id, name, *f(model).row())
+        except Exception as failed:
+            return (check_id, name, "error", 0, f"the rule failed: {type(failed).__name__}", "")
+
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(one, [r for r in RULES if not only or r[0] in only]))
+    return model.spark.createDataFrame(rows, SCHEMA)
 
 
 def summary(report: DataFrame) -> DataFrame:

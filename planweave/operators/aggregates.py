@@ -148,3 +148,24 @@ def learn_legend(rows: DataFrame, description: str, kind: str) -> DataFrame:
     """description, kind, conflict: descriptions seen with one kind are learned, with several not."""
     g = rows.groupBy(F.lower(F.trim(description)).alias("description")).agg(F.array_sort(F.collect_set(kind)).alias("kinds"))
     return g.select("description", F.when(F.size("kinds") == 1, F.col("kinds")[0]).alias("kind"), (F.size("kinds") > 1).alias("conflict"))
+
+
+def alike(rows: DataFrame, n: int, id: str = "id", words: str = "words") -> DataFrame:
+    """a, b, j: the n rows that share most words with each row by Jaccard's measure, ties by id; those that share none are none.
+
+    Equal sets of words are compared once, and only sets with a word in common
+    meet; of the rows of one set the n + 1 least ids are all that can be among
+    another's best.
+    """
+    from planweave.functions.text import jaccard
+
+    r = rows.select(F.col(id).alias("id"), F.array_sort(words).alias("set"))
+    w = Window.partitionBy("set").orderBy("id")
+    first = r.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n + 1).select("set", F.col("id").alias("b"))
+    sets = r.select("set").distinct()
+    one, two = (sets.select(F.col("set").alias(s), F.explode("set").alias("w")) for s in ("x", "y"))
+    met = one.join(two, "w").select("x", "y").distinct().withColumn("j", jaccard(F.col("x"), F.col("y")))
+    best = Window.partitionBy("x").orderBy(F.desc("j"), "b")
+    top = met.join(first, F.col("y") == F.col("set")).withColumn("r", F.row_number().over(best)).where(F.col("r") <= n + 1).select("x", "b", "j")
+    found = r.join(top, F.col("set") == F.col("x")).where("id <> b").select(F.col("id").alias("a"), "b", "j")
+    return found.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("j"), "b"))).where(F.col("r") <= n).drop("r")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from planweave.functions import geometry as G
 from planweave.functions.text import normalize_name, normalize_tag
 from planweave.operators.ordered import best_pairs
+from planweave.operators.spatial import met_boxes
 
 
 def find_tags(spans: DataFrame, known: DataFrame, text: str = "text", tag: str = "tag") -> DataFrame:
@@ -35,25 +36,33 @@ def served_by(equipment: DataFrame, units: DataFrame, tag: str = "tag", cells: s
     return g.select("tag", F.when(F.size("u") == 1, F.col("u")[0]).alias("unit"), F.when(F.size("u") > 1, F.concat(F.lit("several: "), F.array_join("u", ","))).when(F.size("u") == 0, F.concat(F.lit("not scheduled: "), F.array_join("x", ","))).alias("note"))
 
 
-def moved_openings(old: DataFrame, new: DataFrame, by: list[str], id: str = "id", tag: str = "tag", box: str = "box", least: float = 0.5) -> DataFrame:
-    """old_id, new_id, how: tags that are unique on both sides first, then boxes that overlap by `least`, best first, one to one."""
+def moved_openings(old: DataFrame, new: DataFrame, by: list[str], id: str = "id", tag: str = "tag", box: str = "box", least: float = 0.5, cell: float = 10.0) -> DataFrame:
+    """old_id, new_id, how: tags that are unique on both sides first, then boxes that overlap by `least`, best first, one to one.
+
+    Boxes meet over a grid of `cell`, which should be a few times their size.
+    """
 
     def once(t: DataFrame, s: str) -> DataFrame:
         n = F.count("*").over(Window.partitionBy(*by, tag))
         return t.withColumn("_n", n).where(F.col("_n") == 1).where(F.coalesce(tag, F.lit("")) != "").select(*by, tag, F.col(id).alias(f"{s}_id"))
 
     sure = once(old, "old").join(once(new, "new"), [*by, tag]).select("old_id", "new_id").withColumn("how", F.lit("tag"))
-    side = lambda t, s: t.select(*by, F.col(id).alias(f"{s}_id"), F.col(box).alias(f"{s}_box")).join(sure.select(f"{s}_id"), f"{s}_id", "left_anti")
-    pairs = side(old, "old").join(side(new, "new"), by).withColumn("score", G.box_iou(F.col("old_box"), F.col("new_box"))).where(F.col("score") >= least)
-    boxes = best_pairs(pairs.select("old_id", "new_id", "score"), "old_id", "new_id", "score")
+    free = lambda t, s: t.join(sure.select(F.col(f"{s}_id").alias(id)), id, "left_anti")
+    met = met_boxes(free(old, "old"), free(new, "new"), by, cell, id, box)
+    pairs = met.select(F.col("a").alias("old_id"), F.col("b").alias("new_id"), G.box_iou(F.col("a_box"), F.col("b_box")).alias("score")).where(F.col("score") >= least)
+    boxes = best_pairs(pairs, "old_id", "new_id", "score")
     return sure.unionByName(boxes.select("old_id", "new_id", F.lit("box").alias("how")))
 
 
-def enlarged_plans(plans: DataFrame, bases: DataFrame, by: list[str], id: str = "id", box: str = "box", within: float = 0.8, ratio: float = 0.6, guard: float = 0.1) -> DataFrame:
-    """plan, base, reason: the smallest base that holds most of a plan; `ambiguous` if another is within a tenth of its area."""
+def enlarged_plans(plans: DataFrame, bases: DataFrame, by: list[str], id: str = "id", box: str = "box", within: float = 0.8, ratio: float = 0.6, guard: float = 0.1, cell: float = 100.0) -> DataFrame:
+    """plan, base, reason: the smallest base that holds most of a plan; `ambiguous` if another is within a tenth of its area.
+
+    Plans and bases meet over a grid of `cell`.
+    """
     size = lambda b: (F.col(f"{b}.x1") - F.col(f"{b}.x0")) * (F.col(f"{b}.y1") - F.col(f"{b}.y0"))
-    p = plans.select(*by, F.col(id).alias("plan"), F.col(box).alias("pb"))
-    j = p.join(bases.select(*by, F.col(id).alias("base"), F.col(box).alias("bb")), by).where((F.col("plan") != F.col("base")) & (G.containment(F.col("pb"), F.col("bb")) >= within) & (size("pb") <= ratio * size("bb"))).withColumn("area", size("bb"))
+    p = plans.select(F.col(id).alias("plan"))
+    met = met_boxes(plans, bases, by, cell, id, box).select(F.col("a").alias("plan"), F.col("b").alias("base"), F.col("a_box").alias("pb"), F.col("b_box").alias("bb"))
+    j = met.where((F.col("plan") != F.col("base")) & (G.containment(F.col("pb"), F.col("bb")) >= within) & (size("pb") <= ratio * size("bb"))).withColumn("area", size("bb"))
     w = Window.partitionBy("plan").orderBy("area", "base")
     top = j.withColumn("r", F.row_number().over(w)).withColumn("next", F.lead("area").over(w)).where("r = 1")
     close = F.coalesce(F.col("next") <= (1 + guard) * F.col("area"), F.lit(False))
@@ -106,11 +115,27 @@ def same_rows_agree(rows: DataFrame, keys: list[str], value: str, unit: str) ->
 
 
 def title_matches(a: DataFrame, b: DataFrame, by: list[str], id: str = "id", title: str = "title", least: float = 0.85) -> DataFrame:
-    """a_id, b_id, ratio: the title in b most like each in a by edit distance over the longer length, within blocks."""
-    x = a.select(*by, F.col(id).alias("a_id"), normalize_name(title).alias("x"))
-    y = b.select(*by, F.col(id).alias("b_id"), normalize_name(title).alias("y"))
+    """a_id, b_id, ratio: the title in b most like each in a by edit distance over the longer length, within blocks.
+
+    Titles meet by a piece: one of n letters can differ from a partner by no
+    more than d edits, so of its d + 1 pieces at least one stands in the partner,
+    at most d places off.  Nothing that reaches `least` (over a half) is missed.
+    """
+    if not 0.5 < least <= 1:
+        raise ValueError("least must lie over a half, up to 1")
+    x = a.select(*by, F.col(id).alias("a_id"), normalize_name(title).alias("x")).where("x is not null")
+    y = b.select(*by, F.col(id).alias("b_id"), normalize_name(title).alias("y")).where("y is not null")
+
+    def pieces(t: DataFrame) -> DataFrame:
+        t = t.withColumn("d", F.expr(f"cast(floor({1 - least!r} * floor(n / {least!r} + 1e-9) + 1e-9) as int)")).withColumn("k", F.explode(F.expr("sequence(0, d)")))
+        return t.withColumn("start", F.expr("cast(floor(k * n / (d + 1)) as int)")).withColumn("size", F.expr("cast(floor((k + 1) * n / (d + 1)) as int) - start"))
+
+    held = pieces(y.withColumn("n", F.length("y"))).withColumn("piece", F.expr("substring(y, start + 1, size)")).select(*by, "n", "k", "piece", "b_id", "y")
+    lengths = F.expr(f"sequence(cast(ceil(length(x) * {least!r} - 1e-9) as int), cast(floor(length(x) / {least!r} + 1e-9) as int))")
+    asked = pieces(x.withColumn("n", F.explode(lengths))).withColumn("at", F.explode(F.expr("sequence(start - d, start + d)"))).where("at >= 0 and at + size <= length(x)")
+    asked = asked.withColumn("piece", F.expr("substring(x, at + 1, size)")).select(*by, "n", "k", "piece", "a_id", "x").distinct()
     ratio = 1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"), F.lit(1))
-    j = x.join(y, by).withColumn("ratio", ratio).where(F.col("ratio") >= least)
+    j = asked.join(held, [*by, "n", "k", "piece"]).dropDuplicates(["a_id", "b_id"]).withColumn("ratio", ratio).where(F.col("ratio") >= least)
     return j.withColumn("r", F.row_number().over(Window.partitionBy("a_id").orderBy(F.desc("ratio"), "b_id"))).where("r = 1").select("a_id", "b_id", "ratio")
 
 
@@ -129,8 +154,9 @@ def level_marks(marks: DataFrame, by: list[str], value: str = "value", drawn: st
     """marks whose stated value lies off the drawn height by about as much as the (upper) median mark; fewer than two are none."""
     off = F.col(value) - F.col(drawn)
     w = Window.partitionBy(*by)
-    mid = F.element_at(F.array_sort(F.collect_list(off).over(w)), (F.floor(F.count(F.lit(1)).over(w) / 2) + 1).cast("int"))
-    kept = marks.withColumn("_m", mid).where(F.abs(off - F.col("_m")) <= within).drop("_m")
+    ranked = marks.withColumn("_off", off).where("_off is not null").withColumn("_r", F.row_number().over(w.orderBy("_off"))).withColumn("_n", F.count("*").over(w))
+    mid = ranked.where(F.col("_r") == F.floor(F.col("_n") / 2) + 1).select(*by, F.col("_off").alias("_m"))
+    kept = marks.join(mid, by).where(F.abs(off - F.col("_m")) <= within).drop("_m")
     return kept.withColumn("_n", F.count("*").over(w)).where("_n >= 2").drop("_n")
 
 

@@ -92,6 +92,28 @@ def adjudicate(candidates: DataFrame, item_id: str, policy: str = "nearest", sou
     return candidates.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(item_id, "tag")
 
 
+def met_boxes(a: DataFrame, b: DataFrame, by: list[str], cell: float, id: str = "id", box: str = "box") -> DataFrame:
+    """by, a, b, a_box, b_box: the boxes (structs of x0, y0, x1, y1) of one group that touch a common grid cell.
+
+    Every pair whose boxes overlap is there once: in the cell where their common part begins.
+    """
+
+    def side(t: DataFrame, s: str) -> DataFrame:
+        x = F.col(f"{s}_box")
+        t = t.select(*by, F.col(id).alias(s), F.col(box).alias(f"{s}_box"))
+        return t.withColumn("cx", F.explode(_cells(x.x0, x.x1, cell))).withColumn("cy", F.explode(_cells(x.y0, x.y1, cell)))
+
+    j = side(a, "a").join(side(b, "b"), [*by, "cx", "cy"])
+    begin = lambda c: F.floor(F.greatest(F.col(f"a_box.{c}"), F.col(f"b_box.{c}")) / cell)
+    return j.where((F.col("cx") == begin("x0")) & (F.col("cy") == begin("y0"))).drop("cx", "cy")
+
+
+def box_pairs(rows: DataFrame, by: list[str], cell: float, least: float, id: str = "id", box: str = "box") -> DataFrame:
+    """by, a, b, iou: the pairs of boxes of one group whose intersection is at least that share of their union."""
+    j = met_boxes(rows, rows, by, cell, id, box).where("a < b")
+    return j.withColumn("iou", G.box_iou(F.col("a_box"), F.col("b_box"))).where(F.col("iou") >= least).select(*by, "a", "b", "iou")
+
+
 def overlapping_pairs(rows: DataFrame, by: list[str], id: str, bucket: float, lo: str = "s0", hi: str = "s1") -> DataFrame:
     """by, a, b, overlap: pairs of intervals of one group that overlap."""
     r = rows.select(*by, F.col(id).alias("id"), F.col(lo).alias("lo"), F.col(hi).alias("hi")).withColumn("cell", F.explode(_cells(F.col("lo"), F.col("hi"), bucket)))

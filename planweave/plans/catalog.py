@@ -1,4 +1,4 @@
 """All registered queries; importing the modules registers them."""
 
-from planweave.plans import classes, links, revisions, services, spatial, statistics, takeoffs  # noqa: F401
+from planweave.plans import battery, classes, links, revisions, services, spatial, statistics, takeoffs  # noqa: F401
 from planweave.plans.registry import ORACLE, QUERIES  # noqa: F401

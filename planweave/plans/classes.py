@@ -29,11 +29,11 @@ def keyword_lookup(t):
     return C.keyword_lookup(t.part.withColumnRenamed("p_partkey", "id"), table, "id", "p_name")
 
 
-@query("""WITH p AS (SELECT event_id AS id, json_extract_string(props, '$.k') AS k, user_id FROM events WHERE event_id % 50 = 0), v AS (
+@query("""WITH p AS (SELECT event_id AS id, json_extract_string(props, '$.k') AS k, user_id FROM events), v AS (
 SELECT id, 'unknown: k' AS violation FROM p WHERE k IS NOT NULL UNION ALL SELECT id, 'missing: kind' FROM p UNION ALL SELECT id, 'too long: k' FROM p WHERE length(k) > 1) SELECT * FROM v""")
 def payload_violations(t):
     """What is wrong with payloads."""
-    p = t.events.where("event_id % 50 = 0").select(F.col("event_id").alias("id"), "props")
+    p = t.events.select(F.col("event_id").alias("id"), "props")
     return C.payload_violations(p, "id", "props", ["kind"], ["kind"], "secret|path", longest=1)
 
 
@@ -44,12 +44,12 @@ def triage(t):
     return C.triage(s).groupBy("event_type").agg(F.count_if("needs_human").alias("n_human"), F.count("*").alias("n"))
 
 
-@query("""WITH w AS (SELECT l_orderkey AS id, l_suppkey AS g, (l_partkey % 4) * 45 AS angle, (l_partkey % 50) / 10.0::DOUBLE AS o, (l_linenumber * 3)::DOUBLE AS lo, l_linenumber * 3 + l_quantity AS hi FROM lineitem WHERE l_suppkey <= 20 AND l_orderkey % 7 = 0 AND l_linenumber <= 2),
+@query("""WITH w AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey AS g, (l_partkey % 4) * 45 AS angle, (l_partkey % 50) / 10.0::DOUBLE AS o, (l_linenumber * 3)::DOUBLE AS lo, l_linenumber * 3 + l_quantity AS hi FROM lineitem),
 d AS (SELECT * FROM w WHERE id IN (SELECT id FROM w GROUP BY id HAVING count(*) = 1))
 SELECT a.g, a.id AS a, b.id AS b FROM d a JOIN d b ON a.g = b.g AND a.angle = b.angle AND a.id < b.id WHERE abs(a.o - b.o) <= 0.25 AND least(a.hi, b.hi) - greatest(a.lo, b.lo) >= 0.9 * least(a.hi - a.lo, b.hi - b.lo)""")
 def linings(t):
-    """Parallel walls close together that overlap over most of the shorter."""
-    w = t.lineitem.where("l_suppkey <= 20 and l_orderkey % 7 = 0 and l_linenumber <= 2").select(F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("g"), ((F.col("l_partkey") % 4) * 45).alias("angle"), (F.col("l_partkey") % 50 / 10.0).alias("offset"), (F.col("l_linenumber") * 3).cast("double").alias("lo"), (F.col("l_linenumber") * 3 + F.col("l_quantity")).alias("hi"))
+    """Parallel walls close together that overlap over most of the shorter; walls whose number is there twice are none."""
+    w = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_suppkey").alias("g"), ((F.col("l_partkey") % 4) * 45).alias("angle"), (F.col("l_partkey") % 50 / 10.0).alias("offset"), (F.col("l_linenumber") * 3).cast("double").alias("lo"), (F.col("l_linenumber") * 3 + F.col("l_quantity")).alias("hi"))
     once = w.groupBy("id").agg(F.count("*").alias("n")).where("n = 1").select("id")
     return C.linings(w.join(once, "id"), ["g"], 0.25)
 

@@ -45,12 +45,12 @@ def before_after(t):
     return R.before_after(before, after, "k", "v")
 
 
-@query("""SELECT c_custkey AS old_id, c_custkey + 100000 AS new_id, 3.0::DOUBLE AS score FROM customer WHERE c_acctbal > 100 AND c_custkey % 2 = 0""")
+@query("""SELECT c_custkey AS old_id, c_custkey + 1000000000 AS new_id, CASE WHEN c_custkey % 5 = 0 THEN 2.5 ELSE 3.0 END::DOUBLE AS score FROM customer WHERE c_custkey % 7 <> 0""")
 def reidentify(t):
     """Rooms that got new ids found again by level, area and name."""
-    c = t.customer.where("c_acctbal > 100 and c_custkey % 2 = 0")
-    old = c.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("level"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("area"))
-    new = c.select((F.col("c_custkey") + 100000).alias("id"), F.col("c_nationkey").alias("level"), F.lower("c_name").alias("name"), (F.col("c_acctbal") * 1.005).alias("area"))
+    k, area = F.col("c_custkey"), F.abs("c_acctbal") + 100
+    old = t.customer.select(k.alias("id"), F.col("c_nationkey").alias("level"), F.col("c_name").alias("name"), area.alias("area"))
+    new = t.customer.select((k + 1000000000).alias("id"), F.col("c_nationkey").alias("level"), F.concat(F.when(k % 5 == 0, "Room ").otherwise(""), F.lower("c_name")).alias("name"), (area * F.when(k % 7 == 0, 1.02).otherwise(1.005)).alias("area"))
     return R.reidentify(old, new, "id", "level", "name", "area")
 
 
@@ -82,11 +82,11 @@ def revert_to_automatic(t):
     return R.automatic_values(c, ["user_id"], "event_id")
 
 
-@query("SELECT o_orderkey AS id, count(*) AS n FROM orders WHERE o_orderkey < 4000 GROUP BY 1")
+@query("SELECT o_orderkey AS id, count(*) AS n FROM orders GROUP BY 1")
 def idempotent_append(t):
     """Appending the same items twice changes nothing."""
-    have = t.orders.where("o_orderkey < 3000").select(F.col("o_orderkey").alias("id"))
-    more = t.orders.where("o_orderkey < 4000").select(F.col("o_orderkey").alias("id"))
+    have = t.orders.where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("id"))
+    more = t.orders.select(F.col("o_orderkey").alias("id"))
     return R.append_new(R.append_new(have, more, "id"), more, "id").groupBy("id").agg(F.count("*").alias("n"))
 
 

@@ -83,32 +83,31 @@ def size_tag_candidates(t):
     return S.size_candidates(items, s, "p_partkey", 2.5).withColumn("distance", F.round("distance", 5))
 
 
-_BOX_SQL = "b AS (SELECT p_partkey AS id, p_brand, (p_partkey % 20)::DOUBLE AS x0, (p_partkey % 13)::DOUBLE AS y0, (p_partkey % 20 + 5 + p_size % 3)::DOUBLE AS x1, (p_partkey % 13 + 5 + p_size % 4)::DOUBLE AS y1 FROM part WHERE p_partkey <= 300)"
+_BOX_SQL = "b AS (SELECT p_partkey AS id, p_brand, (p_partkey % 20)::DOUBLE AS x0, (p_partkey % 13)::DOUBLE AS y0, (p_partkey % 20 + 5 + p_size % 3)::DOUBLE AS x1, (p_partkey % 13 + 5 + p_size % 4)::DOUBLE AS y1, p_partkey // 300 AS sheet FROM part)"
 
 
+# A sheet bears 300 boxes.
 def _boxes(t):
     k, s = F.col("p_partkey"), F.col("p_size")
-    return t.part.where("p_partkey <= 300").select(k.alias("id"), "p_brand", (k % 20).cast("double").alias("x0"), (k % 13).cast("double").alias("y0"), (k % 20 + 5 + s % 3).cast("double").alias("x1"), (k % 13 + 5 + s % 4).cast("double").alias("y1"))
+    return t.part.select(k.alias("id"), "p_brand", F.floor(k / 300).alias("sheet"), (k % 20).cast("double").alias("x0"), (k % 13).cast("double").alias("y0"), (k % 20 + 5 + s % 3).cast("double").alias("x1"), (k % 13 + 5 + s % 4).cast("double").alias("y1"))
 
 
-@query(f"""WITH {_BOX_SQL}, p AS (SELECT a.id AS a, b.id AS b, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS s, (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) AS t FROM b a JOIN b ON a.p_brand = b.p_brand AND a.id < b.id)
+@query(f"""WITH {_BOX_SQL}, p AS (SELECT a.id AS a, b.id AS b, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS s, (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) AS t FROM b a JOIN b ON a.sheet = b.sheet AND a.p_brand = b.p_brand AND a.id < b.id)
 SELECT a, b, round(s / (t - s), 6) AS iou FROM p WHERE s / (t - s) >= 0.3""")
 def bbox_iou(t):
     """Pairs of boxes of one group that overlap well."""
-    box = F.struct("x0", "y0", "x1", "y1").alias("box")
-    b = _boxes(t).select("id", "p_brand", box)
-    j = b.alias("a").join(b.alias("b"), (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.id") < F.col("b.id")))
-    return j.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.round(G.box_iou(F.col("a.box"), F.col("b.box")), 6).alias("iou")).where("iou >= 0.3")
+    b = _boxes(t).select("id", "sheet", "p_brand", F.struct("x0", "y0", "x1", "y1").alias("box"))
+    return S.box_pairs(b, ["sheet", "p_brand"], 8.0, 0.3).select("a", "b", F.round("iou", 6).alias("iou"))
 
 
-@query(f"""WITH RECURSIVE {_BOX_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY y1 DESC, id) AS r FROM b),
-p AS (SELECT a.p_brand, a.r AS ra, b.r AS rb, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS s, (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) AS t FROM o a JOIN o b ON a.p_brand = b.p_brand AND a.r < b.r),
-z AS (SELECT p_brand, rb, list(ra) AS over FROM p WHERE s >= 0.5 * (t - s) GROUP BY 1, 2),
-k(p_brand, r, kept) AS (SELECT p_brand, 1::BIGINT, [1::BIGINT] FROM o WHERE r = 1 UNION ALL SELECT k.p_brand, o.r, CASE WHEN len(list_intersect(k.kept, coalesce(z.over, []::BIGINT[]))) = 0 THEN list_append(k.kept, o.r) ELSE k.kept END FROM k JOIN o ON o.p_brand = k.p_brand AND o.r = k.r + 1 LEFT JOIN z ON z.p_brand = o.p_brand AND z.rb = o.r)
-SELECT o.p_brand, o.id FROM o JOIN (SELECT p_brand, max_by(kept, r) AS kept FROM k GROUP BY 1) f ON o.p_brand = f.p_brand WHERE list_contains(f.kept, o.r)""")
+@query(f"""WITH RECURSIVE {_BOX_SQL}, o AS (SELECT *, p_brand || '/' || sheet AS g, row_number() OVER (PARTITION BY p_brand, sheet ORDER BY y1 DESC, id) AS r FROM b),
+p AS (SELECT a.g, a.r AS ra, b.r AS rb, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS s, (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) AS t FROM o a JOIN o b ON a.g = b.g AND a.r < b.r),
+z AS (SELECT g, rb, list(ra) AS over FROM p WHERE s >= 0.5 * (t - s) GROUP BY 1, 2),
+k(g, r, kept) AS (SELECT g, 1::BIGINT, [1::BIGINT] FROM o WHERE r = 1 UNION ALL SELECT k.g, o.r, CASE WHEN len(list_intersect(k.kept, coalesce(z.over, []::BIGINT[]))) = 0 THEN list_append(k.kept, o.r) ELSE k.kept END FROM k JOIN o ON o.g = k.g AND o.r = k.r + 1 LEFT JOIN z ON z.g = o.g AND z.rb = o.r)
+SELECT o.p_brand, o.id FROM o JOIN (SELECT g, max_by(kept, r) AS kept FROM k GROUP BY 1) f ON o.g = f.g WHERE list_contains(f.kept, o.r)""")
 def non_max(t):
     """Greedy suppression of overlapping boxes by group."""
-    return P.non_max(_boxes(t).withColumn("score", F.col("y1")), ["p_brand"], "id", "score")
+    return P.non_max(_boxes(t).withColumn("score", F.col("y1")), ["sheet", "p_brand"], "id", "score").select("p_brand", "id")
 
 
 @query("""SELECT CASE WHEN value IS NULL THEN 'unknown' ELSE ['north', 'northeast', 'east', 'southeast', 'south', 'southwest', 'west', 'northwest'][(floor(((value * 37 + 22.5) % 360) / 45) + 1)::INT] END AS direction, count(*) AS n FROM events GROUP BY 1""")
@@ -144,24 +143,24 @@ def newell(t):
     return t.part.select("p_partkey", F.round(o.area, 6).alias("area"), F.round(o.tilt_deg, 4).alias("tilt_deg"))
 
 
-@query("""WITH c AS (SELECT p_brand, p_partkey % 20 + i AS x, p_partkey % 13 + j AS y FROM part, unnest(range(0, 6)) AS a(i), unnest(range(0, 4)) AS b(j) WHERE p_partkey <= 300)
-SELECT p_brand, count(DISTINCT (x, y))::DOUBLE AS union_area, (SELECT count(*) FROM part p WHERE p.p_brand = c.p_brand AND p_partkey <= 300) AS n FROM c GROUP BY 1""")
+@query("""WITH c AS (SELECT p_brand, p_partkey // 300 AS sheet, p_partkey % 20 + i AS x, p_partkey % 13 + j AS y FROM part, unnest(range(0, 6)) AS a(i), unnest(range(0, 4)) AS b(j))
+SELECT p_brand, sheet, count(DISTINCT (x, y))::DOUBLE AS union_area, (SELECT count(*) FROM part p WHERE p.p_brand = c.p_brand AND p_partkey // 300 = sheet) AS n FROM c GROUP BY 1, 2""")
 def union_area(t):
     """The area that overlapping rectangles cover, overlaps once (unit cells in SQL)."""
     k = F.col("p_partkey")
     x, y = (k % 20).cast("double"), (k % 13).cast("double")
     ring = F.array(F.array(x, y), F.array(x + 6, y), F.array(x + 6, y + 4), F.array(x, y + 4))
-    return P.union_areas(t.part.where("p_partkey <= 300").select("p_brand", ring.alias("polygon")), ["p_brand"]).withColumn("union_area", F.round("union_area", 4))
+    return P.union_areas(t.part.select("p_brand", F.floor(k / 300).alias("sheet"), ring.alias("polygon")), ["p_brand", "sheet"]).withColumn("union_area", F.round("union_area", 4))
 
 
-@query("""WITH s AS (SELECT l_suppkey, l_orderkey % 100 AS lo, l_orderkey % 100 + l_quantity AS hi, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice) AS id FROM lineitem WHERE l_suppkey <= 10 AND l_linenumber = 1)
+@query("""WITH s AS (SELECT l_suppkey, l_orderkey % 100 AS lo, l_orderkey % 100 + l_quantity AS hi, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice) AS id FROM lineitem)
 SELECT a.l_suppkey, count(*) AS pairs, round(sum(least(a.hi, b.hi) - greatest(a.lo, b.lo)), 2) AS overlap FROM s a JOIN s b ON a.l_suppkey = b.l_suppkey AND a.id < b.id AND least(a.hi, b.hi) > greatest(a.lo, b.lo) GROUP BY 1""")
 def overlapping_pairs(t):
     """Overlapping placements on one wall."""
     from pyspark.sql import Window
 
     w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    r = t.lineitem.where("l_suppkey <= 10 and l_linenumber = 1").select("l_suppkey", (F.col("l_orderkey") % 100).cast("double").alias("s0"), (F.col("l_orderkey") % 100 + F.col("l_quantity")).alias("s1"), F.row_number().over(w).alias("id"))
+    r = t.lineitem.select("l_suppkey", (F.col("l_orderkey") % 100).cast("double").alias("s0"), (F.col("l_orderkey") % 100 + F.col("l_quantity")).alias("s1"), F.row_number().over(w).alias("id"))
     return S.overlapping_pairs(r, ["l_suppkey"], "id", 25.0).groupBy("l_suppkey").agg(F.count("*").alias("pairs"), F.round(F.sum("overlap"), 2).alias("overlap"))
 
 
@@ -204,18 +203,18 @@ def top_with_guard(t):
     return W.guarded_best(t.customer, ["c_nationkey"], "c_acctbal", "c_custkey", 50.0)
 
 
-@query("""SELECT l_partkey, CASE WHEN count(DISTINCT l_orderkey) = 2 THEN min(l_orderkey) END AS a, CASE WHEN count(DISTINCT l_orderkey) = 2 THEN max(l_orderkey) END AS b, CASE count(DISTINCT l_orderkey) WHEN 2 THEN 'paired' WHEN 1 THEN 'unpaired' ELSE 'conflict' END AS status FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY 1""")
-def matchline_pairs(t):
+@query("""SELECT l_partkey, l_suppkey, CASE WHEN count(DISTINCT l_orderkey) = 2 THEN min(l_orderkey) END AS a, CASE WHEN count(DISTINCT l_orderkey) = 2 THEN max(l_orderkey) END AS b, CASE count(DISTINCT l_orderkey) WHEN 2 THEN 'paired' WHEN 1 THEN 'unpaired' ELSE 'conflict' END AS status FROM lineitem GROUP BY 1, 2""")
+def sheet_key_pairs(t):
     """Keys on exactly two sheets pair them."""
-    return W.match_pairs(t.lineitem.where("l_orderkey % 20 = 0"), ["l_partkey"], "l_orderkey")
+    return W.match_pairs(t.lineitem, ["l_partkey", "l_suppkey"], "l_orderkey")
 
 
-@query("""WITH RECURSIVE p AS (SELECT DISTINCT s_suppkey AS a, c_custkey AS b, (s_suppkey * 31 + c_custkey * 17) % 101 AS score FROM supplier JOIN customer ON s_nationkey = c_nationkey AND c_custkey <= 200 AND s_suppkey <= 40),
+@query("""WITH RECURSIVE p AS (SELECT DISTINCT s_suppkey AS a, c_custkey AS b, (s_suppkey * 31 + c_custkey * 17) % 101 AS score FROM supplier JOIN customer ON s_nationkey = c_nationkey AND s_suppkey // 10 = c_custkey // 150),
 o AS (SELECT *, row_number() OVER (ORDER BY score DESC, a, b) AS r FROM p),
 g(r, ua, ub, hit) AS (SELECT 0::BIGINT, []::BIGINT[], []::BIGINT[], false UNION ALL SELECT o.r, CASE WHEN list_contains(g.ua, o.a) OR list_contains(g.ub, o.b) THEN g.ua ELSE list_append(g.ua, o.a) END, CASE WHEN list_contains(g.ua, o.a) OR list_contains(g.ub, o.b) THEN g.ub ELSE list_append(g.ub, o.b) END, NOT (list_contains(g.ua, o.a) OR list_contains(g.ub, o.b)) FROM g JOIN o ON o.r = g.r + 1)
 SELECT o.a, o.b, o.score FROM g JOIN o ON g.r = o.r WHERE g.hit""")
 def greedy_pairs(t):
-    """One-to-one matching, best pairs first."""
-    s, c = t.supplier.where("s_suppkey <= 40"), t.customer.where("c_custkey <= 200")
-    p = s.join(c, F.col("s_nationkey") == F.col("c_nationkey")).select(F.col("s_suppkey").alias("a"), F.col("c_custkey").alias("b"), ((F.col("s_suppkey") * 31 + F.col("c_custkey") * 17) % 101).alias("score"))
+    """One-to-one matching, best pairs first; candidates share a nation and a district of 10 suppliers and 150 customers."""
+    near = (F.col("s_nationkey") == F.col("c_nationkey")) & (F.floor(F.col("s_suppkey") / 10) == F.floor(F.col("c_custkey") / 150))
+    p = t.supplier.join(t.customer, near).select(F.col("s_suppkey").alias("a"), F.col("c_custkey").alias("b"), ((F.col("s_suppkey") * 31 + F.col("c_custkey") * 17) % 101).alias("score"))
     return W.best_pairs(p, "a", "b", "score")

@@ -136,10 +136,10 @@ def schedule_score(t):
     return _r(A.schedule_score(pred, truth, "k", ["a", "b"]), "precision", "recall", "f1", digits=6)
 
 
-@query("""SELECT lower(trim(p_name)) AS description, CASE WHEN count(DISTINCT p_type) = 1 THEN min(p_type) END AS kind, count(DISTINCT p_type) > 1 AS conflict FROM part WHERE p_size < 4 GROUP BY 1""")
+@query("""SELECT lower(trim(p_name)) AS description, CASE WHEN count(DISTINCT p_type) = 1 THEN min(p_type) END AS kind, count(DISTINCT p_type) > 1 AS conflict FROM part GROUP BY 1""")
 def legend_conflicts(t):
     """Legend descriptions with one class are learned, with several conflict."""
-    return A.learn_legend(t.part.where("p_size < 4"), "p_name", "p_type")
+    return A.learn_legend(t.part, "p_name", "p_type")
 
 
 @query("""WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM conversations)
@@ -233,14 +233,8 @@ def affine_fit(t):
     return j.groupBy("r_name").agg(F.round(F.regr_slope("s_acctbal", F.col("s_suppkey").cast("double")), 6).alias("a"), F.round(F.regr_intercept("s_acctbal", F.col("s_suppkey").cast("double")), 4).alias("b"))
 
 
-@query("""WITH n AS (SELECT p_partkey, list_distinct(string_split(upper(p_name), ' ')) AS ws FROM part WHERE p_partkey <= 40), p AS (SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.ws, b.ws)) / len(list_distinct(list_concat(a.ws, b.ws))) AS j FROM n a JOIN n b ON a.p_partkey <> b.p_partkey WHERE len(list_intersect(a.ws, b.ws)) > 0)
+@query("""WITH n AS (SELECT p_partkey, list_distinct(string_split(upper(p_name), ' ')) AS ws FROM part), p AS (SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.ws, b.ws)) / len(list_distinct(list_concat(a.ws, b.ws))) AS j FROM n a JOIN n b ON a.p_partkey <> b.p_partkey WHERE len(list_intersect(a.ws, b.ws)) > 0)
 SELECT a, b, round(j, 6) AS j FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY j DESC, b) AS r FROM p) WHERE r <= 3""")
 def jaccard_suggest(t):
-    """The three names that share most words with each (over an inverted index of words)."""
-    from pyspark.sql import Window
-
-    n = t.part.where("p_partkey <= 40").select("p_partkey", T.name_tokens("p_name").alias("ws"))
-    words = n.select("p_partkey", "ws", F.explode("ws").alias("w"))
-    a, b = words.select(F.col("p_partkey").alias("a"), F.col("ws").alias("wa"), "w"), words.select(F.col("p_partkey").alias("b"), F.col("ws").alias("wb"), "w")
-    p = a.join(b, "w").where("a <> b").select("a", "b", "wa", "wb").dropDuplicates(["a", "b"]).withColumn("j", T.jaccard(F.col("wa"), F.col("wb")))
-    return p.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("j"), "b"))).where("r <= 3").select("a", "b", F.round("j", 6).alias("j"))
+    """The three names that share most words with each."""
+    return A.alike(t.part.select(F.col("p_partkey").alias("id"), T.name_tokens("p_name").alias("words")), 3).select("a", "b", F.round("j", 6).alias("j"))
