@@ -155,7 +155,7 @@ def affine(x, y, m: tuple) -> tuple[Column, Column]:
     return a * _c(x) + b * _c(y) + c, d * _c(x) + e * _c(y) + f
 
 
-COMPASS = ("north", "northeast", "east", "southeast", "south", "southwest", "west", "northwest")
+COMPASS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")  # fixed values
 
 
 def cardinal(degrees) -> Column:
@@ -167,12 +167,18 @@ def cardinal(degrees) -> Column:
 
 def quadrant(azimuth) -> Column:
     """N, E, S or W; each from 45 degrees before its direction on."""
-    return F.element_at(F.array(*[F.lit(c) for c in "NESW"]), (F.floor(F.pmod(_c(azimuth) + 45.0, F.lit(360.0)) / 90.0) + 1).cast("int"))
+    return F.upper(F.substring(facing(azimuth), 1, 1))
+
+
+def facing(azimuth) -> Column:
+    """north, east, south or west; each from 45 degrees before its direction on."""
+    at = F.floor(F.pmod(_c(azimuth) + 45.0, F.lit(360.0)) / 90.0)
+    return F.when(at == 0, "north").when(at == 1, "east").when(at == 2, "south").when(at == 3, "west")
 
 
 def orientation_bucket(tilt, azimuth) -> Column:
-    """flat below half a degree of tilt or without an azimuth, else the quadrant."""
-    return F.when((_c(tilt) < 0.5) | _c(azimuth).isNull(), F.lit("flat")).otherwise(quadrant(azimuth))
+    """flat below half a degree of tilt (no tilt is none) or without an azimuth, else the quadrant."""
+    return F.when((F.coalesce(_c(tilt), F.lit(0.0)) < 0.5) | _c(azimuth).isNull(), F.lit("flat")).otherwise(quadrant(azimuth))
 
 
 def outward_azimuth(x0, y0, x1, y1) -> Column:

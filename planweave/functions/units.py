@@ -35,9 +35,17 @@ def to_base(value, unit) -> Column:
     return _c(value) * F.try_element_at(_map(1), F.lower(F.trim(_c(unit))))
 
 
+# Btu/h of one of a capacity's units, and other spellings of the units (fixed values).
+CAPACITY_BTUH = {"btuh": 1.0, "mbh": 1000.0, "w": BTUH_PER_W, "kw": 1000.0 * BTUH_PER_W, "ton": 12000.0}
+CAPACITY_SPELLINGS = {"btuhr": "btuh", "btu": "btuh", "kbtuh": "mbh", "tons": "ton", "tr": "ton"}
+
+
 def to_btuh(value, unit) -> Column:
-    """Power in Btu/h; an unknown unit is an error, a null value stays null."""
-    known = F.when(unit_family(unit) == "power", to_base(value, unit) * BTUH_PER_W)
+    """A capacity in Btu/h; an unknown unit is an error, a null value stays null."""
+    pairs = lambda m: F.create_map(*[F.lit(x) for kv in m.items() for x in kv])
+    u = F.regexp_replace(F.lower(F.coalesce(_c(unit), F.lit(""))), r"[\s/\-.]", "")
+    u = F.coalesce(F.try_element_at(pairs(CAPACITY_SPELLINGS), u), u)
+    known = _c(value) * F.try_element_at(pairs(CAPACITY_BTUH), u)
     return F.when(_c(value).isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(known, F.raise_error(F.concat(F.lit("unknown power unit: "), F.coalesce(_c(unit), F.lit("null")))).cast("double")))
 
 
@@ -57,6 +65,21 @@ def u_factor_si(value, header, sizes_in_feet: bool = False) -> Column:
     return F.struct(u.alias("u"), F.when(si | ip, 0.9).when(bare, 0.75).alias("confidence"), F.when(~(si | ip) & ~bare, F.lit("no unit")).alias("reason"))
 
 
+# Resistance in m2K/W of still air layers by thickness in mm, for heat flowing sideways and up (fixed values).
+AIR_LAYERS = {
+    "horizontal": [(0.0, 0.00), (5.0, 0.11), (7.0, 0.13), (10.0, 0.15), (15.0, 0.17), (25.0, 0.18), (50.0, 0.18), (100.0, 0.18), (300.0, 0.18)],
+    "upward": [(0.0, 0.00), (5.0, 0.11), (7.0, 0.13), (10.0, 0.15), (15.0, 0.16), (25.0, 0.16), (50.0, 0.16), (100.0, 0.16), (300.0, 0.16)],
+}
+
+
+def air_layer_resistance(thickness_m, direction: str = "horizontal") -> Column:
+    """Resistance of a still air layer; null unless it is over 0 and up to 0.3 m thick."""
+    from planweave.operators.fill import interpolate
+
+    mm = _c(thickness_m) * 1000.0
+    return F.when((mm > 0) & (mm <= 300.0 + 1e-9), interpolate(mm, AIR_LAYERS[direction]))
+
+
 def layer_resistance(u, film_resistance: float, least: float = 0.01) -> Column:
     """1/U less the films; null where U isn't positive or too little is left."""
     r = 1.0 / F.nullif(_c(u), F.lit(0.0)) - film_resistance

@@ -5,31 +5,94 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Equipment families by the letters of a tag, and by words in a description (fixed values).
-TAG_FAMILIES = {"AHU": "air_handler", "RTU": "rooftop_unit", "VAV": "terminal_box", "FCU": "fan_coil", "EF": "exhaust_fan", "SF": "supply_fan", "P": "pump", "B": "boiler", "CH": "chiller", "CT": "cooling_tower"}
+# Equipment families by the letters of a tag, by words in a description, the most particular first, and by category (fixed values).
+TAG_FAMILIES = {"AC": "fan_coil", "ACCU": "condensing_unit", "ACC": "condensing_unit", "AHU": "ahu", "RTU": "rtu", "FCU": "fan_coil", "EF": "exhaust_fan", "ERV": "erv", "VAV": "vav_box", "HP": "heat_pump", "P": "pump", "B": "boiler", "CH": "chiller"}
 TEXT_FAMILIES = [
-    (r"(?i)air[- ]handl", "air_handler"), (r"(?i)roof ?top", "rooftop_unit"), (r"(?i)\bvav\b|terminal|variable", "terminal_box"), (r"(?i)fan[- ]coil", "fan_coil"), (r"(?i)exhaust", "exhaust_fan"),
-    (r"(?i)supply fan", "supply_fan"), (r"(?i)\bpump\b", "pump"), (r"(?i)\bboiler\b", "boiler"), (r"(?i)\bchiller\b", "chiller"), (r"(?i)cooling tower", "cooling_tower"),
-]
-FANS = ("exhaust_fan", "supply_fan")
-
+    (r"(?i)fan\s*coil", "fan_coil"),
+    (r"(?i)chiller", "chiller"),
+    (r"(?i)boiler", "boiler"),
+    (r"(?i)heat\s*pump", "heat_pump"),
+    (r"(?i)air\s*handl|\bAHU\b", "ahu"),
+    (r"(?i)\bRTU\b|rooftop", "rtu"),
+    (r"(?i)\bVAV\b", "vav_box"),
+    (r"(?i)supply\s*diffuser", "supply_diffuser"),
+    (r"(?i)return\s*diffuser", "return_diffuser"),
+    (r"(?i)exhaust", "exhaust_fan"),
+    (r"(?i)energy\s*recovery|\bERV\b", "erv"),
+    (r"(?i)condens(?:ing|er)\s*unit", "condensing_unit"),
+    (r"(?i)heat(?:ing)?\s*coil", "heating_coil"),
+    (r"(?i)cool(?:ing)?\s*coil", "cooling_coil"),
+    (r"(?i)\bcoil\b", "coil"),
+    (r"(?i)air\s*separator", "air_separator"),
+    (r"(?i)expansion\s*tank", "expansion_tank"),
+    (r"(?i)\bfan\b", "fan"),
+    (r"(?i)\bpump\b", "pump"),
+    (r"(?i)diffuser|grille|grill|louver", "terminal"),
+]
+CATEGORY_FAMILIES = [(r"(?i)\btanks?,?\s+reservoirs\b", "tank")]
+FANS = ("exhaust_fan", "fan")
+
+
+def equipment_family(tag: Column, text: Column, category: Column | None = None) -> Column:
+    """struct(family, confidence): tag and text agree, high; both fans, the exhaust fan if either is one, high; they differ, none and low;
+    one alone, medium; neither, the category's, medium; else none."""
+    from planweave.functions.text import first_rule
 
-def equipment_family(tag: Column, text: Column) -> Column:
-    """struct(family, confidence): tag and text agree, high; both fans, the text's, high; one alone, medium; else none."""
-    letters = F.regexp_extract(F.upper(tag), r"^([A-Z]+)[- ]?\d", 1)
+    letters = F.regexp_replace(F.regexp_extract(tag, r"^([A-Z][A-Z0-9]{0,5})-\d+[A-Za-z]?$", 1), r"\d+$", "")
     by_tag = F.try_element_at(F.create_map(*[F.lit(x) for kv in TAG_FAMILIES.items() for x in kv]), letters)
-    hits = F.array_distinct(F.filter(F.array(*[F.when(text.rlike(p), F.lit(v)) for p, v in TEXT_FAMILIES]), lambda x: x.isNotNull()))
-    by_text = F.when(F.size(hits) == 1, hits[0])
+    by_text, by_category = first_rule(text, TEXT_FAMILIES), first_rule(F.lit(None).cast("string") if category is None else category, CATEGORY_FAMILIES)
     s = lambda f, c: F.struct(f.alias("family"), F.lit(c).alias("confidence"))
+    either = (by_tag == FANS[0]) | (by_text == FANS[0])
     return (
         F.when(by_tag == by_text, s(by_tag, "high"))
-        .when(by_tag.isin(*FANS) & by_text.isin(*FANS), s(by_text, "high"))
-        .when(by_tag.isNotNull() & by_text.isNotNull(), s(F.lit(None).cast("string"), "conflict"))
-        .when(by_tag.isNotNull() | by_text.isNotNull(), s(F.coalesce(by_tag, by_text), "medium"))
+        .when(by_tag.isin(*FANS) & by_text.isin(*FANS), s(F.when(either, F.lit(FANS[0])).otherwise(F.lit(FANS[1])), "high"))
+        .when(by_tag.isNotNull() & by_text.isNotNull(), s(F.lit(None).cast("string"), "low"))
+        .when(F.coalesce(by_tag, by_text, by_category).isNotNull(), s(F.coalesce(by_tag, by_text, by_category), "medium"))
         .otherwise(s(F.lit(None).cast("string"), "none"))
     )
 
 
+# Construction classes by what a text names; framing governs over cladding (fixed values).
+WALL_FRAMING = [
+    (r"metal\s+building|pre-?engineered|insulated\s+metal\s+panel|\bimp\b", "Metal Building"),
+    (r"(steel|metal|mtl\.?|light[- ]gau?ge|cold[- ]formed)\s+(stud|framing|framed)", "SteelFramed"),
+    (r"wood\s+(stud|framing|framed)|\b2\s*x\s*[468]\s+stud", "WoodFramed"),
+]
+WALL_MASS = r"\bcmu\b|concrete|masonry|\bbrick\b|\bblock\b|tilt[- ]?up|precast|\bmass\s+wall"
+ROOF_CLASSES = [
+    (r"\biead\b|(insulation|insul\.?)\s+(entirely\s+)?above\s+(the\s+)?deck|rigid\s+(roof\s+)?insulation\s+(on|over)\s+(metal|steel|concrete)\s+deck", "IEAD"),
+    (r"metal\s+building|standing\s+seam", "Metal Building"),
+    (r"\battic\b|wood\s+(joist|truss)", "Attic and Other"),
+]
+
+
+def construction_class(text: Column, surface: Column) -> Column:
+    """struct(value, reason) of the one construction class that a text names for a wall or roof; several are ambiguous."""
+    from planweave.functions.text import exactly_one_rule
+
+    t = F.lower(F.coalesce(text, F.lit("")))
+    wall, roof = exactly_one_rule(t, WALL_FRAMING), exactly_one_rule(t, ROOF_CLASSES)
+    mass = F.struct(F.lit("Mass").alias("value"), F.lit(None).cast("string").alias("reason"))
+    return F.when(surface == "ExteriorWall", F.when((wall.reason == "none") & t.rlike(WALL_MASS), mass).otherwise(wall)).when(surface == "ExteriorRoof", roof).otherwise(F.struct(F.lit(None).cast("string").alias("value"), F.lit("surface").alias("reason")))
+
+
+# Conductivities in W/mK by the words that a material's name must have (fixed values); names of air have none.
+CONDUCTIVITIES = [
+    (["gypsum"], 0.16), (["plasterboard"], 0.16), (["drywall"], 0.16), (["plywood"], 0.12), (["osb"], 0.091), (["oriented", "strand"], 0.091), (["fiberboard"], 0.07), (["wood"], 0.15), (["timber"], 0.15), (["brick"], 0.89),
+    (["concrete"], 1.95), (["lightweight", "concrete"], 0.53), (["concrete", "block"], 1.11), (["cmu"], 1.11), (["lightweight", "concrete", "block"], 0.50), (["stucco"], 0.72), (["render"], 0.72), (["stone"], 3.17),
+    (["metal"], 45.28), (["steel"], 45.28), (["mineral", "wool"], 0.05), (["rock", "wool"], 0.05), (["glass", "wool"], 0.05), (["fiberglass"], 0.05), (["batt"], 0.05), (["insulation", "board"], 0.03), (["eps"], 0.036),
+    (["xps"], 0.029), (["extruded", "polystyrene"], 0.029), (["polyiso"], 0.0245), (["polyisocyanurate"], 0.0245), (["pir"], 0.0245), (["polyurethane"], 0.0245), (["cellular", "glass"], 0.05),
+]
+AIR_WORDS = r"(?i)\b(air|cavity|void|gap)\b"
+
+
+def conductivities(materials: DataFrame, id: str = "id", name: str = "name") -> DataFrame:
+    """id, value: the conductivity that a material's name stands for; null for air, unknown and ambiguous names."""
+    table = materials.sparkSession.createDataFrame(CONDUCTIVITIES, "keys array<string>, value double")
+    named = materials.select(id, F.when(~F.col(name).rlike(AIR_WORDS), F.col(name)).alias("_name"))
+    return keyword_lookup(named, table, id, "_name").select(id, "value")
+
+
 def keyword_lookup(rows: DataFrame, table: DataFrame, id: str, text: str, keys: str = "keys", value: str = "value") -> DataFrame:
     """id, value, reason: entries all of whose key words are in the text, without those whose words another's include; one distinct value or none.
 

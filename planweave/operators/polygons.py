@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,44 +11,42 @@ from pyspark.sql import functions as F
 
 
 def union_area(polygons: list) -> float:
-    """The area covered by any of the polygons, overlaps once: slabs between all vertices and crossings."""
+    """The area covered by any of the polygons, overlaps once: slabs between all vertices and crossings.
+
+    Edges that aren't upright lie in arrays; every slab looks at the edges that
+    span it only.
+    """
     rings = [np.asarray([list(map(float, v)) for v in p]) for p in polygons if p is not None and len(p) >= 3]
     if not rings:
         return 0.0
-    segs = [(a, b) for r in rings for a, b in zip(r, np.roll(r, -1, axis=0)) if a[0] != b[0]]
-    xs = {float(v[0]) for r in rings for v in r}
-    for i, (a, b) in enumerate(segs):
-        for c, d in segs[i + 1 :]:
-            p, q = b - a, d - c
-            den = p[0] * q[1] - p[1] * q[0]
-            if abs(den) > 1e-15:
-                w = c - a
-                t, u = (w[0] * q[1] - w[1] * q[0]) / den, (w[0] * p[1] - w[1] * p[0]) / den
-                if 0 < t < 1 and 0 < u < 1:
-                    xs.add(float(a[0] + t * p[0]))
-    xs = sorted(xs)
+    a, b = np.concatenate(rings), np.concatenate([np.roll(r, -1, axis=0) for r in rings])
+    owner = np.repeat(np.arange(len(rings)), [len(r) for r in rings])
+    cuts = [np.unique(a[:, 0])]
+    keep = a[:, 0] != b[:, 0]
+    a, b, owner = a[keep], b[keep], owner[keep]
+    swap = a[:, 0] > b[:, 0]
+    a[swap], b[swap] = b[swap], a[swap].copy()
+    order = np.argsort(a[:, 0], kind="stable")
+    a, b, owner = a[order], b[order], owner[order]
+    slope = (b[:, 1] - a[:, 1]) / (b[:, 0] - a[:, 0])
+    for i in range(len(a)):
+        j = np.arange(i + 1, np.searchsorted(a[:, 0], b[i, 0], "left"))
+        j = j[np.abs(slope[j] - slope[i]) > 1e-15]
+        x = (a[i, 1] - a[j, 1] + slope[j] * a[j, 0] - slope[i] * a[i, 0]) / (slope[j] - slope[i])
+        cuts.append(x[(x > np.maximum(a[i, 0], a[j, 0])) & (x < np.minimum(b[i, 0], b[j, 0]))])
+    xs = np.unique(np.concatenate(cuts))
     total = 0.0
     for x0, x1 in zip(xs, xs[1:]):
         mid = (x0 + x1) / 2
-        spans = []
-        for r in rings:
-            at = []
-            for a, b in zip(r, np.roll(r, -1, axis=0)):
-                lo, hi = (a, b) if a[0] < b[0] else (b, a)
-                if lo[0] < mid < hi[0]:
-                    k = (hi[1] - lo[1]) / (hi[0] - lo[0])
-                    at.append((lo[1] + k * (mid - lo[0]), lo[1] + k * (x0 - lo[0]), lo[1] + k * (x1 - lo[0])))
-            at.sort()
-            spans += list(zip(at[::2], at[1::2]))
-        spans.sort(key=lambda s: s[0][0])
-        top = None
-        for lo, hi in spans:
-            if top is None or lo[0] > top[0]:
-                total += ((hi[1] - lo[1]) + (hi[2] - lo[2])) / 2 * (x1 - x0)
-                top = hi
-            elif hi[0] > top[0]:
-                total += ((hi[1] - top[1]) + (hi[2] - top[2])) / 2 * (x1 - x0)
-                top = hi
+        at = np.flatnonzero((a[:, 0] < mid) & (b[:, 0] > mid))
+        height = a[at, 1] + slope[at] * (mid - a[at, 0])
+        at = at[np.lexsort((height, owner[at]))]
+        height = a[at, 1] + slope[at] * (mid - a[at, 0])
+        spans = np.stack([height[::2], height[1::2]], axis=1)
+        spans = spans[np.argsort(spans[:, 0], kind="stable")]
+        reach = np.maximum.accumulate(spans[:, 1]) if len(spans) else spans[:, 0]
+        before = np.concatenate([[-np.inf], reach[:-1]]) if len(spans) else reach
+        total += float(np.maximum(0.0, reach - np.maximum(before, spans[:, 0])).sum()) * (x1 - x0)
     return total
 
 
@@ -190,19 +187,23 @@ def non_max(rows: DataFrame, by: list[str], id: str, score: str, boxes: tuple =
     return rows.groupBy(*by).applyInPandas(run, fields)
 
 
+# The year's days, by the sun's declination in degrees: both solstices and an equinox (fixed values).
+DECLINATIONS = (-23.45, 0.0, 23.45)
+
+
 def sun_vectors(latitude_deg: float) -> list[tuple[float, float, float]]:
-    """Unit vectors (east, north, up) to the sun at each hour of the solstices and an equinox, above the horizon only."""
+    """Unit vectors (east, north, up) to the sun at each hour of the solstices and an equinox, above the horizon only.
+
+    The sun's place relative to the equator and the meridian is turned into the
+    horizon's axes by one rotation about the east-west axis.
+    """
     if not -90 <= latitude_deg <= 90:
         raise ValueError("latitude must lie between -90 and 90")
-    lat, out = math.radians(latitude_deg), []
-    for dec in (-23.45, 0.0, 23.45):
-        d = math.radians(dec)
-        for hour in range(24):
-            w = math.radians(15 * (hour - 12))
-            up = math.sin(lat) * math.sin(d) + math.cos(lat) * math.cos(d) * math.cos(w)
-            if up > 1e-9:
-                out.append((-math.cos(d) * math.sin(w), math.cos(lat) * math.sin(d) - math.sin(lat) * math.cos(d) * math.cos(w), up))
-    return out
+    turn, day = np.meshgrid(np.arange(24) * 2 * np.pi / 24 - np.pi, np.radians(DECLINATIONS))
+    equatorial = np.stack([np.cos(day) * np.cos(turn), -np.cos(day) * np.sin(turn), np.sin(day)]).reshape(3, -1)  # to the meridian, east, to the pole
+    phi = np.radians(latitude_deg)
+    horizon = np.array([[0.0, 1.0, 0.0], [-np.sin(phi), 0.0, np.cos(phi)], [np.cos(phi), 0.0, np.sin(phi)]]) @ equatorial
+    return [tuple(v) for v in horizon.T[horizon[2] > 1e-9].tolist()]
 
 
 def solar_aperture(planes: DataFrame, latitude_deg: float, tilt: str = "tilt_deg", azimuth: str = "azimuth_deg", area: str = "area_m2") -> DataFrame:

@@ -9,8 +9,8 @@ from planweave.plans.registry import query
 
 
 @query("""WITH x AS (SELECT p_partkey AS id, (['AHU', 'EF', 'P', 'XX'])[p_partkey % 4 + 1] AS tag, (['Air handling unit', 'supply fan', 'pump', 'exhaust fan and pump', 'none'])[p_partkey % 5 + 1] AS txt FROM part),
-f AS (SELECT id, CASE tag WHEN 'AHU' THEN 'air_handler' WHEN 'EF' THEN 'exhaust_fan' WHEN 'P' THEN 'pump' END AS a, CASE txt WHEN 'Air handling unit' THEN 'air_handler' WHEN 'supply fan' THEN 'supply_fan' WHEN 'pump' THEN 'pump' END AS b FROM x)
-SELECT id, CASE WHEN a = b THEN a WHEN a = 'exhaust_fan' AND b = 'supply_fan' THEN b WHEN a IS NOT NULL AND b IS NOT NULL THEN NULL ELSE coalesce(a, b) END AS family, CASE WHEN a = b THEN 'high' WHEN a = 'exhaust_fan' AND b = 'supply_fan' THEN 'high' WHEN a IS NOT NULL AND b IS NOT NULL THEN 'conflict' WHEN a IS NULL AND b IS NULL THEN 'none' ELSE 'medium' END AS confidence FROM f""")
+f AS (SELECT id, CASE tag WHEN 'AHU' THEN 'ahu' WHEN 'EF' THEN 'exhaust_fan' WHEN 'P' THEN 'pump' END AS a, CASE txt WHEN 'Air handling unit' THEN 'ahu' WHEN 'supply fan' THEN 'fan' WHEN 'pump' THEN 'pump' WHEN 'exhaust fan and pump' THEN 'exhaust_fan' END AS b FROM x)
+SELECT id, CASE WHEN a = b THEN a WHEN a = 'exhaust_fan' AND b = 'fan' THEN a WHEN a IS NOT NULL AND b IS NOT NULL THEN NULL ELSE coalesce(a, b) END AS family, CASE WHEN a = b THEN 'high' WHEN a = 'exhaust_fan' AND b = 'fan' THEN 'high' WHEN a IS NOT NULL AND b IS NOT NULL THEN 'low' WHEN a IS NULL AND b IS NULL THEN 'none' ELSE 'medium' END AS confidence FROM f""")
 def equipment_family(t):
     """A family where tag and text agree."""
     k = F.col("p_partkey")

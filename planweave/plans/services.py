@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from planweave.checks import rules
 from planweave.operators import tuples as N
 from planweave.plans.registry import query
-from planweave.query.engine import PATTERNS, dispatch_column
 from planweave.streaming import events as E
 
 
@@ -39,15 +38,6 @@ def check_share(t):
     return t.lineitem.groupBy("l_returnflag").agg(over.alias("above"), F.round(over / F.count("*"), 6).alias("share"))
 
 
-_QUESTIONS = ["How many rooms are there?", "What is the total floor area", "which way does it face", "List zones", "WWR please", "show the facade windows", "count of spaces and their zones", "how big is it", "who built it?", "is there glazing to the north"]
-
-
-@query("WITH q(id, q) AS (VALUES " + ", ".join(f"({i}, '{x}')" for i, x in enumerate(_QUESTIONS)) + ") SELECT id::BIGINT AS id, CASE " + " ".join(f"WHEN regexp_matches(lower(q), '{p}') THEN '{m}'" for p, m in PATTERNS) + " END AS method FROM q")
-def nl_dispatch(t):
-    """Questions to the method of the first pattern that fits."""
-    return t.spark.createDataFrame(list(enumerate(_QUESTIONS)), "id long, q string").select("id", dispatch_column(F.col("q")).alias("method"))
-
-
 @query("""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
 def stream_daily_counts(t):
     """Counts by day from a stream of event files."""

@@ -110,7 +110,7 @@ def non_max(t):
     return P.non_max(_boxes(t).withColumn("score", F.col("y1")), ["sheet", "p_brand"], "id", "score").select("p_brand", "id")
 
 
-@query("""SELECT CASE WHEN value IS NULL THEN 'unknown' ELSE ['north', 'northeast', 'east', 'southeast', 'south', 'southwest', 'west', 'northwest'][(floor(((value * 37 + 22.5) % 360) / 45) + 1)::INT] END AS direction, count(*) AS n FROM events GROUP BY 1""")
+@query("""SELECT CASE WHEN value IS NULL THEN 'unknown' ELSE ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][(floor(((value * 37 + 22.5) % 360) / 45) + 1)::INT] END AS direction, count(*) AS n FROM events GROUP BY 1""")
 def compass(t):
     """Bearings in eight sectors."""
     return t.events.groupBy(G.cardinal(F.col("value") * 37).alias("direction")).agg(F.count("*").alias("n"))

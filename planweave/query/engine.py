@@ -15,26 +15,26 @@ from planweave.checks.rules import Model
 from planweave.functions.geometry import cardinal
 from planweave.operators.aggregates import envelope_summary
 
-# Ordered: pattern, method.
+# Ordered: pattern, method (fixed values).
 PATTERNS = [
-    (r"how many (rooms|spaces)", "count_spaces"),
-    (r"(number|count) of (rooms|spaces)", "count_spaces"),
-    (r"(room|space) count", "count_spaces"),
-    (r"(total|gross|overall) (floor )?area", "total_floor_area"),
-    (r"floor area", "total_floor_area"),
-    (r"how (big|large)", "total_floor_area"),
-    (r"square (feet|metres|meters)", "total_floor_area"),
-    (r"(which|what) (way|direction)", "building_orientation"),
-    (r"orientation|\bfac(es|ing)\b", "building_orientation"),
-    (r"\bnorth arrow\b", "building_orientation"),
-    (r"(list|show|what are the) (hvac )?zones", "zone_list"),
+    (r"\bcount\s+the\s+spaces?\b", "count_spaces"),
+    (r"\bcount\s+spaces?\b", "count_spaces"),
+    (r"\bhow\s+many\s+spaces?\b", "count_spaces"),
+    (r"\bnumber\s+of\s+spaces?\b", "count_spaces"),
+    (r"\btotal\s+floor\s+area\b", "total_floor_area"),
+    (r"\bfloor\s+area\b", "total_floor_area"),
+    (r"\bconditioned\s+area\b", "total_floor_area"),
+    (r"\bbuilding\s+orientation\b", "building_orientation"),
+    (r"\borientation\b", "building_orientation"),
+    (r"\bwhich\s+direction\b", "building_orientation"),
+    (r"\bcompass\b", "building_orientation"),
     (r"\bzones?\b", "zone_list"),
-    (r"\bhvac\b", "zone_list"),
-    (r"window[- ]to[- ]wall", "envelope_summary"),
+    (r"\blist\s+zones?\b", "zone_list"),
+    (r"\bthermal\s+zones?\b", "zone_list"),
+    (r"\benvelope\b", "envelope_summary"),
+    (r"\bwindow.*wall\b", "envelope_summary"),
     (r"\bwwr\b", "envelope_summary"),
-    (r"glaz(ing|ed)", "envelope_summary"),
-    (r"\b(envelope|fa[cç]ades?)\b", "envelope_summary"),
-    (r"\b(walls?|windows?)\b", "envelope_summary"),
+    (r"\bwindow.*area\b", "envelope_summary"),
 ]
 
 

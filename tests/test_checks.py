@@ -99,8 +99,8 @@ def test_a_failing_rule_is_a_finding(spark, monkeypatch):
 def test_questions(spark):
     e = Engine(clean(spark), bearing_deg=181.0)
     ask = lambda q: tuple(e.query(q).first())
-    assert ask("How many rooms?") == ("2", "count_spaces") and ask("total floor area") == ("60.0", "total_floor_area")
-    assert ask("which way is it facing") == ("south", "building_orientation") and ask("tell me a joke") == (None, "query_dispatch")
+    assert ask("How many spaces?") == ("2", "count_spaces") and ask("total floor area") == ("60.0", "total_floor_area")
+    assert ask("which direction is it facing") == ("S", "building_orientation") and ask("tell me a joke") == (None, "query_dispatch")
     assert ask("list zones")[0] == '{"z1":["L1-101","L1-102"]}' and '"wwr":0.0375' in ask("WWR")[0]
     assert dispatch(None) is None and len(e.available()) == 5
     assert e.space_by_number("101").count() == 1 and e.zones_of_space("L1-101").first()[0] == "z1" and e.spaces_of_zone("z1").count() == 2

@@ -40,7 +40,7 @@ def test_titles(spark, title, kind, level):
 
 def test_labels_and_tags(spark):
     r = spark.createDataFrame([(" of 1 ", "OFFICE 1O1", "102 LOBBY", "AHU-1 supply")], "a string, b string, c string, d string").select(T.normalize_tag("a"), T.room_label("b"), T.room_label("c"), T.equipment_tag("d")).first()
-    assert r[0] == "OF1" and tuple(r[1]) == ("OFFICE", "101", 1.0) and tuple(r[2]) == ("LOBBY", "102", 0.95) and r[3] == "AHU-1"
+    assert r[0] == "OF1" and tuple(r[1]) == ("OFFICE", "101", 0.95) and tuple(r[2]) == ("LOBBY", "102", 0.95) and r[3] == "AHU-1"
     n = spark.createDataFrame([(None,)], "a string").select(T.normalize_tag("a"), T.facade_of_title("a")).first()
     assert n[0] == "" and n[1] is None
 
