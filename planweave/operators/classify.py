@@ -192,7 +192,10 @@ def atria(rooms: DataFrame, levels: DataFrame, cell: float = 10.0) -> DataFrame:
     from planweave.operators.adjacency import overlaps
 
     tops = rooms.join(levels.select(F.col("id").alias("level_id"), F.col("elevation_z_m").alias("z")), "level_id").where("top_m is not null")
-    above = tops.crossJoin(F.broadcast(levels.select(F.col("id").alias("up"), F.col("elevation_z_m").alias("uz")))).where("uz > z + 1e-6 and uz < z + top_m - 1e-6")  # a building's levels are few
+    # Rooms and levels meet by steps of 4 m of height.
+    steps = F.sequence(F.floor(F.col("z") / 4), F.floor((F.col("z") + F.col("top_m")) / 4))
+    higher = levels.select(F.col("id").alias("up"), F.col("elevation_z_m").alias("uz"), F.floor(F.col("elevation_z_m") / 4).alias("step"))
+    above = tops.where("top_m >= 0").withColumn("step", F.explode(steps)).join(higher, "step").drop("step").where("uz > z + 1e-6 and uz < z + top_m - 1e-6")
     at = above.select(F.col("up").alias("lv"), F.col("id"), "polygon_m")
     there = rooms.select(F.col("level_id").alias("lv"), "id", "polygon_m")
     hit = overlaps(at, there, ["lv"], cell).where("a <> b").join(levels.select(F.col("id").alias("lv"), F.col("elevation_z_m").alias("bz")), "lv").groupBy(F.col("a").alias("id")).agg(F.min("bz").alias("block"))

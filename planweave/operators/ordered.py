@@ -49,6 +49,26 @@ def ranked(rows: DataFrame, order: list[Column], by: list[str] = (), name: str =
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
 
+def running_sum(rows: DataFrame, order: list, value: Column, name: str) -> DataFrame:
+    """rows with the sum of `value` up to and with each row, over all rows in a total order, no task holding them all.
+
+    Rows are dealt to ranges of the order and stored; sums of whole ranges are
+    added first, a row per range, then those within a range.
+    """
+    from planweave.session import stored
+
+    r = stored(rows.withColumn("_value", value).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ordered")
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = r.groupBy("_part").agg(F.sum("_value").alias("_sum")).withColumn("_ahead", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))).select("_part", "_ahead")
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return r.join(parts, "_part").withColumn(name, F.col("_ahead") + F.sum("_value").over(within)).drop("_part", "_ahead", "_value")
+
+
+def numbered(rows: DataFrame, order: list, name: str = "seq") -> DataFrame:
+    """rows with their number from 1 in a total order over all of them."""
+    return running_sum(rows, order, F.lit(1).cast("bigint"), name)
+
+
 def best_pairs(pairs: DataFrame, a: str, b: str, score: str) -> DataFrame:
     """Greedy one-to-one matching, best score first, ties by a then b: a, b, score.  A null end pairs with nothing.
 

@@ -83,8 +83,9 @@ def reconcile_counts(a: DataFrame, b: DataFrame, key: str, n: str = "n") -> Data
 
 def review_queue(rows: DataFrame, confidence: str, order: list[str], below: float = 0.8) -> DataFrame:
     """Rows whose confidence is below the bar, with ids RVW-001, ... in the order given."""
-    w = Window.orderBy(*order)
-    return rows.where(F.col(confidence) < below).withColumn("review_id", F.format_string("RVW-%03d", F.row_number().over(w)))
+    from planweave.operators.ordered import numbered
+
+    return numbered(rows.where(F.col(confidence) < below), order, "_n").withColumn("review_id", F.format_string("RVW-%03d", F.col("_n"))).drop("_n")
 
 
 def worst_first(items: DataFrame) -> list[Column]:

@@ -172,14 +172,14 @@ def gaps_islands(t):
     return runs.groupBy("user_id").agg(F.count("*").alias("n_islands"), F.max("n").alias("longest"))
 
 
-@query("""WITH e AS (SELECT event_type, user_id * 7 % 400 AS lo, user_id * 7 % 400 + floor(value) % 5 AS hi FROM events), r AS (SELECT *, max(hi) OVER (PARTITION BY event_type ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e),
-g AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY event_type ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS g FROM r)
-SELECT event_type, min(lo)::DOUBLE AS lo, max(hi)::DOUBLE AS hi, count(*) AS n FROM g GROUP BY event_type, g""")
+@query("""WITH e AS (SELECT event_type, user_id, event_id * 7 % 400 AS lo, event_id * 7 % 400 + floor(value) % 5 AS hi FROM events), r AS (SELECT *, max(hi) OVER (PARTITION BY event_type, user_id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e),
+g AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY event_type, user_id ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS g FROM r)
+SELECT event_type, user_id, min(lo)::DOUBLE AS lo, max(hi)::DOUBLE AS hi, count(*) AS n FROM g GROUP BY event_type, user_id, g""")
 def interval_self_merge(t):
     """Intervals joined where they touch, with slack."""
-    lo = (F.col("user_id") * 7 % 400).cast("double")
-    e = t.events.select("event_type", lo.alias("lo"), (lo + F.floor("value") % 5).alias("hi"))
-    return W.merged_intervals(e, ["event_type"], "lo", "hi", 1.0)
+    lo = (F.col("event_id") * 7 % 400).cast("double")
+    e = t.events.select("event_type", "user_id", lo.alias("lo"), (lo + F.floor("value") % 5).alias("hi"))
+    return W.merged_intervals(e, ["event_type", "user_id"], "lo", "hi", 1.0)
 
 
 @query("""WITH d AS (SELECT n_regionkey, length(n_name) AS v, min(n_name) AS name FROM nation GROUP BY 1, 2), s AS (SELECT n_regionkey, name, lead(v) OVER (PARTITION BY n_regionkey ORDER BY v) - v AS step FROM d) SELECT n_regionkey, name, step::INT AS step FROM s WHERE step IS NOT NULL""")

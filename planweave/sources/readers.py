@@ -6,11 +6,12 @@ their contract come back as rejects, not as missing rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from planweave.functions.text import normalize_tag
+from planweave.operators.ordered import running_sum
 from planweave.operators.takeoff import last_wins
 
 SCHEDULE = "tag string, category string, width_m string, height_m string, note string, u_factor string, shgc string, vt string"
@@ -88,8 +89,7 @@ def simulation_log(spark: SparkSession, path: str) -> DataFrame:
 
 def continuation_rows(rows: DataFrame, key: str, order: str, text: list[str]) -> DataFrame:
     """Rows without a key go on with the one before: their texts are joined by spaces."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    r = rows.withColumn("_g", F.sum(F.when(F.coalesce(F.trim(F.col(key)), F.lit("")) != "", 1).otherwise(0)).over(w))
+    r = running_sum(rows, [order], F.when(F.coalesce(F.trim(F.col(key)), F.lit("")) != "", 1).otherwise(0).cast("bigint"), "_g")
     joined = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("")).alias("t")))), lambda s: s.t), " ").alias(c) for c in text]
     out = r.groupBy("_g").agg(F.first(F.nullif(F.trim(F.col(key)), F.lit("")), ignorenulls=True).alias(key), F.min(order).alias(order), *joined)
     return out.select(key, order, *[F.trim(F.regexp_replace(c, r"\s+", " ")).alias(c) for c in text])
