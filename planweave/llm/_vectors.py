@@ -55,14 +55,23 @@ def narrow(a: np.ndarray) -> np.ndarray:
     return a.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
 
 
-def meet(holders: DataFrame, asks: DataFrame, group: list[str], each: int) -> DataFrame:
+#: Most blocks of queries that meet a holder in one task: more make a lost task dear.
+MOST_BLOCKS = 64
+
+
+def meet(holders: DataFrame, asks: DataFrame, group: list[str]) -> DataFrame:
     """Every block of queries meets every holder of its group; rows with kind 0 (a holder) or 1 (queries), dealt and sorted.
 
     A task's rows are, one after another, a holder and up to `each` blocks of
     queries, so it holds one of each at a time.  Queries travel once for each
     holder; a holder, which is larger, only once for `each` blocks of queries.
-    holders have `block` and asks `q_block`, both counted from 0 within the group.
+    `each` is what gives every shuffle partition some tasks' work, 1 at least
+    and MOST_BLOCKS at most.  holders have `block` and asks `q_block`, both
+    counted from 0 within the group; both should be stored tables.
     """
+    met = holders.groupBy(*group).agg(F.count("*").alias("a")).join(asks.groupBy(*group).agg(F.count("*").alias("b")), group)
+    pairs = int(met.agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0)
+    each = max(1, min(MOST_BLOCKS, pairs // (4 * int(holders.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
     n_holders = holders.groupBy(*group).agg(F.max("block").alias("top"))
     n_salts = asks.groupBy(*group).agg(F.floor(F.max("q_block") / F.lit(each)).cast("int").alias("top"))
     one = holders.join(n_salts, group).withColumn("salt", F.explode(F.sequence(F.lit(0), "top"))).withColumn("q_block", F.lit(-1))

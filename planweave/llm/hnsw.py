@@ -269,7 +269,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", v
     shards = stored(shards.groupBy(*group, "block").applyInArrow(*_arrow.groups(as_shard, schema + ", graph binary")), "hnsw")
     asks = stored(_vectors.blocked(points, group, "node", query_rows).groupBy(*group, "block").applyInArrow(*_arrow.groups(as_block, schema)), "hnsw")
     asked = asks.select(*group, F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("points").alias("q_points"))
-    met = _vectors.meet(shards, asked, group, 8)
+    met = _vectors.meet(shards, asked, group)
 
     def run(batches):
         held = graph = v = here = times = None

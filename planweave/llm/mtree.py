@@ -214,7 +214,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id
                 n = [len(f[0]) for f in found]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[0], n)), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["query_id", "vec_id", "score"])
 
-    hits = _vectors.meet(trees, asks, ["dim"], 4).mapInArrow(*_arrow.batches(run, "query_id bigint, vec_id bigint, score bigint"))
+    hits = _vectors.meet(trees, asks, ["dim"]).mapInArrow(*_arrow.batches(run, "query_id bigint, vec_id bigint, score bigint"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
