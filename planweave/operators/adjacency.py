@@ -126,3 +126,64 @@ def facade_takeoff(pixels: DataFrame, by: str, kind: str = "kind", x: str = "x",
     m = F.col("w") / F.nullif("bw", F.lit(0))
     off = F.abs(F.col("h") / F.nullif("bh", F.lit(0)) / m - 1) > 0.05
     return g.select(by, (F.col("win") / F.nullif("plane", F.lit(0))).alias("wwr"), (F.col("door") / F.nullif("plane", F.lit(0))).alias("door_share"), m.alias("m_per_px"), (F.col("win") * m * m).alias("window_m2"), F.when(off, F.lit("height disagrees")).alias("warning"))
+
+
+def ground_at(points: DataFrame, triangles: DataFrame, cell: float = 10.0) -> DataFrame:
+    """id, z: the highest triangle's height at each point, null where none covers it.
+
+    triangles: corners as x0, y0, z0 ... x2, y2, z2; points: id, x, y.
+    """
+    t = triangles.withColumn("det", F.expr("(y1 - y2) * (x0 - x2) + (x2 - x1) * (y0 - y2)")).where("abs(det) > 1e-12")
+    lo, hi = (lambda a: F.floor(F.least(*[f"{a}{i}" for i in range(3)]) / cell)), (lambda a: F.floor(F.greatest(*[f"{a}{i}" for i in range(3)]) / cell))
+    t = t.withColumn("cx", F.explode(F.sequence(lo("x"), hi("x")))).withColumn("cy", F.explode(F.sequence(lo("y"), hi("y"))))
+    q = points.select("id", "x", "y", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
+    j = q.join(t, ["cx", "cy"]).withColumn("a", F.expr("((y1 - y2) * (x - x2) + (x2 - x1) * (y - y2)) / det")).withColumn("b", F.expr("((y2 - y0) * (x - x2) + (x0 - x2) * (y - y2)) / det"))
+    z = j.where("a >= -1e-9 and b >= -1e-9 and a + b <= 1 + 1e-9").groupBy("id").agg(F.max(F.expr("a * z0 + b * z1 + (1 - a - b) * z2")).alias("z"))
+    return points.select("id").join(z, "id", "left")
+
+
+def wall_by_grade(profile: DataFrame, walls: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """id, kind: UndergroundWall where the ground is nowhere under a wall's top, ExteriorWall where it is nowhere over its base, else Split; null without a profile.
+
+    profile: wall, z; walls: id, z0, z1.
+    """
+    p = profile.groupBy(F.col("wall").alias("id")).agg(F.min("z").alias("lo"), F.max("z").alias("hi"), F.count_if(F.col("z").isNull()).alias("gaps"))
+    kind = F.when(F.col("lo") >= F.col("z1") - tolerance, "UndergroundWall").when(F.col("hi") <= F.col("z0") + tolerance, "ExteriorWall").otherwise("Split")
+    return walls.join(p, "id", "left").select("id", F.when(F.col("lo").isNotNull() & (F.col("gaps") == 0), kind).alias("kind"))
+
+
+def skylit_areas(spaces: DataFrame, skylights: DataFrame, spread: float = 0.7) -> DataFrame:
+    """space_id, skylight, area_m2 of the rectangle under each skylight, wider by the ceiling's height times `spread`, inside its room's outline; null where it can't be placed.
+
+    spaces: id, polygon_m (convex), ceiling_m; skylights: id, space_id, cx, cy, width_m, height_m.
+    """
+    from planweave.functions.geometry import area as area_of
+    from planweave.operators.polygons import clip_convex
+
+    s = spaces.select(F.col("id").alias("space_id"), G.counter_clockwise("polygon_m").alias("room"), "ceiling_m")
+    j = skylights.select(F.col("id").alias("skylight"), "space_id", "cx", "cy", "width_m", "height_m").join(s, "space_id", "left")
+    hw, hh = F.col("width_m") / 2 + spread * F.col("ceiling_m"), F.col("height_m") / 2 + spread * F.col("ceiling_m")
+    v = lambda x, y: F.array(F.col("cx") + x, F.col("cy") + y)
+    ok = (F.col("ceiling_m") > 0) & (F.col("width_m") > 0) & (F.col("height_m") > 0) & F.col("cx").isNotNull() & F.col("cy").isNotNull() & (F.size("room") >= 3)
+
+    @F.pandas_udf("array<array<double>>")
+    def clipped(zone, room):
+        return zone.combine(room, lambda z, r: None if z is None or r is None else clip_convex([list(map(float, p)) for p in z], [list(map(float, p)) for p in r]))
+
+    lit = j.withColumn("zone", F.when(ok, F.array(v(-hw, -hh), v(hw, -hh), v(hw, hh), v(-hw, hh)))).withColumn("zone", clipped("zone", "room"))
+    area = area_of("zone")
+    return lit.select("space_id", "skylight", F.when(F.col("zone").isNotNull() & (area > 0), F.round(area, 4)).alias("area_m2"))
+
+
+def open_borders(spaces: DataFrame, by: list[str], walls: DataFrame, id: str = "id", polygon: str = "polygon_m", least: float = 0.3) -> DataFrame:
+    """by, a, b, length: edges that two rooms share where no wall lies along them, at least `least` long.
+
+    walls: by, line, lo, hi, on the same carrier lines as wall_segments().
+    """
+    w = wall_segments(spaces, by, id, polygon)
+    c = lambda s: w.select(*by, "line", *[F.col(x).alias(f"{x}_{s}") for x in ("id", "lo", "hi")])
+    j = c("a").join(c("b"), [*by, "line"]).where("id_a < id_b").withColumn("lo", F.greatest("lo_a", "lo_b")).withColumn("hi", F.least("hi_a", "hi_b")).where("hi > lo")
+    blocked = j.join(walls.select(*by, "line", F.col("lo").alias("w0"), F.col("hi").alias("w1")), [*by, "line"], "left")
+    cover = F.sum(F.when(F.col("w0").isNotNull(), F.greatest(F.lit(0.0), F.least("hi", "w1") - F.greatest("lo", "w0"))))
+    g = blocked.groupBy(*by, F.col("id_a").alias("a"), F.col("id_b").alias("b"), "line", "lo", "hi").agg(F.coalesce(cover, F.lit(0.0)).alias("covered"))
+    return g.withColumn("length", F.col("hi") - F.col("lo") - F.col("covered")).where(F.col("length") >= least).groupBy(*by, "a", "b").agg(F.sum("length").alias("length"))

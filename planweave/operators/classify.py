@@ -93,6 +93,66 @@ def conductivities(materials: DataFrame, id: str = "id", name: str = "name") ->
     return keyword_lookup(named, table, id, "_name").select(id, "value")
 
 
+# Units by the slot that they name, and families by what an unqualified unit can mean on them (fixed values).
+AIRFLOW_UNITS = {"cfm": "CFM", "l/s": "L/s"}
+WATER_UNITS = {"gpm": "GPM"}
+POWER_UNITS = {"kw": "kW", "w": "W", "watt": "W", "watts": "W"}
+HEAD_UNITS = {"ft": "ft", "m": "m", "kpa": "kPa", "psi": "psi"}
+NO_UNITS = ("x", "mm", "cm", "m", "ft", "in")
+THERMAL_FAMILIES = {"chiller": "cooling_capacity", "boiler": "heating_capacity", "cooling_coil": "cooling_capacity", "heating_coil": "heating_capacity"}
+AMBIGUOUS_FAMILIES = ("coil", "heat_pump", "ahu", "fan_coil", "condensing_unit", "erv", "rtu")
+POWER_FAMILIES = ("pump", "fan", "exhaust_fan", "vav_box", "ahu", "erv")
+
+
+def value_slot(family: Column, unit: Column, qualifier: Column) -> Column:
+    """struct(slot, unit, confidence, reason) of a stated value: the unit names the slot, else the qualifier, else the family, else a reason; dimensions have none of these."""
+    from planweave.functions.text import CAPACITY_UNITS
+
+    u = F.lower(unit)
+    known = lambda m: F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), u)
+    told = lambda slot, unit_, sure: F.struct(slot.alias("slot"), unit_.alias("unit"), F.lit(sure).alias("confidence"), F.lit(None).cast("string").alias("reason"))
+    none = F.lit(None).cast("string")
+    refused = lambda why: F.struct(none.alias("slot"), none.alias("unit"), none.alias("confidence"), (F.lit(why) if why else none).alias("reason"))
+    thermal = known(CAPACITY_UNITS)
+    q, capacity = qualifier, F.concat(qualifier, F.lit("_capacity"))
+    by_family = F.try_element_at(F.create_map(*[F.lit(x) for kv in THERMAL_FAMILIES.items() for x in kv]), family)
+    heating = F.coalesce(q.isin("cooling", "heating"), F.lit(False))
+    return (
+        F.when(known(AIRFLOW_UNITS).isNotNull(), told(F.when(q == "min", "airflow_min").when(q == "max", "airflow_max").otherwise("airflow"), known(AIRFLOW_UNITS), "high"))
+        .when(known(WATER_UNITS).isNotNull(), told(F.lit("water_flow"), known(WATER_UNITS), "high"))
+        .when(known(POWER_UNITS).isNotNull(), F.when(q == "motor", told(F.lit("power"), known(POWER_UNITS), "high")).when(heating, told(capacity, known(POWER_UNITS), "high")).when(family.isin(*POWER_FAMILIES), told(F.lit("power"), known(POWER_UNITS), "medium")).otherwise(refused("power or thermal capacity")))
+        .when(known(HEAD_UNITS).isNotNull(), F.when(q == "head", told(F.lit("head"), known(HEAD_UNITS), "high")).otherwise(refused(None)))
+        .when(u.isin(*NO_UNITS), refused(None))
+        .when(heating, told(capacity, thermal, "high"))
+        .when(by_family.isNotNull(), told(by_family, thermal, "medium"))
+        .when(family.isin(*AMBIGUOUS_FAMILIES), refused("cooling or heating"))
+        .otherwise(refused("no slot"))
+    )
+
+
+# Rooms by their evidence: the first rule that holds, with how sure it is (fixed values).
+def polygon_class(area: Column, has_number: Column, label: Column, adjacent: Column, doors: Column, aspect: Column) -> Column:
+    """struct(kind, confidence) of a room polygon: area and number first, then the label's words, then neighbours, doors and shape."""
+    t = F.lower(F.coalesce(label, F.lit("")))
+    told = lambda kind, sure: F.struct(F.lit(kind).alias("kind"), F.lit(sure).alias("confidence"))
+    return (
+        F.when((area < 2) & ~has_number, told("shaft", 0.95))
+        .when((area >= 2) & (area < 8) & ~has_number, told("closet", 0.90))
+        .when(has_number & (area >= 8), told("room", 0.95))
+        .when(has_number & (area < 8), told("room", 0.80))
+        .when(t.rlike("elev"), told("elevator_core", 0.90))
+        .when(t.rlike("stair"), told("elevator_core", 0.90))
+        .when(t.rlike("shaft|chase"), told("shaft", 0.90))
+        .when(t.rlike("closet|storage|utility"), told("closet", 0.85))
+        .when((adjacent > 2) & (area < 15), told("room", 0.75))
+        .when((doors > 2) & (area < 15), told("room", 0.85))
+        .when((aspect > 5) & (area < 20), told("shaft", 0.88))
+        .when((aspect > 3) & (area < 10), told("closet", 0.88))
+        .when(area < 4, told("closet", 0.70))
+        .otherwise(told("unassigned", 0.50))
+    )
+
+
 def keyword_lookup(rows: DataFrame, table: DataFrame, id: str, text: str, keys: str = "keys", value: str = "value") -> DataFrame:
     """id, value, reason: entries all of whose key words are in the text, without those whose words another's include; one distinct value or none.
 

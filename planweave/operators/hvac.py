@@ -58,3 +58,36 @@ def one_claim(claims: DataFrame, key: str, unit: str) -> DataFrame:
 def air_loops(boxes: DataFrame, unit: str = "unit", box: str = "box", flow: str = "flow") -> DataFrame:
     """unit, boxes, flow: one loop for each unit, its flow only if every box's is known."""
     return boxes.groupBy(unit).agg(F.array_join(F.array_sort(F.collect_set(box)), ",").alias("boxes"), poisoned_sum(flow).alias("flow"))
+
+
+LOAD_SLOTS = ("airflow", "airflow_min", "airflow_max", "outside_air_flow")  # fixed values: what zone loads are made of
+
+
+def zone_load_inputs(rows: DataFrame, systems: DataFrame) -> DataFrame:
+    """The values of a schedule that zone loads are made of, those of systems only where no row has them: equipment, field, value, unit, raw, sheet, row, cell."""
+    cols = ["equipment", "field", "value", "unit", "raw", "sheet", "row", "cell"]
+    keep = lambda t: t.where(F.col("field").isin(*LOAD_SLOTS)).select(cols)
+    both = keep(rows).withColumn("_from", F.lit(0)).unionByName(keep(systems).withColumn("_from", F.lit(1)))
+    w = Window.partitionBy("equipment", "field", "sheet", "cell").orderBy("_from", "row", "raw")
+    return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(cols)
+
+
+def sized(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(equipment, field, unit, total, n, issue; field, unit, total, n over all equipment): units never mix, an equipment whose stated values differ has no total."""
+    from planweave.operators.aggregates import slot_totals
+
+    by = ["equipment", "field", "unit"]
+    n = inputs.groupBy(*by).agg(F.count("value").alias("n"))
+    each = slot_totals(inputs.where("value is not null"), by, "value").join(n, by)
+    whole = each.where("total is not null").groupBy("field", "unit").agg(F.sum("total").alias("total"), F.count("*").alias("n"))
+    return each, whole
+
+
+def load_properties(density, area, lighting_w, activity_w, equipment_w_m2) -> F.Column:
+    """A space's load properties as a map, without those that aren't known or need an area that isn't above 0."""
+    has = (F.coalesce(density, F.lit(0.0)) > 0) & (F.coalesce(area, F.lit(0.0)) > 0)
+    known = F.create_map(
+        F.lit("OccupancyNumber"), F.when(has, F.round(density * area, 3)), F.lit("AreaPerOccupant"), F.when(has, F.round(1.0 / density, 3)), F.lit("Lighting"), F.when(lighting_w > 0, F.round(lighting_w, 3)),
+        F.lit("People"), F.when(has, F.round(density * area * activity_w, 3)), F.lit("EquipmentSensible"), F.when(F.coalesce(area, F.lit(0.0)) > 0, F.round(equipment_w_m2 * area, 3)),
+    )
+    return F.map_filter(known, lambda k, v: v.isNotNull())

@@ -10,6 +10,30 @@ from pyspark.sql import functions as F
 from planweave.functions import geometry as G
 
 
+UNTAGGED = "@untagged"
+
+
+def opening_place(o) -> F.Column:
+    """The centre of an opening along its facade: as stated, else the middle of its interval (a column of structs)."""
+    return F.coalesce(o.s_center_m, (o.host_interval_m[0] + o.host_interval_m[1]) / 2)
+
+
+def opening_height(o, elevation) -> F.Column:
+    """struct(z0, z1) of an opening, null without a sill; the top is its head, else its sill and height."""
+    top = F.coalesce(o.head_m, o.sill_m + F.coalesce(o.height_m, F.lit(0.0)))
+    return F.when(o.sill_m.isNotNull(), F.struct((elevation + o.sill_m).alias("z0"), (elevation + top).alias("z1")))
+
+
+def opening_group(o) -> F.Column:
+    """What openings must share to be one: facade, tag or none, category."""
+    return F.struct(o.host_facade.alias("facade"), F.coalesce(F.nullif(o.tag, F.lit("")), F.lit(UNTAGGED)).alias("tag"), o.category.alias("category"))
+
+
+def wall_area(area, length, height) -> F.Column:
+    """A wall segment's own area, else its length times its height."""
+    return F.coalesce(area, length * height)
+
+
 def fit_affine(ties: DataFrame, by: list[str]) -> DataFrame:
     """by, a..f, rms, n of x' = a x + b y + c, y' = d x + e y + f, by least squares over tie points (x, y, tx, ty);
     nulls for fewer than three points or points on one line."""

@@ -115,3 +115,44 @@ def automatic_values(corrections: DataFrame, key: list[str], order: str) -> Data
 def append_new(have: DataFrame, more: DataFrame, key: str) -> DataFrame:
     """have and those rows of more whose key it lacks: appending twice changes nothing."""
     return have.unionByName(more.dropDuplicates([key]).join(have.select(key), key, "left_anti"), allowMissingColumns=True)
+
+
+def correction_counts(corrections: DataFrame) -> DataFrame:
+    """total, undone, human and auto corrections."""
+    return corrections.agg(F.count("*").alias("total"), F.count_if(F.coalesce("undone", F.lit(False))).alias("undone"), F.count_if(F.col("source") == "human").alias("human"), F.count_if(F.col("source") == "auto").alias("auto"))
+
+
+def acknowledged(review: DataFrame) -> DataFrame:
+    """The review queue with everything that waits acknowledged; `now` says which items that changed."""
+    waits = F.coalesce(F.col("needs_review"), F.lit(False)) & ~F.coalesce(F.col("acknowledged"), F.lit(False))
+    return review.withColumn("now", waits).withColumn("acknowledged", F.coalesce(F.col("acknowledged"), F.lit(False)) | waits)
+
+
+def covered_partials(sheets: DataFrame) -> DataFrame:
+    """The partial plans whose discipline and level a full plan has, nulls being equal: file."""
+    key = lambda t, s: t.select("file", F.col("discipline").alias(f"d{s}"), F.col("level").alias(f"l{s}"))
+    full = key(sheets.where("kind in ('floor_plan', 'plan')"), "b").select("db", "lb").distinct()
+    return key(sheets.where("kind = 'partial_plan'"), "a").join(full, F.col("da").eqNullSafe(F.col("db")) & F.col("la").eqNullSafe(F.col("lb")), "left_semi").select("file")
+
+
+def first_of_each(rows: DataFrame, key: list, order: list) -> tuple[DataFrame, DataFrame]:
+    """(the first row of each key, the later ones); a null key is none and its rows all stay."""
+    w = Window.partitionBy("_key").orderBy(*order)
+    r = rows.withColumn("_key", F.struct(*key)).withColumn("_none", sum((c.isNull().cast("int") for c in key), F.lit(0)) > 0).withColumn("_r", F.row_number().over(w))
+    keep = (F.col("_r") == 1) | F.col("_none")
+    return r.where(keep).drop("_key", "_none", "_r"), r.where(~keep).drop("_key", "_none", "_r")
+
+
+def level_heights(levels: DataFrame, marks: DataFrame, stated: DataFrame, default: float = 3.0, agree: float = 0.05) -> DataFrame:
+    """level, height_m, source, conflict: a stated height over the mean of marks that agree over the default; marks that don't are named."""
+    m = marks.groupBy("level").agg(F.avg("height_m").alias("mean"), (F.max("height_m") - F.min("height_m")).alias("spread"), F.array_join(F.array_sort(F.collect_list(F.concat_ws(": ", "sheet", F.format_string("%.2f m", "height_m")))), "; ").alias("said"))
+    j = levels.select("level").join(m, "level", "left").join(stated.select("level", F.col("height_m").alias("config")), "level", "left")
+    agreed = F.coalesce(F.col("spread") <= agree, F.lit(False))
+    return j.select("level", F.when(F.col("config").isNotNull(), F.col("config")).when(agreed, F.round("mean", 4)).otherwise(default).alias("height_m"), F.when(F.col("config").isNotNull(), "config").when(agreed, "elevation_level_marks").otherwise("storey_height_default").alias("source"), F.when(F.col("config").isNull() & ~agreed & F.col("said").isNotNull(), F.col("said")).otherwise("").alias("conflict"))
+
+
+def arm_stats(runs: DataFrame, arm: str, metric: str, base: str) -> DataFrame:
+    """arm, n, mean, sd and the mean's distance from the base arm's."""
+    g = runs.groupBy(arm).agg(F.count(metric).alias("n"), F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("sd"))
+    of_base = g.where(F.col(arm) == base).select(F.col("mean").alias("_base"))
+    return g.crossJoin(of_base).select(arm, "n", "mean", "sd", (F.col("mean") - F.col("_base")).alias("delta"))

@@ -26,6 +26,13 @@ def last_wins(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame
     return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
+def last_wins_noted(rows: DataFrame, tag: str, order: list[Column]) -> DataFrame:
+    """The last row of each normalised tag, with a note that names the one before it where there was one."""
+    w = Window.partitionBy("key").orderBy(*[o.asc_nulls_first() for o in order])
+    r = rows.withColumn("key", normalize_tag(tag)).withColumn("_before", F.lag(tag).over(w)).withColumn("_after", F.lead(F.lit(1)).over(w)).where("_after is null")
+    return r.withColumn("note", F.when(F.col("_before").isNotNull(), F.concat(F.lit("duplicate of "), "_before", F.lit("; the last row wins")))).drop("_before", "_after")
+
+
 def first_wins(rows: DataFrame, key: list[str], order: list[Column], values: list[str]) -> tuple[DataFrame, DataFrame]:
     """(the first row of each key, later rows whose values differ from it)."""
     w = Window.partitionBy(*key).orderBy(*[o.asc_nulls_last() for o in order])

@@ -175,3 +175,33 @@ def archcad_primitives(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(schema).option("multiLine", True).json(path).select(F.input_file_name().alias("file"), F.explode("entities").alias("e"))
     points = F.when(F.upper("e.type") == "LINE", F.array("e.start", "e.end")).when(F.upper("e.type").isin("CIRCLE", "ARC", "ELLIPSE"), F.array("e.center", F.array(F.col("e.radius"), F.lit(0.0)))).otherwise(F.col("e.points"))
     return rows.select("file", F.upper("e.type").alias("kind"), points.alias("points"), F.col("e.semantic").alias("category"))
+
+
+def legend_tags(spark: SparkSession, path: str, kinds: list[str], schema: str) -> DataFrame:
+    """description (normalised), kind of a side file of legend tags; another schema or an unknown kind is an error."""
+    from planweave.functions.text import normalize_name
+
+    d = spark.read.schema("schema string, tags map<string,string>").option("multiLine", True).json(path)
+    checked = F.when(F.col("schema") == schema, F.col("tags")).otherwise(F.raise_error(F.concat(F.lit("another schema of legend tags: "), F.coalesce("schema", F.lit("none")))).cast("map<string,string>"))
+    rows = d.select(F.explode(checked).alias("description", "kind"))
+    known = F.when(F.col("kind").isin(*kinds), F.col("kind")).otherwise(F.raise_error(F.concat(F.lit("unknown class: "), F.coalesce("kind", F.lit("null")))).cast("string"))
+    return rows.select(normalize_name("description").alias("description"), known.alias("kind"))
+
+
+SHEET = "page_number int, width_pt double, height_pt double, kind string, primitives array<struct<kind: string, segments: array<array<array<double>>>, bbox: array<double>, stroke_width: double, layer: string>>, text array<struct<text: string, bbox: array<double>>>, images array<struct<bbox: array<double>>>"
+
+
+def sheets(spark: SparkSession, path: str) -> DataFrame:
+    """file and the ingested sheets under a path, with their schema; files that are no sheet have no page number."""
+    return spark.read.schema(SHEET).option("multiLine", True).json(path).withColumn("file", F.input_file_name())
+
+
+def sheet_index(pages: DataFrame) -> DataFrame:
+    """file, page_number, number, discipline, kind, level of each sheet: the lowest, rightmost text that is a sheet number, and the tallest that reads as a title."""
+    from planweave.functions import text as X
+
+    t = pages.select("file", "page_number", F.explode("text").alias("t")).select("file", "page_number", "t.text", "t.bbox")
+    n = t.withColumn("s", X.sheet_number("text")).where("s is not null").groupBy("file", "page_number").agg(F.max_by("s", F.struct(F.col("bbox")[3], F.col("bbox")[2], "text")).alias("s"))
+    title = t.withColumn("kind", X.sheet_type("text")).withColumn("level", X.level_of_title("text")).where("kind is not null or level is not null")
+    title = title.groupBy("file", "page_number").agg(F.max_by(F.struct("kind", "level"), F.struct(F.round(F.col("bbox")[3] - F.col("bbox")[1], 1), F.col("bbox")[3], "text")).alias("k"))
+    return pages.select("file", "page_number").join(n, ["file", "page_number"], "left").join(title, ["file", "page_number"], "left").select("file", "page_number", "s.number", "s.discipline", "k.kind", "k.level")
