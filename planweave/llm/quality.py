@@ -56,6 +56,7 @@ def text_features(texts: pa.Array) -> np.ndarray:
     mark = ~(low | up | digit | blank | high)
     odd = mark & ~np.isin(data, np.frombuffer(b".,;:'\"-()", np.uint8))
     twice = np.concatenate([[False], odd[1:] & (data[1:] == data[:-1])]) if len(data) else odd
+    twice[offsets[:-1][np.diff(offsets) > 0]] = False  # a text doesn't go on from the one before
     hashes = _words.Hasher(True).words(data, starts, ends)
     length = ends - starts
     same = np.concatenate([[False], hashes[1:] == hashes[:-1]]) if len(hashes) else np.zeros(0, bool)
