@@ -10,12 +10,6 @@ from planweave.plans.registry import query
 from planweave.streaming import events as E
 
 
-@query("""SELECT o_orderkey AS id, count(*) AS n FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) l ON o_orderkey = l_orderkey WHERE l_orderkey IS NULL GROUP BY 1""")
-def check_referential(t):
-    """References that nothing answers."""
-    return t.orders.join(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti").groupBy(F.col("o_orderkey").alias("id")).agg(F.count("*").alias("n"))
-
-
 @query("""WITH s AS (SELECT l_orderkey, sum(l_extendedprice) AS s FROM lineitem GROUP BY 1) SELECT o_orderkey, CASE WHEN o_totalprice = 0 THEN 'inf' WHEN abs(s - o_totalprice) / o_totalprice > 0.5 THEN 'error' WHEN abs(s - o_totalprice) / o_totalprice > 0.03 THEN 'warn' ELSE 'pass' END AS severity FROM orders JOIN s ON o_orderkey = l_orderkey""")
 def check_conservation(t):
     """Parts against their stated whole, by relative error."""
@@ -25,19 +19,6 @@ def check_conservation(t):
     return j.select("o_orderkey", F.when(e == float("inf"), "inf").when(e > 0.5, "error").when(e > 0.03, "warn").otherwise("pass").alias("severity"))
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
-def check_uniqueness(t):
-    """Keys that are there more than once."""
-    return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1")
-
-
-@query("SELECT l_returnflag, count(*) FILTER (WHERE l_discount > 0.08) AS above, round(count(*) FILTER (WHERE l_discount > 0.08) / count(*), 6) AS share FROM lineitem GROUP BY 1")
-def check_share(t):
-    """The share of rows beyond a bound."""
-    over = F.count_if(F.col("l_discount") > 0.08)
-    return t.lineitem.groupBy("l_returnflag").agg(over.alias("above"), F.round(over / F.count("*"), 6).alias("share"))
-
-
 @query("""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
 def stream_daily_counts(t):
     """Counts by day from a stream of event files."""

@@ -226,13 +226,6 @@ def space_duties(t):
     return _r(H.space_duties(bridge, areas, caps), "duty")
 
 
-@query("""SELECT r_name, round(regr_slope(s_acctbal, s_suppkey), 6) AS a, round(regr_intercept(s_acctbal, s_suppkey), 4) AS b FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
-def affine_fit(t):
-    """Least squares of one coordinate on another."""
-    j = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return j.groupBy("r_name").agg(F.round(F.regr_slope("s_acctbal", F.col("s_suppkey").cast("double")), 6).alias("a"), F.round(F.regr_intercept("s_acctbal", F.col("s_suppkey").cast("double")), 4).alias("b"))
-
-
 @query("""WITH n AS (SELECT p_partkey, list_distinct(string_split(upper(p_name), ' ')) AS ws FROM part), p AS (SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.ws, b.ws)) / len(list_distinct(list_concat(a.ws, b.ws))) AS j FROM n a JOIN n b ON a.p_partkey <> b.p_partkey WHERE len(list_intersect(a.ws, b.ws)) > 0)
 SELECT a, b, round(j, 6) AS j FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY j DESC, b) AS r FROM p) WHERE r <= 3""")
 def jaccard_suggest(t):

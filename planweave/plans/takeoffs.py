@@ -15,24 +15,24 @@ s AS (
   SELECT tag, width_m, height_m FROM (
     SELECT upper(replace(p_brand, ' ', '')) AS tag, p_size / 10.0::DOUBLE AS width_m, 2.0::DOUBLE AS height_m,
            row_number() OVER (PARTITION BY upper(replace(p_brand, ' ', '')) ORDER BY p_partkey DESC) AS r
-    FROM part WHERE p_size < 40) WHERE r = 1
+    FROM part) WHERE r = 1
 )"""
 
 
-def _schedule(t, least: int = 0):
-    rows = t.part.where("p_size < 40").select(T.normalize_tag("p_brand").alias("tag"), (F.col("p_size") / 10.0).alias("width_m"), F.lit(2.0).alias("height_m"), "p_partkey")
+def _schedule(t):
+    rows = t.part.select(T.normalize_tag("p_brand").alias("tag"), (F.col("p_size") / 10.0).alias("width_m"), F.lit(2.0).alias("height_m"), "p_partkey")
     return K.last_wins(rows, ["tag"], [F.col("p_partkey")]).drop("p_partkey")
 
 
 def _detections(t):
     return t.lineitem.join(t.part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).select(
-        F.when(F.col("l_linenumber") == 7, F.lit(" ")).otherwise(F.lower("p_brand")).alias("tag"), F.col("l_returnflag").alias("label"), F.col("l_discount").alias("tag_score"), "l_orderkey"
+        F.when(F.col("l_linenumber") == 7, F.lit(" ")).when(F.col("l_linenumber") == 6, F.concat(F.lit("x"), "p_brand")).otherwise(F.lower("p_brand")).alias("tag"), F.col("l_returnflag").alias("label"), F.col("l_discount").alias("tag_score"), "l_orderkey"
     )
 
 
 _DETECTIONS_SQL = """
 d AS (
-  SELECT CASE WHEN l_linenumber = 7 THEN '' ELSE upper(replace(p_brand, ' ', '')) END AS tag, l_returnflag AS label, l_discount AS tag_score
+  SELECT CASE WHEN l_linenumber = 7 THEN '' WHEN l_linenumber = 6 THEN 'X' || upper(replace(p_brand, ' ', '')) ELSE upper(replace(p_brand, ' ', '')) END AS tag, l_returnflag AS label, l_discount AS tag_score
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )"""
 
@@ -43,11 +43,10 @@ def takeoff_rollup(t):
     return K.rollup(_detections(t), _schedule(t)).lines
 
 
-@query(f"WITH {_SCHEDULE_SQL.replace('p_size < 40', 'p_partkey <= 20')}, {_DETECTIONS_SQL} SELECT d.tag, count(*) AS count FROM d LEFT JOIN s ON d.tag = s.tag WHERE s.tag IS NULL AND d.tag <> '' GROUP BY d.tag")
+@query(f"WITH {_SCHEDULE_SQL}, {_DETECTIONS_SQL} SELECT d.tag, count(*) AS count FROM d LEFT JOIN s ON d.tag = s.tag WHERE s.tag IS NULL AND d.tag <> '' GROUP BY d.tag")
 def takeoff_unmatched(t):
     """Tags that the schedule lacks."""
-    rows = t.part.where("p_partkey <= 20").select(T.normalize_tag("p_brand").alias("tag"), (F.col("p_size") / 10.0).alias("width_m"), F.lit(2.0).alias("height_m"), "p_partkey")
-    return K.rollup(_detections(t), K.last_wins(rows, ["tag"], [F.col("p_partkey")])).unmatched
+    return K.rollup(_detections(t), _schedule(t)).unmatched
 
 
 @query(f"WITH {_DETECTIONS_SQL} SELECT label, count(*) AS count FROM d WHERE tag = '' GROUP BY label")
@@ -120,23 +119,6 @@ def envelope_summary(t):
     return out.withColumns({"wall_area": F.round("wall_area", 2), "window_area": F.round("window_area", 2), "wwr": F.round("wwr", 6)})
 
 
-@query("SELECT count(*) AS n FROM nation")
-def space_count(t):
-    return t.nation.agg(F.count("*").alias("n"))
-
-
-@query("SELECT round(sum(coalesce(c_acctbal, 0)), 3) AS total FROM customer")
-def floor_area(t):
-    return t.customer.agg(F.round(F.sum(F.coalesce("c_acctbal", F.lit(0.0))), 3).alias("total"))
-
-
-@query("SELECT r_name AS zone, string_agg(n_name, ',' ORDER BY n_name) AS spaces FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY r_name")
-def zone_map(t):
-    """Zone to the spaces in it."""
-    j = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))  # at most 25 nations and 5 regions by definition
-    return j.groupBy(F.col("r_name").alias("zone")).agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("spaces"))
-
-
 @query("""SELECT coalesce(a.y, b.y) AS y, coalesce(na, 0) AS n_a, coalesce(nb, 0) AS n_b, coalesce(nb, 0) - coalesce(na, 0) AS delta
 FROM (SELECT year(l_shipdate)::INT AS y, count(*) AS na FROM lineitem GROUP BY 1) a FULL OUTER JOIN (SELECT year(o_orderdate)::INT AS y, count(*) AS nb FROM orders GROUP BY 1) b ON a.y = b.y WHERE coalesce(nb, 0) <> coalesce(na, 0)""")
 def reconcile_counts(t):
