@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from planweave.llm import _arrow, _blobs, _words
 from planweave.operators.components import connected_components
-from planweave.session import release, stored
+from planweave.session import discard, release, stored
 
 SAMPLES, ROWS, BITS = 128, 4, 512
 MARGIN = 0.22
@@ -316,6 +316,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
     block = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
     cols = ["k", "mb", "eb", "id", "seeks", "member", "component", "n_shingles", "odd", "bands", "parity"]
+    done = [nodes, buckets, sets, open_, edges, labels]
     for low, high in ((0, 8), (8, None)):
         now = unresolved(open_, labels)
         small = now.where(F.col("n") <= BLOCK).withColumn("mb", F.lit(0)).withColumn("eb", F.lit(0)).withColumn("member", F.lit(True))
@@ -326,10 +327,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
         spread = rows.repartition("k", "mb", "eb").sortWithinPartitions("k", "mb", "eb", "id")
         found = stored(spread.mapInArrow(*_arrow.batches(_sought(most, percent, low, high), "a bigint, b bigint")).distinct(), "neardup")
         more = stored(confirmed(found, True), "neardup")
+        done += [found, more]
         if not more.isEmpty():
             edges = edges.unionByName(more)
             labels = stored(connected_components(edges), "neardup")
+            done.append(labels)
 
+    for t in done:  # only base and the last labels are read by the result
+        if t is not labels:
+            discard(t)
     release(spark)
     of_key = least.join(labels, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
     out = base.select("doc_id", "n_shingles", "k1", "k2").join(of_key, ["k1", "k2"], "left")
