@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from planweave.llm import _arrow, _vectors, _words
 from planweave.operators.components import connected_components
-from planweave.session import stored
+from planweave.session import discard, stored
 
 LINKS = 12
 BUILD_BEAM = 48
@@ -301,6 +301,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id: str = "vec_id", v
                 )
 
     told = stored(met.mapInArrow(*_arrow.batches(run, "node bigint, links bigint, other bigint, recall double, beam bigint")), "hnsw")
+    discard(shards)
+    discard(asks)
     labels = connected_components(told.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = told.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"), F.min("recall").alias("recall"), F.max("beam").alias("beam"))
     nodes = points.select("label", "v", "node", "n").join(links, "node", "left").join(labels, "node", "left")
