@@ -49,6 +49,28 @@ def merge_targets(spaces: DataFrame, small: DataFrame, by: list[str], id: str =
     return small.select(F.col(id).alias("a")).join(best, "a", "left").select(F.col("a").alias(id), "target", "share", F.when(F.col("share").isNull(), F.lit("no neighbour")).otherwise(F.col("reason")).alias("reason"))
 
 
+def merged(spaces: DataFrame, small: DataFrame, by: list[str], id: str = "id", polygon: str = "polygon_m", guard: float = 0.005) -> tuple[DataFrame, DataFrame]:
+    """(by, id, outline, area_m2 and absorbed ids of the rooms left; the small ones that stay, with why).
+
+    A shaft or closet goes into the room that shares most of its wall, the two outlines becoming one.
+    """
+    from planweave.operators.polygons import joined_ring
+
+    to = merge_targets(spaces, small, by, id, polygon, guard)
+    gone = to.where("target is not null").select(F.col(id), "target")
+    taken = spaces.join(gone, id).groupBy(F.col("target").alias(id)).agg(F.collect_list(polygon).alias("_rings"), F.array_sort(F.collect_list(id)).alias("absorbed"))
+
+    @F.pandas_udf("array<array<double>>")
+    def outline(own, others):
+        return own.combine(others, lambda p, o: joined_ring([p, *o]))
+
+    left = spaces.join(gone.select(id), id, "left_anti").join(taken, id, "left")
+    ring = F.when(F.col("_rings").isNotNull(), outline(polygon, F.coalesce("_rings", F.array().cast(spaces.schema[polygon].dataType.simpleString().join(("array<", ">")))))).otherwise(F.col(polygon))
+    left = left.withColumn(polygon, ring)
+    kind = spaces.schema[id].dataType.simpleString()
+    return left.select(*by, id, polygon, G.area(polygon).alias("area_m2"), F.coalesce("absorbed", F.array().cast(f"array<{kind}>")).alias("absorbed")), to.where("target is null").select(id, "reason")
+
+
 def overlaps(a: DataFrame, b: DataFrame, by: list[str], cell: float, id: str = "id", polygon: str = "polygon_m") -> DataFrame:
     """by, a, b, area, area_a, area_b of pairs of convex outlines that overlap, found over grid cells."""
     from planweave.operators.polygons import _area, clip_convex

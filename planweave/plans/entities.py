@@ -218,3 +218,33 @@ def legend_tags(t):
     r = F.col("r_regionkey")
     tags = t.region.agg(F.to_json(F.struct(F.lit("tags/1").alias("schema"), F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit(" "), F.lower("r_name")), F.when(r % 2 == 0, "supply").otherwise("return")))).alias("tags"))).alias("value"), F.lit(0).alias("file"))
     return readers.legend_tags(t.spark, _text_files(t, tags, "tags"), ["supply", "return"], "tags/1")
+
+
+@query("""WITH r AS (SELECT c_custkey AS k, max(c_custkey) OVER () AS top FROM customer), s AS (SELECT k, CASE WHEN k + 7 <= top THEN k + 7 WHEN k + 1 <= top THEN NULL ELSE k - 1 END AS target FROM r WHERE k % 63 = 3)
+SELECT k AS id, CASE WHEN k IN (SELECT target FROM s) THEN 24.0 ELSE 12.0 END::DOUBLE AS area_m2, CASE WHEN k IN (SELECT target FROM s) THEN 1 ELSE 0 END AS n FROM r WHERE k NOT IN (SELECT k FROM s WHERE target IS NOT NULL)""")
+def merged_rooms(t):
+    """Closets merged into the room that shares most of their wall."""
+    k = F.col("c_custkey")
+    x, y = k % 7 * 4, F.floor(k / 7) % 9 * 3
+    rooms = t.customer.select(k.alias("id"), F.floor(k / 63).alias("level_id"), _ring(x, y, x + 4, y + 3).alias("polygon_m"))
+    left, _ = J.merged(rooms, rooms.where("id % 63 = 3"), ["level_id"])
+    return left.select("id", F.round("area_m2", 6).alias("area_m2"), F.size("absorbed").alias("n"))
+
+
+@query("""WITH q AS (SELECT p_partkey, p_size + 10.0 AS w, p_size % 7 + 8.0 AS h FROM part) SELECT p_partkey, ((w - 6) * (h - 6))::DOUBLE AS core, 2 * 3 * (w - 3) AS north_south, 2 * 3 * (h - 3) AS east_west, 5::BIGINT AS n FROM q""")
+def perimeter_zones(t):
+    """Zones along the sides of rooms and their cores."""
+    from planweave.operators import polygons as P
+
+    w, h = (F.col("p_size") + 10).cast("double"), (F.col("p_size") % 7 + 8).cast("double")
+    z = F.lit(0.0)
+
+    @F.pandas_udf("array<struct<facing: string, ring: array<array<double>>>>")
+    def zones(rings):
+        return rings.map(lambda r: [{"facing": f, "ring": p} for f, p in P.perimeter_core([list(v) for v in r], 3.0)])
+
+    from planweave.functions import geometry as G
+
+    parts = t.part.select("p_partkey", F.explode(zones(F.array(F.array(z, z), F.array(w, z), F.array(w, h), F.array(z, h)))).alias("p")).select("p_partkey", "p.facing", G.area("p.ring").alias("a"))
+    total = lambda *f: F.round(F.sum(F.when(F.col("facing").isin(*f), F.col("a")).otherwise(0.0)), 6)
+    return parts.groupBy("p_partkey").agg(total("core").alias("core"), total("north", "south").alias("north_south"), total("east", "west").alias("east_west"), F.count("*").alias("n"))

@@ -113,3 +113,15 @@ def test_volume_and_normals(spark):
     assert math.isclose(d.select(G.shell_volume("f")).first()[0], 1)
     r = d.select(G.plane_orientation(F.col("f")[2]).alias("o")).first().o
     assert math.isclose(r.tilt_deg, 90) and math.isclose(r.azimuth_deg, 180) and math.isclose(r.area, 1)
+
+
+def test_zones_of_other_shapes_and_joined_outlines():
+    hexagon = [[4.0, 0.0], [10.0, 0.0], [14.0, 6.0], [10.0, 12.0], [4.0, 12.0], [0.0, 6.0]]
+    parts = P.perimeter_core(hexagon, 2.0)
+    assert len(parts) == 7 and parts[-1][0] == "core" and math.isclose(sum(abs(P._area(p)) for _, p in parts), abs(P._area(hexagon)))
+    assert P.perimeter_core([[0, 0], [4, 0], [4, 1], [0, 1]], 3)[0][0] in ("north", "south") and not [k for k, _ in P.perimeter_core([[0, 0], [4, 0], [4, 1], [0, 1]], 3) if k == "core"]
+    assert P.perimeter_core([[0, 0], [4, 0], [4, 4], [2, 1], [0, 4]], 1)[0][0] == "unsplit"
+    ell = P.joined_ring([SQUARE, [[4, 1], [6, 1], [6, 3], [4, 3]]])
+    assert len(ell) == 8 and math.isclose(abs(P._area(ell)), 20)
+    assert math.isclose(abs(P._area(P.joined_ring([SQUARE, [[4, 0], [8, 0], [8, 4], [4, 4]]]))), 32) and len(P.joined_ring([SQUARE, [[4, 0], [8, 0], [8, 4], [4, 4]]])) == 4
+    assert P.joined_ring([SQUARE]) and P.joined_ring([]) == []
