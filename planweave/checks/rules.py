@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from planweave.functions import geometry as G
 from planweave.operators.polygons import union_areas
@@ -60,17 +61,29 @@ class Model:
 
     def __init__(self, spark: SparkSession, **tables: DataFrame):
         self.spark, self.tables = spark, tables
+        self._whole: dict[str, DataFrame] = {}
+        self._empty: dict[int, bool] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        if name not in self.tables:
-            return self.spark.createDataFrame([], TABLES[name])
-        t = self.tables[name]
-        for field in self.spark.createDataFrame([], TABLES[name]).schema.fields:
-            if field.name not in t.columns:
-                t = t.withColumn(field.name, F.lit(None).cast(field.dataType))
-        return t
+        if name not in self._whole:
+            schema = StructType.fromDDL(TABLES[name])
+            if name in self.tables:
+                t = self.tables[name]
+                self._whole[name] = t.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in t.columns})
+            else:
+                self._whole[name] = self.spark.createDataFrame([], schema)
+                self._empty[id(self._whole[name])] = True
+        return self._whole[name]
+
+    def is_empty(self, rows: DataFrame) -> bool:
+        """Whether there are no rows; asked once for each of the model's own tables."""
+        if not any(rows is t for t in self._whole.values()):
+            return rows.isEmpty()
+        if id(rows) not in self._empty:
+            self._empty[id(rows)] = rows.isEmpty()
+        return self._empty[id(rows)]
 
 
 def rule(check_id: str, name: str):
@@ -92,9 +105,9 @@ class Finding:
     why: str = ""
     nothing: tuple[str, str] = ("skip", "")  # severity and message where there was nothing to look at
 
-    def row(self, keep: int = 20) -> tuple[str, int, str, str]:
+    def row(self, model: Model, keep: int = 20) -> tuple[str, int, str, str]:
         """(severity, n_bad, message, the first entities): one aggregate, and the least `keep` ids only where there are any."""
-        if self.seen is not None and self.seen.isEmpty():
+        if self.seen is not None and model.is_empty(self.seen):
             return (self.nothing[0], 0, self.nothing[1], "")
         e = self.bad.select(F.col(self.entity).cast("string").alias("e"), (F.col("_severity") if "_severity" in self.bad.columns else F.lit(self.severity)).alias("s"))
         n, errors = e.agg(F.count("*"), F.count_if(F.col("s") == "error")).first()
@@ -497,7 +510,7 @@ def run(model: Model, only: list[str] | None = None, at_once: int = 8) -> DataFr
     def one(rule: tuple[str, str, Callable]) -> tuple:
         check_id, name, f = rule
         try:
-            return (check_id, name, *f(model).row())
+            return (check_id, name, *f(model).row(model))
         except Exception as failed:
             return (check_id, name, "error", 0, f"the rule failed: {type(failed).__name__}", "")
 
