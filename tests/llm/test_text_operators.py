@@ -571,3 +571,74 @@ def test_op1_against_the_library(spark, data):
     for r in got:
         t = docs[r.doc_id]
         assert (r.ids, r.n_ids, r.round_trip) == ((None, None, None) if t is None else (sp.encode(t), len(r.ids), True))
+
+
+def plain_mix64(x):
+    m = (1 << 64) - 1
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & m
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & m
+    return x ^ (x >> 31)
+
+
+def plain_words_in_trigrams(text):
+    """Slots of the trigrams of each word: those that end on one of its bytes or right after."""
+    letters = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in text.encode())
+    s, out = b"  " + letters + b"  ", []
+    for i in range(len(s) - 2):
+        if s[i + 2] != 32 and s[i + 1] == 32:
+            out.append([])
+        if s[i + 2] != 32 or s[i + 1] != 32:
+            out[-1].append(plain_mix64(s[i] << 16 | s[i + 1] << 8 | s[i + 2]) >> 48)
+    return out
+
+
+def test_op6_against_a_plain_version(spark, data):
+    """Counts by hand, then every language set of a document, in the order of the full mixture's proportions, by plain EM."""
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang").collect()}
+    held = {i for i in docs if zlib.crc32(str(i).encode()) % 3 == 1}
+    words_of = {i: plain_words_in_trigrams(r.text or "") for i, r in docs.items()}
+    langs = sorted({r.lang for i, r in docs.items() if i not in held and r.lang is not None and r.text is not None})
+    counts = {x: Counter() for x in langs}
+    for i, r in docs.items():
+        if i not in held and r.lang is not None and r.text is not None:
+            counts[r.lang].update(s for w in words_of[i] for s in w)
+    total = {x: sum(c.values()) + 0.5 * langid.SLOTS for x, c in counts.items()}
+    log = {x: lambda s, x=x: float(np.float32(np.log((counts[x][s] + 0.5) / total[x]))) for x in langs}
+    known: dict = {}
+
+    def likelihoods(w):
+        key = tuple(w)
+        if key not in known:
+            known[key] = np.array([sum(log[x](s) for s in w) for x in langs])
+        return known[key]
+
+    def em(like, allowed):
+        share = allowed / allowed.sum()
+        for _ in range(12):
+            joint = like * share
+            share = (joint / np.maximum(joint.sum(axis=1, keepdims=True), 1e-30)).sum(axis=0) / len(like)
+        return share, np.log(np.maximum((like * share).sum(axis=1), 1e-30)).sum()
+
+    got = {r.doc_id: r for r in langid.op6_language(spark, data).collect()}
+    assert set(got) == set(docs)
+    short = sorted(docs, key=lambda i: len(words_of[i]))[:150]
+    for i in short:
+        r, ws = got[i], words_of[i]
+        assert r.held_out == (i in held)
+        if not ws or not re.search(r"\w", docs[i].text or ""):
+            continue
+        word = np.array([likelihoods(w) for w in ws])
+        top = word.max(axis=1)
+        like = np.exp(np.maximum(word - top[:, None], -60))
+        order = np.argsort(-em(like, np.ones(len(langs)))[0], kind="stable")
+        single = word.sum(axis=0)
+        best, share = single.max(), np.eye(len(langs))[single.argmax()]
+        for size in range(2, len(langs) + 1):
+            allowed = np.zeros(len(langs))
+            allowed[order[:size]] = 1
+            s, ll = em(like, allowed)
+            if (now := ll + top.sum() - 3.0 * (size - 1) * np.log(len(ws) + 1)) > best + 1e-6:
+                best, share = now, s
+        assert r.lang_pred == langs[int(share.argmax())] or r.lang_pred == "und", i
+        if r.lang_pred != "und" and (share > 0).sum() > 1:
+            assert r.score == pytest.approx(float(share.max()), abs=1e-3)
