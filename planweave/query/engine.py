@@ -52,6 +52,13 @@ def dispatch_column(text: Column) -> Column:
     return out
 
 
+def plain_number(x: Column) -> Column:
+    """A double, rounded to thousandths before, in figures: no exponent under 1e16 (Spark's cast has one from 1e7)."""
+    cast = x.cast("string")
+    figures = F.regexp_replace(x.cast("decimal(38,3)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.abs(x) < 1e16, figures).otherwise(F.regexp_replace(cast, r"(\.0)?E", "e+"))
+
+
 class Engine:
     """Questions over one model; bearing_deg is the building's, clockwise from north."""
 
@@ -65,7 +72,7 @@ class Engine:
         return self.model.spaces.agg(F.count("*").cast("string").alias("answer"))
 
     def total_floor_area(self) -> DataFrame:
-        return self.model.spaces.agg(F.round(F.sum(F.coalesce("area_m2", F.lit(0.0))), 3).cast("string").alias("answer"))
+        return self.model.spaces.agg(plain_number(F.round(F.sum(F.coalesce("area_m2", F.lit(0.0))), 3)).alias("answer"))
 
     def building_orientation(self) -> DataFrame:
         return self.model.spark.range(1).select(cardinal(F.lit(self.bearing).cast("double")).alias("answer"))

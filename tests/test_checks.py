@@ -104,3 +104,10 @@ def test_questions(spark):
     assert ask("list zones")[0] == '{"z1":["L1-101","L1-102"]}' and '"wwr":0.0375' in ask("WWR")[0]
     assert dispatch(None) is None and len(e.available()) == 5
     assert e.space_by_number("101").count() == 1 and e.zones_of_space("L1-101").first()[0] == "z1" and e.spaces_of_zone("z1").count() == 2
+
+
+def test_large_areas_have_no_exponent(spark):
+    for areas, want in (([67842000.0, 50.0], "67842050.0"), ([12345678.25, 0.0], "12345678.25"), ([9e15, 5e14], "9500000000000000.0"), ([1.5e16, 0.0], "1.5e+16"), ([0.001, None], "0.001"), ([-2e7, None], "-20000000.0")):
+        m = rules.Model(spark, spaces=spark.createDataFrame([("a", areas[0]), ("b", areas[1])], "id string, area_m2 double"))
+        assert Engine(m).query("total floor area").first().answer == want
+    assert Engine(rules.Model(spark)).query("total floor area").first().answer is None
