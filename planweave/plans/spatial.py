@@ -167,7 +167,7 @@ def overlapping_pairs(t):
 @query("""SELECT user_id, count(*) AS n_islands, max(n) AS longest FROM (SELECT user_id, island, count(*) AS n FROM (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY h, event_id ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT user_id, event_id, epoch(ts) / 3600 AS h, CASE WHEN coalesce(epoch(ts) / 3600 - lag(epoch(ts) / 3600) OVER (PARTITION BY user_id ORDER BY ts, event_id), 1e9) > 6 THEN 1 ELSE 0 END AS new FROM events)) GROUP BY 1, 2) GROUP BY 1""")
 def gaps_islands(t):
     """Runs of events without a gap of over six hours."""
-    e = t.events.select("user_id", "event_id", (F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).alias("h"))
+    e = t.events.select("user_id", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 / 3600).alias("h"))
     runs = W.islands(e, ["user_id"], "h", 6, ["event_id"]).groupBy("user_id", "island").agg(F.count("*").alias("n"))
     return runs.groupBy("user_id").agg(F.count("*").alias("n_islands"), F.max("n").alias("longest"))
 

@@ -1,6 +1,7 @@
 import math
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from planweave.operators import revisions as R
 from planweave.operators import spatial as S
 from planweave.operators import takeoff as K
 from planweave.operators.components import connected_components
+from planweave.plans import catalog
 
 
 def rows(df):
@@ -166,3 +168,18 @@ def test_box_shares(spark):
     u = spark.createDataFrame([("u1", None), ("u2", 10.0), ("u4", 20.0)], "unit string, fan_flow double")
     got = {r.box: (r.share, r.reason) for r in H.box_shares(b, u).collect()}
     assert got == {"a": (0.4, None), "b": (0.6, None), "c": (None, "no flow"), "d": (None, "no unit"), "e": (None, "over one")}
+
+
+def test_gaps_count_parts_of_seconds(spark, tmp_path):
+    at = lambda *s: F.to_timestamp_ntz(F.lit("2024-01-01 " + s[0]))
+    rows_ = [(1, 1, "00:00:00.900000"), (1, 2, "06:00:00.100000"), (2, 3, "00:00:00.100000"), (2, 4, "06:00:00.900000"), (3, 5, "00:00:00.500000"), (3, 6, "06:00:00.500000")]
+    d = None
+    for user, event, clock in rows_:
+        r = spark.range(1).select(F.lit(user).cast("long").alias("user_id"), F.lit(event).cast("long").alias("event_id"), at(clock).alias("ts"))
+        d = r if d is None else d.unionByName(r)
+    d.write.parquet(str(tmp_path / "events.parquet"))
+    got = rows(catalog.QUERIES["gaps_islands"](spark, str(tmp_path)))
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert got == sorted(con.execute(catalog.ORACLE["gaps_islands"]).fetchall())
+    assert [r[:2] for r in got][:2] == [(1, 1), (2, 2)]
