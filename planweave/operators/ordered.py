@@ -14,8 +14,12 @@ def islands(rows: DataFrame, by: list[str], order: str, gap, ties: list[str] = (
 
 
 def merged_intervals(rows: DataFrame, by: list[str], lo: str, hi: str, slack: float = 0.0) -> DataFrame:
-    """by, lo, hi, n: intervals joined where one begins within `slack` of the furthest end so far."""
-    w = Window.partitionBy(*by).orderBy(lo, hi)
+    """by, lo, hi, n: intervals joined where one begins within `slack` of the furthest end so far.
+
+    A null sorts last, as in SQL.  Intervals with equal ends are alike, so their order changes nothing:
+    both sums below go over one and the same sorted rows.
+    """
+    w = Window.partitionBy(*by).orderBy(F.asc_nulls_last(lo), F.asc_nulls_last(hi))
     reach = F.max(hi).over(w.rowsBetween(Window.unboundedPreceding, -1))
     r = rows.withColumn("_new", F.when(reach.isNull() | (F.col(lo) > reach + slack), 1).otherwise(0)).withColumn("_g", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return r.groupBy(*by, "_g").agg(F.min(lo).alias(lo), F.max(hi).alias(hi), F.count("*").alias("n")).drop("_g")

@@ -183,3 +183,10 @@ def test_gaps_count_parts_of_seconds(spark, tmp_path):
     con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
     assert got == sorted(con.execute(catalog.ORACLE["gaps_islands"]).fetchall())
     assert [r[:2] for r in got][:2] == [(1, 1), (2, 2)]
+
+
+def test_intervals_without_an_end_come_last(spark):
+    # At one start the open end sorts behind, as SQL has it, and starts nothing of its own.
+    d = spark.createDataFrame([("a", 3.0, None), ("a", 3.0, 4.0), ("a", 3.0, 4.0), ("b", 1.0, None), ("b", 2.0, 5.0), ("c", None, 1.0), ("c", 3.0, 4.0)], "k string, lo double, hi double")
+    got = sorted((tuple(r) for r in W.merged_intervals(d, ["k"], "lo", "hi", 1.0).collect()), key=str)
+    assert got == [("a", 3.0, 4.0, 3), ("b", 1.0, None, 1), ("b", 2.0, 5.0, 1), ("c", 3.0, 4.0, 2)]
