@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from planweave.functions import geometry as G
 
 
+SMALL_SCHEDULE = 10_000
+
+
 def _cells(x0: Column, x1: Column, size: float) -> Column:
     return F.sequence(F.floor(x0 / size), F.floor(x1 / size))
 
@@ -75,11 +78,17 @@ def match_intervals(spans: DataFrame, segments: DataFrame, span_id: str, segment
 
 
 def size_candidates(items: DataFrame, schedule: DataFrame, item_id: str, within: float = 0.15, w: str = "width_m", h: str = "height_m", tag: str = "tag") -> DataFrame:
-    """item_id, tag, distance, rank: schedule rows whose width and height lie within a distance, nearest first."""
+    """item_id, tag, distance, rank: schedule rows whose width and height lie within a distance, nearest first.
+
+    A schedule's rows go to nine cells, an item to one.  A schedule of up to SMALL_SCHEDULE rows is broadcast; beyond,
+    both sides are sorted.  Items are never broadcast: their files tell Spark little of their size.
+    """
     cells = lambda c, d: F.explode(F.array(*[F.floor(F.col(c) / within) + k for k in d]))
-    s = schedule.select(F.col(tag).alias("tag"), F.col(w).alias("sw"), F.col(h).alias("sh")).withColumn("cw", F.floor(F.col("sw") / within)).withColumn("ch", F.floor(F.col("sh") / within))
-    i = items.select(F.col(item_id), F.col(w).alias("w"), F.col(h).alias("h")).withColumn("cw", cells("w", (-1, 0, 1))).withColumn("ch", cells("h", (-1, 0, 1)))
-    met = i.join(s, ["cw", "ch"]).withColumn("distance", F.hypot(F.col("w") - F.col("sw"), F.col("h") - F.col("sh"))).where(F.col("distance") <= within)
+    s = schedule.select(F.col(tag).alias("tag"), F.col(w).alias("sw"), F.col(h).alias("sh"))
+    how = "broadcast" if s.limit(SMALL_SCHEDULE + 1).count() <= SMALL_SCHEDULE else "merge"
+    s = s.withColumn("cw", cells("sw", (-1, 0, 1))).withColumn("ch", cells("sh", (-1, 0, 1)))
+    i = items.select(F.col(item_id), F.col(w).alias("w"), F.col(h).alias("h")).withColumn("cw", F.floor(F.col("w") / within)).withColumn("ch", F.floor(F.col("h") / within))
+    met = i.join(s.hint(how), ["cw", "ch"]).withColumn("distance", F.hypot(F.col("w") - F.col("sw"), F.col("h") - F.col("sh"))).where(F.col("distance") <= within)
     return met.withColumn("rank", F.row_number().over(Window.partitionBy(item_id).orderBy("distance", "tag"))).select(item_id, "tag", "distance", "rank")
 
 

@@ -190,3 +190,24 @@ def test_intervals_without_an_end_come_last(spark):
     d = spark.createDataFrame([("a", 3.0, None), ("a", 3.0, 4.0), ("a", 3.0, 4.0), ("b", 1.0, None), ("b", 2.0, 5.0), ("c", None, 1.0), ("c", 3.0, 4.0)], "k string, lo double, hi double")
     got = sorted((tuple(r) for r in W.merged_intervals(d, ["k"], "lo", "hi", 1.0).collect()), key=str)
     assert got == [("a", 3.0, 4.0, 3), ("b", 1.0, None, 1), ("b", 2.0, 5.0, 1), ("c", 3.0, 4.0, 2)]
+
+
+def broadcasts(df):
+    """The sides that a plan broadcasts, before it runs."""
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_items_are_not_broadcast_to_a_schedule(spark, tmp_path, monkeypatch):
+    random.seed(3)
+    items = [(i, random.random() * 9, random.random() * 9) for i in range(200)]
+    sizes = [(f"T{i}", random.random() * 9 - 1, random.random() * 9) for i in range(30)]
+    spark.createDataFrame(items, "id long, width_m double, height_m double").write.parquet(str(tmp_path / "items"))
+    i, s = spark.read.parquet(str(tmp_path / "items")), spark.createDataFrame(sizes, "tag string, width_m double, height_m double")
+    want = sorted((a, t, n + 1) for a, w, h in items for n, (d, t) in enumerate(sorted((math.hypot(w - sw, h - sh), t) for t, sw, sh in sizes if math.hypot(w - sw, h - sh) <= 1.0)))
+    small = S.size_candidates(i, s, "id", 1.0)
+    # One broadcast: the schedule, though its size is not known to Spark and the items' file is small.
+    assert broadcasts(small) == 1 and "BuildRight" in small._jdf.queryExecution().executedPlan().toString()
+    assert rows(small.select("id", "tag", "rank")) == want
+    monkeypatch.setattr(S, "SMALL_SCHEDULE", 5)
+    large = S.size_candidates(i, s, "id", 1.0)
+    assert broadcasts(large) == 0 and rows(large.select("id", "tag", "rank")) == want
