@@ -114,17 +114,26 @@ def same_rows_agree(rows: DataFrame, keys: list[str], value: str, unit: str) ->
     return g.select(*keys, F.when(agree, F.col("v")).alias("value"), F.when(agree, F.lit("high")).otherwise(F.lit("low")).alias("confidence"))
 
 
-def title_matches(a: DataFrame, b: DataFrame, by: list[str], id: str = "id", title: str = "title", least: float = 0.85) -> DataFrame:
+def title_matches(a: DataFrame, b: DataFrame, by: list[str], id: str = "id", title: str = "title", least: float = 0.85, few: int = 1000) -> DataFrame:
     """a_id, b_id, ratio: the title in b most like each in a by edit distance over the longer length, within blocks.
 
-    Titles meet by a piece: one of n letters can differ from a partner by no
+    In blocks of up to `few` titles in b every pair is compared.  In larger
+    ones titles meet by a piece: one of n letters can differ from a partner by no
     more than d edits, so of its d + 1 pieces at least one stands in the partner,
     at most d places off.  Nothing that reaches `least` (over a half) is missed.
+    A title has some thousand pieces, lengths and places, hence the first way.
+    Both sides are sorted: their files tell Spark little of their size, and it would broadcast them.
     """
     if not 0.5 < least <= 1:
         raise ValueError("least must lie over a half, up to 1")
     x = a.select(*by, F.col(id).alias("a_id"), normalize_name(title).alias("x")).where("x is not null")
     y = b.select(*by, F.col(id).alias("b_id"), normalize_name(title).alias("y")).where("y is not null")
+    sizes = y.groupBy(*by).agg(F.count("*").alias("_m"))
+    of = lambda t, which: t.join(sizes.where(which).select(*by).hint("merge"), by, "left_semi")
+    ratio = 1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"), F.lit(1))
+    near = F.least(F.length("x"), F.length("y")) >= least * F.greatest(F.length("x"), F.length("y")) - 1e-9
+    direct = of(x, F.col("_m") <= few).join(y.hint("merge"), by).where(near).select("a_id", "b_id", "x", "y")
+    x, y = of(x, F.col("_m") > few), of(y, F.col("_m") > few)
 
     def pieces(t: DataFrame) -> DataFrame:
         t = t.withColumn("d", F.expr(f"cast(floor({1 - least!r} * floor(n / {least!r} + 1e-9) + 1e-9) as int)")).withColumn("k", F.explode(F.expr("sequence(0, d)")))
@@ -134,8 +143,8 @@ def title_matches(a: DataFrame, b: DataFrame, by: list[str], id: str = "id", tit
     lengths = F.expr(f"sequence(cast(ceil(length(x) * {least!r} - 1e-9) as int), cast(floor(length(x) / {least!r} + 1e-9) as int))")
     asked = pieces(x.withColumn("n", F.explode(lengths))).withColumn("at", F.explode(F.expr("sequence(start - d, start + d)"))).where("at >= 0 and at + size <= length(x)")
     asked = asked.withColumn("piece", F.expr("substring(x, at + 1, size)")).select(*by, "n", "k", "piece", "a_id", "x").distinct()
-    ratio = 1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"), F.lit(1))
-    j = asked.join(held, [*by, "n", "k", "piece"]).dropDuplicates(["a_id", "b_id"]).withColumn("ratio", ratio).where(F.col("ratio") >= least)
+    met = asked.join(held.hint("merge"), [*by, "n", "k", "piece"]).select("a_id", "b_id", "x", "y").dropDuplicates(["a_id", "b_id"])
+    j = direct.unionByName(met).withColumn("ratio", ratio).where(F.col("ratio") >= least)
     return j.withColumn("r", F.row_number().over(Window.partitionBy("a_id").orderBy(F.desc("ratio"), "b_id"))).where("r = 1").select("a_id", "b_id", "ratio")
 
 

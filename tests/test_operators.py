@@ -211,3 +211,8 @@ def test_items_are_not_broadcast_to_a_schedule(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(S, "SMALL_SCHEDULE", 5)
     large = S.size_candidates(i, s, "id", 1.0)
     assert broadcasts(large) == 0 and rows(large.select("id", "tag", "rank")) == want
+
+
+def test_adjudicated_items_are_not_broadcast(spark, data):
+    plan = catalog.QUERIES["adjudicated_tags"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and plan.count("BuildRight") == 2
