@@ -5,9 +5,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from planweave.functions.text import normalize_name
 from planweave.operators import aggregates as A
 from planweave.operators import fill as L
 from planweave.operators import hvac as H
+from planweave.operators import linking as N
 from planweave.operators import ordered as W
 from planweave.operators import revisions as R
 from planweave.operators import spatial as S
@@ -216,3 +218,18 @@ def test_items_are_not_broadcast_to_a_schedule(spark, tmp_path, monkeypatch):
 def test_adjudicated_items_are_not_broadcast(spark, data):
     plan = catalog.QUERIES["adjudicated_tags"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "BuildLeft" not in plan and plan.count("BuildRight") == 2
+
+
+def test_titles_are_not_broadcast(spark, tmp_path):
+    random.seed(5)
+    word = lambda: "".join(random.choice("abc ") for _ in range(random.randrange(0, 9))).strip()
+    a, b = [(i, i % 3, f"plan {word()}" if i % 9 else word()) for i in range(90)], [(i, i % 3 if i % 7 else 0, f"plan {word()}" if i % 9 else word()) for i in range(70)]
+    for name, t in (("a", a), ("b", b)):
+        spark.createDataFrame(t, "id long, g int, title string").write.parquet(str(tmp_path / name))
+    x, y = (spark.read.parquet(str(tmp_path / n)) for n in "ab")
+    got = [N.title_matches(x, y, ["g"], least=0.7, few=few) for few in (1000, 25, 0)]
+    assert [broadcasts(t) for t in got] == [0, 0, 0]
+    pairs = x.alias("a").join(y.alias("b"), F.col("a.g") == F.col("b.g")).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), normalize_name("a.title").alias("x"), normalize_name("b.title").alias("y"))
+    ratio = 1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"), F.lit(1))
+    want = rows(pairs.withColumn("r", ratio).where("r >= 0.7").groupBy("a_id").agg(F.min(F.struct(-F.col("r"), "b_id")).alias("m")).select("a_id", "m.b_id"))
+    assert len(want) > 20 and all(rows(t.select("a_id", "b_id")) == want for t in got)
