@@ -41,7 +41,7 @@ def model(t):
     footprints = spaces.join(t.region, F.col("level_id") == F.col("r_name")).groupBy("level_id").agg((F.sum("area_m2") * (1 + 0.1 * (F.max(r) % 2))).alias("area_m2"), F.lit(100.0).alias("perimeter_m"))
     o = F.col("o_orderkey")
     kind = F.when(o % 43 == 0, F.lit("skylight")).when(F.col("o_orderstatus") == "O", F.lit("window")).otherwise(F.lit("door"))
-    of_space = spaces.select(F.col("k").alias("o_custkey"), F.col("id").alias("sid"))
+    of_space = spaces.select(F.col("k").alias("o_custkey"), F.col("id").alias("sid")).hint("merge")
     openings = t.orders.join(of_space, "o_custkey", "left").select(
         o.cast("string").alias("id"), F.when(o % 37 != 0, F.col("sid")).alias("space_id"), F.when(o % 41 != 0, F.col("o_orderpriority")).otherwise(F.lit(" ")).alias("tag"), kind.alias("category"),
         F.lit(1.0).alias("width_m"), F.when(o % 53 == 0, 0.0).otherwise(2.0).alias("height_m"), F.lit(2.0).alias("area_m2"), F.lit("A-201").alias("sheet_id"), _pick(o, _FACADES).alias("host_facade"),
@@ -55,15 +55,15 @@ def model(t):
     )
     schedules = t.orders.select(F.col("o_orderpriority").alias("tag")).distinct().where("tag <> '5-LOW'").select("tag", F.lit(1.0).alias("width_m"), F.when(F.col("tag") == "2-HIGH", 3.0).otherwise(2.0).alias("height_m"), F.lit(None).cast("double").alias("watts"))
     lamps = t.part.select(F.col("p_type").alias("tag")).distinct().where("tag <> 'PROMO'").select("tag", F.lit(None).cast("double").alias("width_m"), F.lit(None).cast("double").alias("height_m"), F.lit(60.0).alias("watts"))
-    fixtures = t.part.join(spaces.select(F.col("k").alias("p_partkey"), F.col("id").alias("space_id")), "p_partkey", "left").select(F.concat(F.lit("F"), F.col("p_partkey")).alias("id"), "space_id", F.col("p_type").alias("tag"), F.when(F.col("p_partkey") % 19 != 0, F.lit("E-1")).alias("sheet_id"))
+    fixtures = t.part.join(spaces.select(F.col("k").alias("p_partkey"), F.col("id").alias("space_id")).hint("merge"), "p_partkey", "left").select(F.concat(F.lit("F"), F.col("p_partkey")).alias("id"), "space_id", F.col("p_type").alias("tag"), F.when(F.col("p_partkey") % 19 != 0, F.lit("E-1")).alias("sheet_id"))
     n = F.col("n_nationkey")
     zones = t.nation.select(F.concat(F.lit("Z"), n).alias("id"), (n % 6).cast("long").alias("n_diffusers"), _pick(n, ("AHU", "VAV")).alias("system"), (n % 3 + 2.0).alias("efficiency"), F.lit("small").alias("size_class"))
-    zone = t.customer.select(F.concat(F.lit("Z"), F.col("c_nationkey")).alias("zone_id"), k.alias("k")).join(spaces.select("k", F.col("id").alias("space_id")), "k")
+    zone = t.customer.select(F.concat(F.lit("Z"), F.col("c_nationkey")).alias("zone_id"), k.alias("k")).join(spaces.select("k", F.col("id").alias("space_id")).hint("merge"), "k")
     zone_spaces = zone.where("k % 10 <> 0").select("zone_id", "space_id")
     space_zones = zone.where("k % 10 <> 0 and k % 20 <> 1").select("space_id", "zone_id").unionByName(zone.where("k % 90 = 0").select("space_id", F.lit("Z99").alias("zone_id")))
     components = spaces.select(F.concat(F.lit("C"), F.col("k") - F.when(F.col("k") % 6 == 1, 1).otherwise(0)).alias("id"), F.col("id").alias("space_id"), F.lit("M-1").alias("sheet_id"))
     top = t.region.agg(F.max_by("r_name", "r_regionkey").alias("level_id"))
-    roofs = t.nation.crossJoin(top).join(spaces.select("k", F.col("id").alias("sid")), n == F.col("k"), "left").select(F.concat(F.lit("R"), n).alias("id"), F.col("sid").alias("space_id"), "level_id", (n + 1.0).alias("area_m2"), F.lit(0.0).alias("tilt_deg"), F.lit(None).cast("double").alias("azimuth_deg"), (n % 4 / 8).alias("u_si"), F.lit("metal").alias("construction"))
+    roofs = t.nation.crossJoin(top).join(spaces.select("k", F.col("id").alias("sid")).hint("merge"), n == F.col("k"), "left").select(F.concat(F.lit("R"), n).alias("id"), F.col("sid").alias("space_id"), "level_id", (n + 1.0).alias("area_m2"), F.lit(0.0).alias("tilt_deg"), F.lit(None).cast("double").alias("azimuth_deg"), (n % 4 / 8).alias("u_si"), F.lit("metal").alias("construction"))
     daylight = t.orders.where("o_orderstatus = 'O'").join(of_space, "o_custkey").select(o.cast("string").alias("id"), F.col("sid").alias("space_id"), F.lit(400.0).alias("area_m2"))
     shading = t.supplier.select(F.concat(F.lit("H"), s).alias("id"), F.concat(F.when(s % 8 == 0, F.lit("X")).otherwise(F.lit("W")), s).alias("host_id"), (s % 7).cast("double").alias("depth_m"))
     review = t.orders.where("o_orderkey % 100 = 1").select(o.cast("string").alias("id"), F.when(o % 500 == 1, F.lit("fixture_unmatched")).otherwise(F.lit("kind")).alias("kind"), F.when(o % 300 != 1, F.lit("text")).alias("description"), F.lit("open").alias("status"), (o % 200 == 1).alias("needs_review"), F.lit(False).alias("acknowledged"))

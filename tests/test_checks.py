@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from planweave.checks import rules
+from planweave.plans import battery
+from planweave.plans.registry import Tables
 from planweave.query.engine import Engine, dispatch
 
 ROOM = lambda x: [[x, 0.0], [x + 5.0, 0.0], [x + 5.0, 6.0], [x, 6.0]]
@@ -111,3 +113,27 @@ def test_large_areas_have_no_exponent(spark):
         m = rules.Model(spark, spaces=spark.createDataFrame([("a", areas[0]), ("b", areas[1])], "id string, area_m2 double"))
         assert Engine(m).query("total floor area").first().answer == want
     assert Engine(rules.Model(spark)).query("total floor area").first().answer is None
+
+
+def test_repeated_openings_are_counted_without_their_pairs(spark):
+    import random
+
+    r = random.Random(4)
+    levels = spark.createDataFrame([(f"L{i}", f"L{i}", 3.0 * i, 3.0) for i in range(3)], "id string, name string, elevation_z_m double, wall_height_m double")
+    spaces = spark.createDataFrame([(f"s{i}", f"L{i}") for i in range(3)], "id string, level_id string")
+    rows = [(f"o{i:03}", f"s{i % 3}", "W1" if i % 5 else None, "window", r.choice("ns"), None if i % 17 == 0 else r.randrange(-4, 5) * 0.05 + r.choice((0.0, 0.01)), r.choice((1.0, 1.15, 1.3))) for i in range(240)]
+    openings = spark.createDataFrame(rows, "id string, space_id string, tag string, category string, host_facade string, s_center_m double, width_m double")
+    pairs = [a[0] for a in rows for b in rows if a[2] and a[2] == b[2] and a[4] == b[4] and int(b[1][1]) == int(a[1][1]) + 1 and None not in (a[5], b[5]) and abs(a[5] - b[5]) <= 0.05 and abs(a[6] - b[6]) <= 0.15]
+    m = rules.Model(spark, levels=levels, spaces=spaces, openings=openings)
+    got = rules.run(m, ["I11"]).first()
+    assert (got.severity, got.n_bad, got.entities) == ("warn", len(pairs), ",".join(sorted(pairs)[:20])) and len(pairs) > 400
+    found = next(f for check, _, f in rules.RULES if check == "I11")(m)
+    assert found.bad.count() == len(set(pairs))
+
+
+def test_spaces_are_not_broadcast(spark, data):
+    m = battery.model(Tables(spark, data))
+    for check, _, f in rules.RULES:
+        if check in ("C09", "I07", "I09", "I12", "E03"):
+            plan = f(m).bad._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan, check
