@@ -137,3 +137,14 @@ def test_spaces_are_not_broadcast(spark, data):
         if check in ("C09", "I07", "I09", "I12", "E03"):
             plan = f(m).bad._jdf.queryExecution().executedPlan().toString()
             assert "SortMergeJoin" in plan, check
+
+
+def test_summary_and_gate_of_many_repeats(spark):
+    # 30,000 openings on each of two levels: 9 * 10^8 pairs, which no rule may make.
+    levels = spark.createDataFrame([("L0", "L0", 0.0, 3.0), ("L1", "L1", 3.0, 3.0)], "id string, name string, elevation_z_m double, wall_height_m double")
+    spaces = spark.createDataFrame([("s0", "L0"), ("s1", "L1")], "id string, level_id string")
+    i = F.col("id")
+    openings = spark.range(60000).select(i.cast("string").alias("id"), F.concat(F.lit("s"), i % 2).alias("space_id"), F.lit("W1").alias("tag"), F.lit("window").alias("category"), F.lit("south").alias("host_facade"), F.lit(2.0).alias("s_center_m"), F.lit(1.0).alias("width_m"))
+    m = rules.Model(spark, levels=levels, spaces=spaces, openings=openings)
+    report = rules.run(m, ["I11"])
+    assert report.first().n_bad == 900_000_000 and tuple(rules.summary(report).first()) == (0, 1, 0, 0, True) and rules.gate(report, m.review).first().may_export
