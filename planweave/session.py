@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def session(app: str = "planweave", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -38,6 +41,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows that lie in the plan itself: no Python worker starts to read them, and Spark knows how few they are."""
+    kind = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+    return spark.createDataFrame(pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)], schema=arrow), kind)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, and any executor can reread it."""
     spark = df.sparkSession

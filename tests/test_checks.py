@@ -148,3 +148,30 @@ def test_summary_and_gate_of_many_repeats(spark):
     m = rules.Model(spark, levels=levels, spaces=spaces, openings=openings)
     report = rules.run(m, ["I11"])
     assert report.first().n_bad == 900_000_000 and tuple(rules.summary(report).first()) == (0, 1, 0, 0, True) and rules.gate(report, m.review).first().may_export
+
+
+def test_rows_are_counted_in_few_passes(spark, data):
+    m = battery.model(Tables(spark, data))
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    before = jobs()
+    report = rules.run(m, keep=0)
+    assert jobs() - before < 300
+    n = {x.check_id: x.n_bad for x in report.collect()}
+    found = {check: f(m) for check, _, f in rules.RULES}
+    cheap = {check: f for check, f in found.items() if f.parts or f.tally}
+    assert len(cheap) > 12
+    for check, f in cheap.items():
+        bad = f.bad.withColumn("_n", F.col("_n") if "_n" in f.bad.columns else F.lit(1)).agg(F.sum("_n")).first()[0] or 0
+        assert n[check] == bad, check
+
+
+def test_a_pass_that_fails_leaves_its_rules_alone(spark):
+    bad = F.raise_error(F.lit("no")).cast("boolean")
+    m = rules.Model(spark, spaces=spark.createDataFrame([("a", "L", -1.0)], "id string, level_id string, area_m2 double"))
+    added = [("T01", "fails", lambda m: rules.each((m.spaces, None, bad))), ("T02", "fails to plan", lambda m: m.spaces.no), ("T03", "negative", lambda m: rules.each((m.spaces, None, F.col("area_m2") < 0)))]
+    rules.RULES.extend(added)
+    try:
+        got = {x.check_id: (x.severity, x.n_bad, x.entities, x.message.split(":")[0]) for x in rules.run(m, ["T01", "T02", "T03"]).collect()}
+    finally:
+        del rules.RULES[-3:]
+    assert got["T03"] == ("error", 1, "a", "") and {got[k] for k in ("T01", "T02")} == {("error", 0, "", "the rule failed")}
