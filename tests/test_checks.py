@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from planweave.checks import rules
-from planweave.plans import battery
+from planweave.plans import battery, catalog
 from planweave.plans.registry import Tables
 from planweave.query.engine import Engine, dispatch
 
@@ -175,3 +175,11 @@ def test_a_pass_that_fails_leaves_its_rules_alone(spark):
     finally:
         del rules.RULES[-3:]
     assert got["T03"] == ("error", 1, "a", "") and {got[k] for k in ("T01", "T02")} == {("error", 0, "", "the rule failed")}
+
+
+def test_gate_looks_for_no_ids(spark, data, monkeypatch):
+    asked = []
+    row = rules.Finding.row
+    monkeypatch.setattr(rules.Finding, "row", lambda f, m, keep=20, *a: asked.append(keep) or row(f, m, keep, *a))
+    assert tuple(catalog.QUERIES["gate"](spark, data).first()) == (False, False)
+    assert len(asked) == len(rules.RULES) and not any(asked)
