@@ -287,6 +287,6 @@ def solar_aperture(planes: DataFrame, latitude_deg: float, tilt: str = "tilt_deg
     from planweave.functions.geometry import orientation_bucket, plane_normal
 
     x, y, z = plane_normal(tilt, azimuth)
-    suns = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.lit(c).alias("z")) for a, b, c in sun_vectors(latitude_deg)])
+    suns = F.expr(f"array({', '.join(f"named_struct('x', {a!r}D, 'y', {b!r}D, 'z', {c!r}D)" for a, b, c in sun_vectors(latitude_deg))})")
     each = F.aggregate(suns, F.lit(0.0), lambda s, v: s + F.greatest(F.lit(0.0), v.x * x + v.y * y + v.z * z))
     return planes.groupBy(orientation_bucket(tilt, azimuth).alias("orientation")).agg(F.sum(F.col(area) * each).alias("aperture"))

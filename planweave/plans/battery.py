@@ -27,16 +27,17 @@ def _box(a):
 
 
 def model(t):
-    """The building.  What several rules read is written once."""
+    """The building.  What several rules read is written once: what joins give, from which the other columns follow as they are read."""
     k = F.col("c_custkey")
     place = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    area = F.round(F.abs("c_acctbal"), 0) + 10
+    place = place.select(k, "c_nationkey", "r_name", (F.round(F.abs("c_acctbal"), 0) + 10).alias("area"))
+    place = stored(place.repartition("c_custkey"), "battery")  # else as few tasks as the customers' file has row groups
+    area = F.col("area")
     spaces = place.select(
         F.concat_ws("-", "r_name", k).alias("id"), F.when(k % 211 != 0, F.col("r_name")).alias("level_id"), F.when(k % 50 == 0, F.lit("1")).otherwise(k.cast("string")).alias("number"), F.when(k % 71 == 0, -area).otherwise(area).alias("area_m2"),
         F.when(k % 97 == 0, area * 5).otherwise(area * 4).alias("volume_m3"), F.when(k % 83 == 0, F.lit("attic")).otherwise(F.lit("room")).alias("poly_type"), F.when(k % 101 != 0, F.lit("A-101")).alias("sheet_id"),
         (k % 30).cast("double").alias("lpd_w_m2"), ((k % 30) / rules.W_PER_FT2 + F.when(k % 300 == 7, 1.0).otherwise(0.0)).alias("lpd_w_ft2"), F.when(k % 61 != 0, _box(area)).alias("polygon_m"), _pick(k, ("office", "lobby", "other")).alias("name"), k.alias("k"),
     )
-    spaces = stored(spaces.repartition("k"), "battery")  # else as few tasks as the customers' file has row groups
     r = F.col("r_regionkey")
     levels = t.region.select(F.col("r_name").alias("id"), F.col("r_name").alias("name"), (r * 4.0).alias("elevation_z_m"), F.lit(4.0).alias("wall_height_m"))
     # Stated footprints: the spaces' areas, a tenth more in every other region.
@@ -44,11 +45,10 @@ def model(t):
     o = F.col("o_orderkey")
     kind = F.when(o % 43 == 0, F.lit("skylight")).when(F.col("o_orderstatus") == "O", F.lit("window")).otherwise(F.lit("door"))
     of_space = spaces.select(F.col("k").alias("o_custkey"), F.col("id").alias("sid")).hint("merge")
-    openings = t.orders.join(of_space, "o_custkey", "left").select(
-        o.cast("string").alias("id"), F.when(o % 37 != 0, F.col("sid")).alias("space_id"), F.when(o % 41 != 0, F.col("o_orderpriority")).otherwise(F.lit(" ")).alias("tag"), kind.alias("category"),
-        F.lit(1.0).alias("width_m"), F.when(o % 53 == 0, 0.0).otherwise(2.0).alias("height_m"), F.lit(2.0).alias("area_m2"), F.lit("A-201").alias("sheet_id"), _pick(o, _FACADES).alias("host_facade"),
-        F.when(o % 59 == 0, -1.0).otherwise(0.5).alias("sill_m"), F.when(o % 67 == 0, 4.5).otherwise(2.5).alias("head_m"), (o % 50 / 4).alias("s_center_m"), F.lit(0.0).alias("s0_m"), F.lit(12.0).alias("s1_m"), (o % 9 / 4).alias("u_si"),
-    )
+    pool = ThreadPoolExecutor(4)
+    write = lambda x: pool.submit(stored, x, "battery")  # noqa: E731  # while the next are built
+    attached = write(t.orders.join(of_space, "o_custkey", "left").select(o, "o_orderstatus", "o_orderpriority", "sid"))
+    footprints = write(footprints)
     s = F.col("s_suppkey")
     walls = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.concat(F.lit("W"), s).alias("id"), F.col("r_name").alias("level_id"), _pick(s, _FACADES).alias("facade"), (s % 10 + 1).cast("double").alias("length_m"), F.lit(4.0).alias("height_m"), F.when(s % 9 != 0, (s % 10 + 1) * 4.0).alias("area_m2"),
@@ -56,26 +56,31 @@ def model(t):
     )
     schedules = t.orders.select(F.col("o_orderpriority").alias("tag")).distinct().where("tag <> '5-LOW'").select("tag", F.lit(1.0).alias("width_m"), F.when(F.col("tag") == "2-HIGH", 3.0).otherwise(2.0).alias("height_m"), F.lit(None).cast("double").alias("watts"))
     lamps = t.part.select(F.col("p_type").alias("tag")).distinct().where("tag <> 'PROMO'").select("tag", F.lit(None).cast("double").alias("width_m"), F.lit(None).cast("double").alias("height_m"), F.lit(60.0).alias("watts"))
-    fixtures = t.part.join(spaces.select(F.col("k").alias("p_partkey"), F.col("id").alias("space_id")).hint("merge"), "p_partkey", "left").select(F.concat(F.lit("F"), F.col("p_partkey")).alias("id"), "space_id", F.col("p_type").alias("tag"), F.when(F.col("p_partkey") % 19 != 0, F.lit("E-1")).alias("sheet_id"))
+    fixtures = write(t.part.join(spaces.select(F.col("k").alias("p_partkey"), F.col("id").alias("space_id")).hint("merge"), "p_partkey", "left").select(F.concat(F.lit("F"), F.col("p_partkey")).alias("id"), "space_id", F.col("p_type").alias("tag"), F.when(F.col("p_partkey") % 19 != 0, F.lit("E-1")).alias("sheet_id")))
     n = F.col("n_nationkey")
     zones = t.nation.select(F.concat(F.lit("Z"), n).alias("id"), (n % 6).cast("long").alias("n_diffusers"), _pick(n, ("AHU", "VAV")).alias("system"), (n % 3 + 2.0).alias("efficiency"), F.lit("small").alias("size_class"))
-    zone = t.customer.select(F.concat(F.lit("Z"), F.col("c_nationkey")).alias("zone_id"), k.alias("k")).join(spaces.select("k", F.col("id").alias("space_id")).hint("merge"), "k")
+    zone = place.select(F.concat(F.lit("Z"), F.col("c_nationkey")).alias("zone_id"), k.alias("k"), F.concat_ws("-", "r_name", k).alias("space_id"))
     zone_spaces = zone.where("k % 10 <> 0").select("zone_id", "space_id")
     space_zones = zone.where("k % 10 <> 0 and k % 20 <> 1").select("space_id", "zone_id").unionByName(zone.where("k % 90 = 0").select("space_id", F.lit("Z99").alias("zone_id")))
     components = spaces.select(F.concat(F.lit("C"), F.col("k") - F.when(F.col("k") % 6 == 1, 1).otherwise(0)).alias("id"), F.col("id").alias("space_id"), F.lit("M-1").alias("sheet_id"))
     top = t.region.agg(F.max_by("r_name", "r_regionkey").alias("level_id"))
-    roofs = t.nation.crossJoin(top).join(spaces.select("k", F.col("id").alias("sid")).hint("merge"), n == F.col("k"), "left").select(F.concat(F.lit("R"), n).alias("id"), F.col("sid").alias("space_id"), "level_id", (n + 1.0).alias("area_m2"), F.lit(0.0).alias("tilt_deg"), F.lit(None).cast("double").alias("azimuth_deg"), (n % 4 / 8).alias("u_si"), F.lit("metal").alias("construction"))
-    schedules = schedules.unionByName(lamps)
-    with ThreadPoolExecutor(4) as pool:
-        openings, fixtures, zone_spaces, space_zones, roofs, footprints, schedules = pool.map(lambda x: stored(x, "battery"), (openings, fixtures, zone_spaces, space_zones, roofs, footprints, schedules))
-    release(t.spark)
-    daylight = t.orders.where("o_orderstatus = 'O'").join(of_space, "o_custkey").select(o.cast("string").alias("id"), F.col("sid").alias("space_id"), F.lit(400.0).alias("area_m2"))
+    roofs = write(t.nation.crossJoin(top).join(spaces.select("k", F.col("id").alias("sid")).hint("merge"), n == F.col("k"), "left").select(F.concat(F.lit("R"), n).alias("id"), F.col("sid").alias("space_id"), "level_id", (n + 1.0).alias("area_m2"), F.lit(0.0).alias("tilt_deg"), F.lit(None).cast("double").alias("azimuth_deg"), (n % 4 / 8).alias("u_si"), F.lit("metal").alias("construction")))
+    schedules = write(schedules.unionByName(lamps))
     shading = t.supplier.select(F.concat(F.lit("H"), s).alias("id"), F.concat(F.when(s % 8 == 0, F.lit("X")).otherwise(F.lit("W")), s).alias("host_id"), (s % 7).cast("double").alias("depth_m"))
     review = t.orders.where("o_orderkey % 100 = 1").select(o.cast("string").alias("id"), F.when(o % 500 == 1, F.lit("fixture_unmatched")).otherwise(F.lit("kind")).alias("kind"), F.when(o % 300 != 1, F.lit("text")).alias("description"), F.lit("open").alias("status"), (o % 200 == 1).alias("needs_review"), F.lit(False).alias("acknowledged"))
     made = lambda rows, schema: local(t.spark, rows, schema)
     cube = [[[0, 0, 0], [0, 1, 0], [1, 1, 0], [1, 0, 0]], [[0, 0, 1], [1, 0, 1], [1, 1, 1], [0, 1, 1]], [[0, 0, 0], [1, 0, 0], [1, 0, 1], [0, 0, 1]], [[1, 0, 0], [1, 1, 0], [1, 1, 1], [1, 0, 1]], [[1, 1, 0], [0, 1, 0], [0, 1, 1], [1, 1, 1]], [[0, 1, 0], [0, 0, 0], [0, 0, 1], [0, 1, 1]]]
     faces = made([([[[float(x) for x in v] for v in f] for f in cube],)], "faces array<array<array<double>>>")
     shells = t.region.crossJoin(faces).select(F.col("r_name").alias("id"), F.when(r % 3 == 2, F.slice("faces", 1, 5)).otherwise(F.col("faces")).alias("faces"))
+    attached, fixtures, roofs, footprints, schedules = (x.result() for x in (attached, fixtures, roofs, footprints, schedules))
+    pool.shutdown()
+    release(t.spark)
+    openings = attached.select(
+        o.cast("string").alias("id"), F.when(o % 37 != 0, F.col("sid")).alias("space_id"), F.when(o % 41 != 0, F.col("o_orderpriority")).otherwise(F.lit(" ")).alias("tag"), kind.alias("category"),
+        F.lit(1.0).alias("width_m"), F.when(o % 53 == 0, 0.0).otherwise(2.0).alias("height_m"), F.lit(2.0).alias("area_m2"), F.lit("A-201").alias("sheet_id"), _pick(o, _FACADES).alias("host_facade"),
+        F.when(o % 59 == 0, -1.0).otherwise(0.5).alias("sill_m"), F.when(o % 67 == 0, 4.5).otherwise(2.5).alias("head_m"), (o % 50 / 4).alias("s_center_m"), F.lit(0.0).alias("s0_m"), F.lit(12.0).alias("s1_m"), (o % 9 / 4).alias("u_si"),
+    )
+    daylight = attached.where("o_orderstatus = 'O' and sid is not null").select(o.cast("string").alias("id"), F.col("sid").alias("space_id"), F.lit(400.0).alias("area_m2"))
     return rules.Model(
         t.spark, spaces=spaces, levels=levels, openings=openings, review=review, footprints=footprints, walls=walls, schedules=schedules, fixtures=fixtures, zones=zones, zone_spaces=zone_spaces, space_zones=space_zones, components=components, roofs=roofs,
         roofs_before=roofs.withColumn("area_m2", F.col("area_m2") * 1.05), daylight=daylight, shading=shading, shells=shells,

@@ -183,3 +183,43 @@ def test_gate_looks_for_no_ids(spark, data, monkeypatch):
     monkeypatch.setattr(rules.Finding, "row", lambda f, m, keep=20, *a: asked.append(keep) or row(f, m, keep, *a))
     assert tuple(catalog.QUERIES["gate"](spark, data).first()) == (False, False)
     assert len(asked) == len(rules.RULES) and not any(asked)
+
+
+def test_a_slow_rule_holds_up_no_other(spark):
+    from threading import Event
+
+    last = Event()
+    n = lambda m: m.spaces.agg(F.count("*").alias("n"))
+    added = [("T00", "slow", lambda m: rules.Finding(m.spaces, "id", tally=lambda: last.wait(30) and n(m)))]
+    added += [(f"T{i:02}", "between", lambda m: rules.Finding(m.spaces, "id", tally=lambda: n(m))) for i in range(1, 13)]
+    added += [("T13", "last", lambda m: rules.Finding(m.spaces, "id", tally=lambda: last.set() or n(m)))]
+    m = rules.Model(spark, spaces=spark.createDataFrame([("a", "L")], "id string, level_id string"))
+    rules.RULES.extend(added)
+    try:
+        got = [(x.check_id, x.n_bad) for x in rules.run(m, [x for x, _, _ in added], keep=0).collect()]
+    finally:
+        del rules.RULES[-14:]
+    assert got == [(f"T{i:02}", 1) for i in range(14)]
+
+
+def test_ids_are_sorted_by_their_hashes(spark, data):
+    m = battery.model(Tables(spark, data))
+    for check, _, f in rules.RULES:
+        if check in ("C09", "I07", "I09", "I10", "I11", "I12", "E03", "E06"):
+            assert "Sort [_h#" in f(m).bad._jdf.queryExecution().executedPlan().toString(), check
+
+
+def test_model_writes_what_joins_give(spark, data, monkeypatch):
+    wrote = []
+    stored = battery.stored
+    monkeypatch.setattr(battery, "stored", lambda x, name: wrote.append(x.columns) or stored(x, name))
+    m = battery.model(Tables(spark, data))
+    assert len(wrote) == 6 and ["o_orderkey", "o_orderstatus", "o_orderpriority", "sid"] in wrote
+    assert "Join" not in m.daylight._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_at_one_place(spark):
+    rows = [("a", "s", 1.0), ("b", "s", 1.0), ("c", "s", 1.1), ("d", "s", 1.3), ("e", None, 1.0), ("f", None, 1.14), ("g", "t", 1.0), ("h", "s", None)]
+    openings = spark.createDataFrame(rows, "id string, space_id string, s_center_m double").withColumns({"tag": F.lit("W"), "host_facade": F.lit("north"), "category": F.lit("window")})
+    got = rules.run(rules.Model(spark, openings=openings), ["E06"]).first()
+    assert (got.severity, got.n_bad, got.entities) == ("error", 3, "a,b,e")
